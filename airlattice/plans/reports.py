@@ -113,11 +113,15 @@ def table_status(t: Warehouse, as_of) -> DataFrame:
     def facts(df, name):
         one = df.agg(recent("7 days").alias("week"), recent("24 hours").alias("day"),
                      F.max("timestamp").alias("latest"))
-        none = F.lit(None).cast("timestamp")
-        return one.select(F.inline(F.array(
-            F.struct(F.lit(f"{name}_last_7_days").alias("check"), F.col("week").alias("number"), none.alias("latest")),
-            F.struct(F.lit(f"{name}_last_24_hours"), F.col("day"), none),
-            F.struct(F.lit(f"{name}_latest"), F.lit(None).cast("bigint"), F.col("latest")))))
+
+        def row(check, number, latest):
+            return F.struct(F.lit(f"{name}_{check}").alias("check"), number.cast("bigint").alias("number"),
+                            latest.cast("timestamp").alias("latest"))
+
+        none = F.lit(None)
+        return one.select(F.inline(F.array(row("last_7_days", F.col("week"), none),
+                                           row("last_24_hours", F.col("day"), none),
+                                           row("latest", none, F.col("latest")))))
 
     def size(df, name):
         return df.agg(F.count(F.lit(1)).alias("number")).select(
