@@ -1,7 +1,8 @@
 """Readers for landed payload files: observations, stations and weather.
 
-Observation fields come in several shapes (text or object), so records are held as
-VARIANT and each field takes the first shape that is present.
+Observation fields come in several shapes (text or object). Each record is parsed once
+against a fixed layout in which such fields are text, so an object arrives as its own
+JSON text and is opened only where that happens.
 """
 
 from __future__ import annotations
@@ -15,6 +16,13 @@ from airlattice.functions.values import known_unit, to_ug_m3
 from airlattice.tables import lookup
 
 ENVELOPE = ("results", "data")
+PLACE = ("id: STRING, locationId: STRING, name: STRING, locationName: STRING, latitude: STRING, longitude: STRING, "
+         "coordinates: STRUCT<latitude: STRING, longitude: STRING>, "
+         "geometry: STRUCT<type: STRING, coordinates: ARRAY<STRING>>")
+OBSERVATION = (f"STRUCT<location: STRUCT<{PLACE}>, {PLACE}, parameter: STRING, value: STRING, unit: STRING, "
+               "datetime: STRING, date: STRING, dateUTC: STRING, _broken: STRING>")
+STATION = ("id BIGINT, name STRING, coordinates STRUCT<latitude: DOUBLE, longitude: DOUBLE>, "
+           "sensors ARRAY<STRUCT<id: BIGINT, parameter: STRUCT<id: BIGINT, name: STRING, units: STRING>>>")
 
 
 def read_lines(spark: SparkSession, path: str, whole_files: bool = False, stream: bool = False) -> DataFrame:
@@ -23,13 +31,13 @@ def read_lines(spark: SparkSession, path: str, whole_files: bool = False, stream
     Folders named ``city=...`` give a ``city`` column.
     """
     reader = spark.readStream if stream else spark.read
-    return reader.option("wholetext", whole_files).text(path)
+    return reader.option("wholetext", whole_files).text(path).filter(F.trim("value") != "")
 
 
 def unwrap(df: DataFrame, fields=ENVELOPE, text: str = "value") -> DataFrame:
     """One row per record of an envelope: a named list, or a bare list, else nothing."""
-    keyed = F.from_json(text, ", ".join(f"{f} ARRAY<VARIANT>" for f in fields))
-    bare = F.from_json(text, "ARRAY<VARIANT>")
+    keyed = F.from_json(text, ", ".join(f"{f} ARRAY<STRING>" for f in fields))
+    bare = F.from_json(text, "ARRAY<STRING>")
     is_list = F.ltrim(F.col(text)).startswith("[")
     records = F.when(is_list, bare).otherwise(F.coalesce(*[keyed[f] for f in fields]))
     rest = [c for c in df.columns if c != text]
@@ -37,71 +45,70 @@ def unwrap(df: DataFrame, fields=ENVELOPE, text: str = "value") -> DataFrame:
 
 
 def as_records(df: DataFrame, text: str = "value") -> DataFrame:
-    """One record per line. Unreadable lines keep a NULL record so they can be counted."""
-    rest = [c for c in df.columns if c != text]
-    return df.select(*rest, F.try_parse_json(text).alias("record"))
-
+    """Lines that are one record each."""
+    return df.withColumnRenamed(text, "record")
 
-def _get(path: str, kind: str = "string", source: str = "record") -> Column:
-    return F.try_variant_get(F.col(source), path, kind)
 
+def _opened(records: DataFrame, layout: str) -> DataFrame:
+    """Each record parsed as column ``r``.
 
-def _scalar_text(path: str) -> Column:
-    """Text at a path, NULL when an object or list sits there."""
-    shape = F.schema_of_variant(F.try_variant_get(F.col("record"), path, "variant"))
-    return F.when(~shape.startswith("OBJECT") & ~shape.startswith("ARRAY"), _get(path))
+    The parse sits in a generator, which filters are not pushed through: later filters on
+    its fields never parse the text a second time.
+    """
+    parsed = F.from_json("record", layout, {"columnNameOfCorruptRecord": "_broken"})
+    return records.select("*", F.explode(F.array(parsed)).alias("r"))
 
 
-def name_or_text(field: str, *names: str) -> Column:
-    """Lower-cased text of a field that is an object with one of ``names``, or plain text."""
-    return F.lower(F.coalesce(*[_get(f"$.{field}.{n}") for n in names], _scalar_text(f"$.{field}"), F.lit("")))
+def _object(field: str) -> Column:
+    return F.ltrim(F.col(f"r.{field}")).startswith("{")
 
 
-def time_text() -> Column:
-    return F.coalesce(_get("$.datetime.utc"), _scalar_text("$.datetime"),
-                      _get("$.date.utc"), _scalar_text("$.date"), _get("$.dateUTC"))
+def _text_or(field: str, *names: str) -> Column:
+    """Text of a field, or of the first of ``names`` inside it when it is an object."""
+    inside = F.coalesce(*[F.get_json_object(f"r.{field}", f"$.{n}") for n in names])
+    return F.when(_object(field), inside).otherwise(F.col(f"r.{field}"))
 
 
 def _coordinate(name: str, geojson_index: int) -> Column:
     """A coordinate from the location, its fields or its point, else from the record itself."""
     options = []
-    for base in ("$.location", "$"):
-        options += [_get(f"{base}.coordinates.{name}", "double"), _get(f"{base}.{name}", "double"),
-                    F.when(_get(f"{base}.geometry.type") == "Point",
-                           _get(f"{base}.geometry.coordinates[{geojson_index}]", "double"))]
-    return F.coalesce(*options)
+    for base in ("r.location", "r"):
+        point = F.get(F.col(f"{base}.geometry.coordinates"), F.lit(geojson_index))
+        options += [F.col(f"{base}.coordinates.{name}"), F.col(f"{base}.{name}"),
+                    F.when(F.col(f"{base}.geometry.type") == "Point", point)]
+    return F.coalesce(*options).try_cast("double")
+
+
+def _first_of(*fields: str) -> Column:
+    return F.coalesce(*[F.col(f"r.{base}{f}") for base in ("location.", "") for f in fields])
 
 
 def _value() -> Column:
-    """The number of a record; a record without a value field counts as 0."""
-    held = F.try_variant_get(F.col("record"), "$.value", "variant")
-    inner = F.try_variant_get(F.col("record"), "$.value.value", "variant")
-    nested = F.schema_of_variant(held).startswith("OBJECT")
-    number = F.when(nested, F.when(inner.isNull(), 0.0).otherwise(_get("$.value.value", "double")))
-    return F.when(held.isNull(), 0.0).otherwise(F.coalesce(number, F.when(~nested, _get("$.value", "double"))))
+    """The number of a record. An absent value counts as 0, an explicit null as unreadable."""
+    absent = ~F.array_contains(F.json_object_keys("record"), "value")
+    number = _text_or("value", "value").try_cast("double")
+    empty_object = _object("value") & F.get_json_object("r.value", "$.value").isNull()
+    return (F.when(F.col("r.value").isNull(), F.when(absent, 0.0)).when(empty_object, 0.0).otherwise(number))
 
 
 def classify_observations(records: DataFrame) -> DataFrame:
     """Every record as a flat row with a ``problem`` (NULL when usable)."""
     rest = [c for c in records.columns if c != "record"]
-    when = time_text()
-    flat = records.select(
-        *rest, "record",
-        F.coalesce(_get("$.location.id"), _get("$.location.locationId"), _get("$.id"), _get("$.locationId"))
-        .alias("location_id"),
-        F.coalesce(_get("$.location.name"), _get("$.location.locationName"), _get("$.name"), _get("$.locationName"))
-        .alias("location_name"),
-        name_or_text("parameter", "name", "id").alias("parameter"),
+    when = F.coalesce(_text_or("datetime", "utc"), _text_or("date", "utc"), F.col("r.dateUTC"))
+    flat = _opened(records, OBSERVATION).select(
+        *rest, _first_of("id", "locationId").alias("location_id"),
+        _first_of("name", "locationName").alias("location_name"),
+        F.lower(F.coalesce(_text_or("parameter", "name", "id"), F.lit(""))).alias("parameter"),
         _value().alias("value"),
-        name_or_text("unit", "name", "symbol").alias("unit"),
-        _coordinate("latitude", 1).alias("latitude"),
-        _coordinate("longitude", 0).alias("longitude"),
-        when.alias("_time"), normalize_timestamp(when).alias("timestamp"))
-    problem = (F.when(F.col("record").isNull(), "unreadable record")
+        F.lower(F.coalesce(_text_or("unit", "name", "symbol"), F.lit(""))).alias("unit"),
+        _coordinate("latitude", 1).alias("latitude"), _coordinate("longitude", 0).alias("longitude"),
+        when.alias("_time"), normalize_timestamp(when).alias("timestamp"),
+        (F.col("r").isNull() | F.col("r._broken").isNotNull()).alias("_unreadable"))
+    problem = (F.when(F.col("_unreadable"), "unreadable record")
                .when(F.col("_time").isNull(), "no time")
                .when(F.col("timestamp").isNull(), "unreadable time")
                .when(F.col("value").isNull(), "unreadable value"))
-    return flat.withColumn("problem", problem).drop("record", "_time")
+    return flat.withColumn("problem", problem).drop("_time", "_unreadable")
 
 
 def rejected(records: DataFrame) -> DataFrame:
@@ -165,15 +172,13 @@ def read_weather(spark: SparkSession, path: str, mapping: dict[str, str] | None
 
 def parse_stations(records: DataFrame) -> DataFrame:
     """One row per station and sensor from station metadata; stations without id are dropped."""
-    shape = ("STRUCT<id: BIGINT, name: STRING, coordinates: STRUCT<latitude: DOUBLE, longitude: DOUBLE>, "
-             "sensors: ARRAY<STRUCT<id: BIGINT, parameter: STRUCT<id: BIGINT, name: STRING, units: STRING>>>>")
     rest = [c for c in records.columns if c != "record"]
-    station = records.select(*rest, F.try_variant_get("record", "$", shape).alias("s")).filter("s.id IS NOT NULL")
-    return (station.select(*rest, F.col("s.id").cast("string").alias("location_id"),
-                           F.col("s.name").alias("location_name"),
-                           F.col("s.coordinates.latitude").alias("latitude"),
-                           F.col("s.coordinates.longitude").alias("longitude"),
-                           F.explode_outer("s.sensors").alias("x"))
+    station = _opened(records, STATION).filter("r.id IS NOT NULL")
+    return (station.select(*rest, F.col("r.id").cast("string").alias("location_id"),
+                           F.col("r.name").alias("location_name"),
+                           F.col("r.coordinates.latitude").alias("latitude"),
+                           F.col("r.coordinates.longitude").alias("longitude"),
+                           F.explode_outer("r.sensors").alias("x"))
             .select("*", F.col("x.id").alias("sensor_id"),
                     F.lower(F.coalesce("x.parameter.name", F.lit(""))).alias("parameter"),
                     F.coalesce("x.parameter.units", F.lit("")).alias("unit")).drop("x"))
@@ -205,5 +210,6 @@ def attach_sensor_metadata(values: DataFrame, sensors: DataFrame, parameter: str
 
 def list_cities(records: DataFrame) -> DataFrame:
     """Distinct city names of city records, blank ones removed."""
-    name = F.coalesce(F.nullif(_get("$.name"), F.lit("")), _get("$.city"))
-    return records.select(name.alias("city_name")).filter("city_name <> ''").distinct()
+    name = F.coalesce(F.nullif("r.name", F.lit("")), "r.city")
+    return (_opened(records, "name STRING, city STRING").select(name.alias("city_name"))
+            .filter("city_name <> ''").distinct())

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from airlattice import constants as C
 from airlattice.sources import eventlog, payloads
-from queries.base import nine, query
+from queries.base import query
 
 STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -120,8 +120,8 @@ def envelopes(spark, folder):
             .when(shape == 1, F.concat(F.lit('{"meta": 1, "data": '), listed, F.lit("}")))
             .when(shape == 2, listed).otherwise(F.lit('{"error": "none"}')))
     records = payloads.unwrap(e.select("event_id", line.alias("value")))
-    return records.select("event_id", F.variant_get("record", "$.item", "bigint").alias("item"),
-                          F.variant_get("record", "$.value", "double").alias("value"))
+    return records.select("event_id", F.get_json_object("record", "$.item").cast("bigint").alias("item"),
+                          F.get_json_object("record", "$.value").cast("double").alias("value"))
 
 
 def station_lines(spark, folder):
