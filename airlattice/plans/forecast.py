@@ -13,7 +13,7 @@ from airlattice.functions.times import ago, hour_floor
 from airlattice.functions.values import cycle, finite, slug, wind_vector
 from airlattice.operators.joins import join_same_hour, star, with_metric
 from airlattice.operators.windows import exact_medians, lag_of, position_in_series, trailing_mean, with_history
-from airlattice.session import use_checkpoint_dir
+from airlattice.session import stored
 from airlattice.tables import Warehouse, lookup
 
 TARGET = "pm25"
@@ -51,8 +51,11 @@ def training_frame(t: Warehouse, cities=None, days: int = 90, as_of=None) -> Dat
 
 
 def impute_median(df: DataFrame, cols, by=CITY) -> DataFrame:
-    """NULL and NaN cells become the exact median of their group, or 0 without any value."""
-    cols, by = list(cols), list(by)
+    """NULL and NaN cells become the exact median of their group, or 0 without any value.
+
+    The medians and the rows are separate passes over the input, so it is stored first.
+    """
+    cols, by, df = list(cols), list(by), stored(df)
     medians = (exact_medians(df, cols, by).groupBy(*by)
                .pivot("column", cols).agg(F.max("median"))
                .withColumnsRenamed({c: f"_m_{c}" for c in cols}))
@@ -67,20 +70,23 @@ def build_features(df: DataFrame, by=CITY, leak_free: bool = False, **layout) ->
 
     As first written the trailing means contain the current target; ``leak_free`` ends
     them one row earlier and drops rows without a previous value instead of imputing.
+
+    Several passes read the input (row counts, rows), so it is stored in the shared folder.
     """
     by = list(by)
     for name in C.BASE_FEATURES:
         if name not in df.columns:
             df = df.withColumn(name, F.lit(0.0))
-    base = impute_median(df.filter(F.col(TARGET).isNotNull()), C.BASE_FEATURES, by)
+    base = stored(df.filter(F.col(TARGET).isNotNull()))
     made = {f"{TARGET}_lag_{k}h": lag_of(TARGET, k) for k in C.LAGS}
     for n in C.MEANS:
         made[f"{TARGET}_ma_{n}h"] = (
             (lambda spec, n=n: F.avg(TARGET).over(spec.rowsBetween(-n, -1))) if leak_free
             else trailing_mean(TARGET, n))
-    out = with_history(base, by, "timestamp", max(C.LAGS), made, **layout)
+    lagged = with_history(base, by, "timestamp", max(C.LAGS), made, **layout)
     if leak_free:
-        out = out.filter(F.col(f"{TARGET}_lag_1h").isNotNull())
+        lagged = lagged.filter(F.col(f"{TARGET}_lag_1h").isNotNull())
+    out = impute_median(lagged, C.BASE_FEATURES + LAG_FEATURES, by)
     hour, weekday = F.hour("timestamp"), F.weekday("timestamp")
     hour_sin, hour_cos = cycle(hour, 24)
     day_sin, day_cos = cycle(weekday, 7)
@@ -90,7 +96,6 @@ def build_features(df: DataFrame, by=CITY, leak_free: bool = False, **layout) ->
         "hour_sin": hour_sin, "hour_cos": hour_cos, "day_sin": day_sin, "day_cos": day_cos,
         "temp_humidity": F.col("temperature_c") * F.col("humidity_percent"),
         "wind_x": wind_x, "wind_y": wind_y})
-    out = impute_median(out, LAG_FEATURES, by)
     return out.select(*by, "timestamp", TARGET,
                       *[F.coalesce(finite(F.col(c).cast("double")), F.lit(0.0)).alias(c) for c in FEATURES])
 
@@ -137,11 +142,10 @@ def regression_metrics(df: DataFrame, actual: str = TARGET, predicted: str = "pr
 def fit(features: DataFrame, **params) -> PipelineModel:
     """A boosted-tree model on prepared features, fitted by all executors.
 
-    The frame is checkpointed first: boosting reads it once per tree, and a lost executor
-    must not replay the whole plan.
+    The frame is stored first: boosting reads it once per tree, and a lost executor must
+    not replay the whole plan. The checkpoint folder bounds the lineage over many trees.
     """
-    use_checkpoint_dir(features.sparkSession)
-    rows = features.select(TARGET, *FEATURES).checkpoint()
+    rows = stored(features.select(TARGET, *FEATURES))
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
     trees = GBTRegressor(labelCol=TARGET, featuresCol="features", predictionCol="prediction",
                          **{**C.BOOSTING, **params})
@@ -234,8 +238,7 @@ def backtest(features: DataFrame, train_days: int = 30, test_days: int = 7, by=C
     rows = fold_rows(features, train_days, test_days, by, last_fold)
     if model == "persistence":
         return rows.filter("role = 'test'").withColumn("prediction", F.col(f"{TARGET}_lag_1h"))
-    use_checkpoint_dir(features.sparkSession)
-    rows = rows.checkpoint()
+    rows = stored(rows)
     out = None
     for (fold,) in rows.select("fold").distinct().orderBy("fold").collect():
         part = rows.filter(F.col("fold") == fold)

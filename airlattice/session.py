@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "airlattice", master: str | None = None, **conf) -> SparkSession:
@@ -49,3 +50,14 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
     if current is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The frame written once to the shared folder and read back.
+
+    For a frame that several later passes read: its plan runs once, the passes read only
+    the columns they need, and a lost executor replays a scan instead of the plan.
+    """
+    path = f"{use_checkpoint_dir(df.sparkSession)}/stored-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ stored are removed by an anti join, and the rest is appended. One writer at a ti
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airlattice import constants as C
@@ -98,11 +98,8 @@ def new_quality(existing: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def _append(rows: DataFrame, root: str, name: str) -> int:
-    """Write and return the number of rows, counted while writing."""
-    seen = Observation()
-    counted = rows.withColumn("created_at", F.current_timestamp()).observe(seen, F.count(F.lit(1)).alias("rows"))
-    write_table(counted, root, name)
-    return seen.get["rows"]
+    """Write and return the number of rows."""
+    return write_table(rows.withColumn("created_at", F.current_timestamp()), root, name)
 
 
 def append_observations(spark: SparkSession, root: str, batch: DataFrame) -> int:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,23 +104,26 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(LAYOUTS[name]).parquet(table_path(root, name))
 
 
-def write_table(df: DataFrame, root: str, name: str, mode: str = "append") -> None:
-    """Store rows by day, clustered by series inside each file.
+def write_table(df: DataFrame, root: str, name: str, mode: str = "append") -> int:
+    """Store rows by day, clustered by series inside each file; returns their number.
 
     The rebalance step lets adaptive execution cut a heavy day into several tasks and
-    merge light days, so neither one huge file nor many tiny ones come out.
+    merge light days, so neither one huge file nor many tiny ones come out. The rows are
+    counted by the writing tasks. The counter sits right below the writer: further down,
+    adaptive execution may drop it from an empty plan.
     """
+    seen = Observation()
     layout = LAYOUTS[name]
     day = PARTITION_COLUMN.get(name)
     if day == "event_date":
         df = df.withColumn("event_date", F.to_date("timestamp"))
     out = conform(df, layout)
-    if not day:
-        out.write.mode(mode).parquet(table_path(root, name))
-        return
-    order = [c for c in (day, "city_id", "metric_id", "timestamp") if c in out.columns]
-    (out.hint("rebalance", day).sortWithinPartitions(*order)
-        .write.mode(mode).partitionBy(day).parquet(table_path(root, name)))
+    if day:
+        order = [c for c in (day, "city_id", "metric_id", "timestamp") if c in out.columns]
+        out = out.hint("rebalance", day).sortWithinPartitions(*order)
+    writer = out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    (writer.partitionBy(day) if day else writer).parquet(table_path(root, name))
+    return seen.get["rows"]
 
 
 def create_tables(spark: SparkSession, root: str) -> None:

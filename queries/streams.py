@@ -1 +1,111 @@
-"""todo"""
+"""Streaming queries. Payload files are first written from the event log, then streamed back."""
+
+from __future__ import annotations
+
+from uuid import uuid4
+
+from pyspark.sql import functions as F
+
+from airlattice.plans.load_run import load_cities, run_load
+from airlattice.session import use_checkpoint_dir
+from airlattice.sources import eventlog
+from airlattice.streaming import ingest as ST
+from airlattice.tables import read_table
+from queries.base import query
+
+
+def scratch(spark) -> str:
+    return f"{use_checkpoint_dir(spark)}/stream-{uuid4().hex}"
+
+
+def land(spark, folder, root, copies: int = 1) -> str:
+    """Observation records of the log as text files, one folder per city."""
+    obs = eventlog.station_observations(spark, folder)
+    cities = eventlog.user_cities(spark, folder).join(
+        eventlog.dim_city(spark, folder).select("city_id", F.col("city_name").alias("city")), "city_id")
+    line = F.to_json(F.struct(
+        F.struct(F.col("location_id").alias("id"), F.col("location_name").alias("name")).alias("location"),
+        "parameter", F.col("value_ug_m3").cast("double").alias("value"), F.lit("µg/m³").alias("unit"),
+        F.struct(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("utc")).alias("date")))
+    lines = obs.join(cities, "location_id").select("city", line.alias("value"))
+    repeated = lines.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("copy")
+    path = f"{root}/observations"
+    repeated.write.partitionBy("city").text(path)
+    return path
+
+
+def stored_cities(spark, folder):
+    return eventlog.dim_city(spark, folder)
+
+
+@query("ST1_ST2_ingest_without_repeats", """
+SELECT CAST(user_id AS VARCHAR) AS location_id, r_name AS city, ts AS timestamp, value AS value_ug_m3,
+       CASE event_type WHEN 'click' THEN 'pm25' WHEN 'view' THEN 'pm10' WHEN 'purchase' THEN 'no2' ELSE 'o3' END AS parameter
+FROM station_events JOIN region ON r_regionkey = city_id WHERE event_type <> 'signup'""")
+def ingest(spark, folder):
+    root = scratch(spark)
+    path = land(spark, folder, root, copies=2)
+    rows = ST.ingest_stream(spark, path, stored_cities(spark, folder)).select(
+        "location_id", "city", "timestamp", "value_ug_m3", "parameter")
+    ST.stream_to_files(rows, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+FINISHED = """
+WITH hours AS (
+  SELECT date_trunc('hour', ts)::TIMESTAMP AS timestamp, r_name AS city, metric_id,
+         AVG(value) AS value_ug_m3, CAST(COUNT(*) AS INT) AS station_count
+  FROM station_events JOIN region ON r_regionkey = city_id WHERE event_type <> 'signup' GROUP BY 1, 2, 3),
+edge AS (SELECT date_trunc('millisecond', MAX(ts)) - INTERVAL 24 HOUR AS mark FROM station_events WHERE event_type <> 'signup')
+SELECT timestamp, city, metric_id, ROUND(value_ug_m3, 9) AS value_ug_m3, station_count
+FROM hours, edge WHERE timestamp + INTERVAL 1 HOUR <= mark"""
+
+
+@query("ST3_hourly_stream", FINISHED)
+def hourly(spark, folder):
+    root = scratch(spark)
+    path = land(spark, folder, root)
+    rows = ST.hourly_stream(ST.ingest_stream(spark, path, stored_cities(spark, folder)))
+    ST.stream_to_files(rows, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    ids = eventlog.default_metrics(spark).select("metric_id", F.col("metric_code").alias("parameter"))
+    return spark.read.parquet(f"{root}/out").join(F.broadcast(ids), "parameter").select(
+        "timestamp", "city", "metric_id", "value_ug_m3", "station_count")
+
+
+@query("ST4_stream_to_warehouse_twice", FINISHED)
+def to_warehouse(spark, folder):
+    root = scratch(spark)
+    path = land(spark, folder, root)
+    store = f"{root}/store"
+    load_cities(spark, store, eventlog.dim_city(spark, folder).drop("city_id"))
+    for attempt in ("first", "second"):
+        rows = ST.hourly_stream(ST.ingest_stream(spark, path, read_table(spark, store, "dim_city")))
+        ST.stream_to_warehouse(rows, store, f"{root}/{attempt}").awaitTermination()
+    names = read_table(spark, store, "dim_city").select("city_id", F.col("city_name").alias("city"))
+    return read_table(spark, store, "fact_air_quality").join(names, "city_id").select(
+        "timestamp", "city", "metric_id", "value_ug_m3", "station_count")
+
+
+@query("A20_load_run", """
+SELECT (SELECT COUNT(*) FROM fact_air_quality) AS fact_air_quality, (SELECT COUNT(*) FROM fact_weather) AS fact_weather,
+       (SELECT COUNT(*) FROM (SELECT DISTINCT timestamp::DATE, city_id, metric_id FROM fact_air_quality)) AS fact_data_quality_metrics,
+       CAST(0 AS BIGINT) AS written_again""")
+def load_run(spark, folder):
+    root = scratch(spark)
+    path = land(spark, folder, root)
+    sky = (eventlog.fact_weather(spark, folder)
+           .join(eventlog.dim_city(spark, folder).select("city_id", F.col("city_name").alias("city")), "city_id"))
+    hour = F.array(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm"))
+    line = F.to_json(F.struct(F.struct(hour.alias("time"), F.array("temperature_c").alias("temperature_2m"),
+                                       F.array("precipitation_mm").alias("precipitation")).alias("hourly")))
+    sky.select("city", line.alias("value")).write.partitionBy("city").text(f"{root}/weather")
+    cities = eventlog.dim_city(spark, folder).drop("city_id")
+
+    def once():
+        return run_load(spark, f"{root}/store", path, f"{root}/weather", cities, "2024-01-31")["written"]
+
+    first, second = once(), once()
+    again = sum(second.values())
+    one = eventlog.dim_city(spark, folder).limit(1)
+    return one.select(*[F.lit(n).cast("bigint").alias(name) for name, n in first.items()],
+                      F.lit(again).cast("bigint").alias("written_again"))
