@@ -95,8 +95,8 @@ def classify_observations(records: DataFrame) -> DataFrame:
     """Every record as a flat row with a ``problem`` (NULL when usable)."""
     rest = [c for c in records.columns if c != "record"]
     when = F.coalesce(_text_or("datetime", "utc"), _text_or("date", "utc"), F.col("r.dateUTC"))
-    flat = _opened(records, OBSERVATION).select(
-        *rest, _first_of("id", "locationId").alias("location_id"),
+    fields = F.struct(
+        _first_of("id", "locationId").alias("location_id"),
         _first_of("name", "locationName").alias("location_name"),
         F.lower(F.coalesce(_text_or("parameter", "name", "id"), F.lit(""))).alias("parameter"),
         _value().alias("value"),
@@ -104,6 +104,8 @@ def classify_observations(records: DataFrame) -> DataFrame:
         _coordinate("latitude", 1).alias("latitude"), _coordinate("longitude", 0).alias("longitude"),
         when.alias("_time"), normalize_timestamp(when).alias("timestamp"),
         (F.col("r").isNull() | F.col("r._broken").isNotNull()).alias("_unreadable"))
+    # A generator again: later filters and projections read each field, not its expression.
+    flat = _opened(records, OBSERVATION).select(*rest, F.inline(F.array(fields)))
     problem = (F.when(F.col("_unreadable"), "unreadable record")
                .when(F.col("_time").isNull(), "no time")
                .when(F.col("timestamp").isNull(), "unreadable time")

@@ -140,9 +140,12 @@ SELECT city_name, part, COUNT(*) AS n, TRUE AS finite FROM (SELECT city_name, {P
 WHERE city_name IN ('ASIA','EUROPE')) GROUP BY 1, 2""")
 def trained_cities(t):
     fitted = M.train_cities(M.build_features(frame(t)), ["ASIA", "EUROPE", "NOWHERE"], **SMALL)
-    parts = [metrics.select(F.lit(city).alias("city_name"), "part", "n", (~F.isnan("rmse")).alias("finite"))
-             for city, (_, metrics) in fitted.items()]
-    return parts[0].unionByName(parts[1])
+    out = t.dim_city.select("city_name", F.lit("").alias("part"), F.lit(0).cast("bigint").alias("n"),
+                            F.lit(True).alias("finite")).filter("n > 0")
+    for city, (_, metrics) in fitted.items():
+        out = out.unionByName(metrics.select(
+            F.lit(city).alias("city_name"), "part", "n", (~F.isnan("rmse")).alias("finite")))
+    return out
 
 
 @on_warehouse("S17_M9_saved_model_predicts_alike", """
