@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from airlattice import constants as C
 from airlattice.operators.reshape import duplicate_free, unpivot_metrics
 from airlattice.operators.windows import position_in_series
+from airlattice.session import stored
 from airlattice.tables import read_table, write_table
 
 OBSERVATION_KEY = ["city_id", "metric_id", "timestamp"]
@@ -36,13 +37,16 @@ def upsert_dim(existing: DataFrame, incoming: DataFrame, natural_key: str, id_co
 def stored_days(existing: DataFrame, batch: DataFrame, day: str = "event_date") -> DataFrame:
     """Stored rows of the days the batch touches.
 
-    The distinct days of a batch are a bounded set, and the semi join on the partition
-    column lets Spark skip all other folders.
+    The first and last day, as scalar subqueries on the partition column, skip all folders
+    outside; a semi join then drops the untouched days between before anything is
+    shuffled. Days are a calendar-bounded set, so their broadcast is small.
     """
     if day not in existing.columns:
         return existing
-    source = F.col(day) if day in batch.columns else F.to_date("timestamp")
-    return existing.join(F.broadcast(batch.select(source.alias(day)).distinct()), day, "left_semi")
+    days = batch.select((F.col(day) if day in batch.columns else F.to_date("timestamp")).alias(day))
+    first, last = days.agg(F.min(day)).scalar(), days.agg(F.max(day)).scalar()
+    return (existing.filter((F.col(day) >= first) & (F.col(day) <= last))
+            .join(F.broadcast(days.distinct()), day, "left_semi"))
 
 
 def unseen(batch: DataFrame, existing: DataFrame, keys, day: str = "event_date") -> DataFrame:
@@ -51,8 +55,8 @@ def unseen(batch: DataFrame, existing: DataFrame, keys, day: str = "event_date")
     return duplicate_free(batch, keys).join(stored, list(keys), "left_anti")
 
 
-def new_observations(existing: DataFrame, batch: DataFrame, city: DataFrame, metric: DataFrame) -> DataFrame:
-    """Fact rows to append for a wide or long batch with a ``city`` name column.
+def observation_rows(batch: DataFrame, city: DataFrame, metric: DataFrame) -> DataFrame:
+    """A wide or long batch with a ``city`` name column in the layout of the fact.
 
     Unknown cities and metrics and empty values are dropped.
     """
@@ -65,7 +69,7 @@ def new_observations(existing: DataFrame, batch: DataFrame, city: DataFrame, met
             batch = batch.withColumn(name, default)
     ids = city.groupBy(F.col("city_name").alias("city")).agg(F.min("city_id").alias("city_id"))
     codes = metric.select("metric_id", F.col("metric_code").alias("parameter"))
-    rows = (batch.filter(F.col("value_ug_m3").isNotNull())
+    return (batch.filter(F.col("value_ug_m3").isNotNull())
             .join(ids, "city").join(F.broadcast(codes), "parameter")
             .select("timestamp", "city_id", "metric_id",
                     F.col("value_ug_m3").alias("value"), "value_ug_m3",
@@ -74,18 +78,26 @@ def new_observations(existing: DataFrame, batch: DataFrame, city: DataFrame, met
                     F.col("longitude").cast("double").alias("longitude"),
                     F.substring(F.col("location_id").cast("string"), 1, 50).alias("location_id"),
                     F.substring(F.col("location_name").cast("string"), 1, 200).alias("location_name")))
-    return unseen(rows, existing, OBSERVATION_KEY)
 
 
-def new_weather(existing: DataFrame, batch: DataFrame, city: DataFrame) -> DataFrame:
-    """Weather rows to append; NULLs are kept, unknown cities dropped."""
+def new_observations(existing: DataFrame, batch: DataFrame, city: DataFrame, metric: DataFrame) -> DataFrame:
+    """Fact rows of a batch that are not stored yet."""
+    return unseen(observation_rows(batch, city, metric), existing, OBSERVATION_KEY)
+
+
+def weather_rows(batch: DataFrame, city: DataFrame) -> DataFrame:
+    """A weather batch in the layout of the fact; NULLs are kept, unknown cities dropped."""
     ids = city.groupBy(F.col("city_name").alias("city")).agg(F.min("city_id").alias("city_id"))
     for name in (*C.WEATHER_COLUMNS, "latitude", "longitude"):
         if name not in batch.columns:
             batch = batch.withColumn(name, F.lit(None).cast("double"))
-    rows = batch.join(ids, "city").select(
+    return batch.join(ids, "city").select(
         "timestamp", "city_id", *C.WEATHER_COLUMNS, "latitude", "longitude")
-    return unseen(rows, existing, WEATHER_KEY)
+
+
+def new_weather(existing: DataFrame, batch: DataFrame, city: DataFrame) -> DataFrame:
+    """Weather rows of a batch that are not stored yet."""
+    return unseen(weather_rows(batch, city), existing, WEATHER_KEY)
 
 
 def new_quality(existing: DataFrame, batch: DataFrame) -> DataFrame:
@@ -103,18 +115,19 @@ def _append(rows: DataFrame, root: str, name: str) -> int:
 
 
 def append_observations(spark: SparkSession, root: str, batch: DataFrame) -> int:
-    rows = new_observations(read_table(spark, root, "fact_air_quality"), batch,
-                            read_table(spark, root, "dim_city"), read_table(spark, root, "dim_metric"))
-    return _append(rows, root, "fact_air_quality")
+    """The batch is stored once: its days, range and rows are separate passes."""
+    rows = observation_rows(batch, read_table(spark, root, "dim_city"), read_table(spark, root, "dim_metric"))
+    fresh = unseen(stored(rows), read_table(spark, root, "fact_air_quality"), OBSERVATION_KEY)
+    return _append(fresh, root, "fact_air_quality")
 
 
 def append_weather(spark: SparkSession, root: str, batch: DataFrame) -> int:
-    rows = new_weather(read_table(spark, root, "fact_weather"), batch, read_table(spark, root, "dim_city"))
-    return _append(rows, root, "fact_weather")
+    rows = stored(weather_rows(batch, read_table(spark, root, "dim_city")))
+    return _append(unseen(rows, read_table(spark, root, "fact_weather"), WEATHER_KEY), root, "fact_weather")
 
 
 def append_quality(spark: SparkSession, root: str, batch: DataFrame) -> int:
-    rows = new_quality(read_table(spark, root, "fact_data_quality_metrics"), batch)
+    rows = new_quality(read_table(spark, root, "fact_data_quality_metrics"), stored(batch))
     return _append(rows, root, "fact_data_quality_metrics")
 
 
