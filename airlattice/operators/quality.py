@@ -125,8 +125,9 @@ def quality_report(df: DataFrame, as_of, rules=None, city: str = "city_name", me
                    max_age_hours: float = C.MAX_AGE_HOURS) -> DataFrame:
     """All checks of a long frame as (check, scope, column, value, threshold, status).
 
-    One pass gives a profile per series; most rows of the report come from that small
-    frame. An outlier count needs the means first and takes a second pass.
+    One pass gives a profile per series. Each profile row is unfolded into its share of
+    every check, and one small aggregation adds the shares up. Only the outlier count
+    needs the means first and takes a second pass.
     """
     rules = rules or C.VALUE_RANGES
     columns = df.columns
@@ -136,36 +137,53 @@ def quality_report(df: DataFrame, as_of, rules=None, city: str = "city_name", me
         F.count_if(metric_violation(metric, value, rules)).alias("_violations"),
         F.min(ts).alias("_first"), F.max(ts).alias("_last"))
 
-    def row(check, scope_, column, number, limit, bad):
-        status = F.when(F.coalesce(bad, F.lit(True)), "warning").otherwise("ok")
-        return [F.lit(check).alias("check"), scope_.alias("scope"), column.alias("column"),
-                number.cast("double").alias("value"), F.lit(limit).cast("double").alias("threshold"),
-                status.alias("status")]
-
-    all_ = F.lit("all")
-    totals = profile.agg(F.sum("_rows").alias("n"), *[F.sum(f"_null_{c}").alias(c) for c in columns],
-                         F.max("_last").alias("_latest"))
-    ratios = totals.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("c"),
-                 F.coalesce(F.try_divide(F.col(c), F.col("n")), F.lit(1.0)).alias("r")) for c in columns])))
-    missing = ratios.select(*row("missing_ratio", all_, F.col("c"), F.col("r"), max_missing,
-                                 F.col("r") > max_missing))
-    ranges = (profile.filter(F.col(metric).isin(list(rules))).groupBy(metric)
-              .agg(F.sum("_violations").alias("n"))
-              .select(*row("range", all_, F.col(metric), F.col("n"), 0, F.col("n") > 0)))
-    age = (F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros(F.col("_latest").cast("timestamp"))) / 3.6e9
-    fresh = totals.select(*row("freshness_hours", all_, F.lit(ts), age, max_age_hours, age > max_age_hours))
+    def share(check, scope_, column, part, whole, latest=None):
+        return F.struct(F.lit(check).alias("check"), scope_.alias("scope"), column.alias("column"),
+                        part.cast("bigint").alias("part"), whole.cast("bigint").alias("whole"),
+                        F.lit(latest).cast("timestamp").alias("latest"))
+
+    all_, zero, rows = F.lit("all"), F.lit(0), F.col("_rows")
+    shares = [share("missing_ratio", all_, F.lit(c), F.col(f"_null_{c}"), rows) for c in columns]
+    shares += [
+        share("range", all_, F.when(F.col(metric).isin(list(rules)), F.col(metric)), F.col("_violations"), zero),
+        share("freshness_hours", all_, F.lit(ts), zero, zero, F.col("_last")),
+        share("completeness", F.col(city), F.col(metric), rows, hours_between("_first", "_last")),
+        share("not_empty", all_, F.lit("rows"), rows, zero)]
+    # An empty frame has no profile rows; these stand for its columns.
+    seeds = [share("missing_ratio", all_, F.lit(c), zero, zero) for c in columns]
+    seeds += [share("freshness_hours", all_, F.lit(ts), zero, zero), share("not_empty", all_, F.lit("rows"), zero, zero)]
+    unfolded = (profile.select(F.inline(F.array(*shares))).filter("`column` IS NOT NULL OR check = 'completeness'")
+                .unionByName(df.sparkSession.range(1).select(F.inline(F.array(*seeds)))))
+    added = unfolded.groupBy("check", "scope", "column").agg(
+        F.sum("part").alias("part"), F.sum("whole").alias("whole"), F.max("latest").alias("latest"))
+    ratio = F.try_divide(F.col("part"), F.col("whole"))
+    age = (F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros("latest")) / 3.6e9
+    number = {"missing_ratio": F.coalesce(ratio, F.lit(1.0)), "range": F.col("part").cast("double"),
+              "freshness_hours": age, "completeness": 1 - ratio, "not_empty": F.col("part").cast("double")}
+    limit = {"missing_ratio": max_missing, "range": 0.0, "freshness_hours": max_age_hours,
+             "completeness": max_missing, "not_empty": 1.0}
+
+    def per_check(values):
+        out = F
+        for check, column in values.items():
+            out = out.when(F.col("check") == check, column)
+        return out
+
+    report = (added.withColumn("value", per_check(number))
+              .withColumn("threshold", per_check({k: F.lit(float(v)) for k, v in limit.items()}))
+              .filter("check <> 'not_empty' OR value = 0")
+              .withColumn("bad", F.coalesce(F.col("value") > F.col("threshold"), F.lit(True)) | (F.col("check") == "not_empty")))
     jumps = (zscore_outliers(df.filter(F.col(metric).isin(list(rules))), value, z_limit, [metric])
-             .select(*row("jumps", all_, F.col(metric), F.col("jumps"), 0, F.col("jumps") > 0)))
-    gap = 1 - F.col("_rows") / hours_between("_first", "_last")
-    complete = profile.select(*row("completeness", F.col(city), F.col(metric), gap, max_missing, gap > max_missing))
-    report = missing.unionByName(ranges).unionByName(fresh).unionByName(jumps).unionByName(complete)
+             .select(F.lit("jumps").alias("check"), F.lit("all").alias("scope"), F.col(metric).alias("column"),
+                     F.col("jumps").cast("double").alias("value"), F.lit(0.0).alias("threshold"),
+                     (F.col("jumps") > 0).alias("bad")))
+    report = report.select("check", "scope", "column", "value", "threshold", "bad").unionByName(jumps)
     if arrival is not None:
-        ordered = monotonicity(df, ts, arrival)
-        report = report.unionByName(ordered.select(*row(
-            "monotonic", all_, F.lit(ts), F.col("is_monotonic").cast("int"), 1, ~F.col("is_monotonic"))))
-    empty = totals.filter("n IS NULL").select(*row("not_empty", all_, F.lit("rows"), F.lit(0), 1, F.lit(True)))
-    return report.unionByName(empty)
+        report = report.unionByName(monotonicity(df, ts, arrival).select(
+            F.lit("monotonic").alias("check"), F.lit("all").alias("scope"), F.lit(ts).alias("column"),
+            F.col("is_monotonic").cast("double").alias("value"), F.lit(1.0).alias("threshold"),
+            (~F.col("is_monotonic")).alias("bad")))
+    return report.withColumn("status", F.when(F.col("bad"), "warning").otherwise("ok")).drop("bad")
 
 
 def report_valid(report: DataFrame) -> DataFrame:

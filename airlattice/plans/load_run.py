@@ -11,7 +11,8 @@ from airlattice.operators.quality import daily_quality_metrics, quality_report
 from airlattice.operators.reshape import hourly_by_city, hourly_weather, hourly_wide, pivot_metrics
 from airlattice.operators.scope import keep_metrics
 from airlattice.sources import payloads, sinks
-from airlattice.tables import create_tables, load_warehouse, read_table
+from airlattice.session import stored
+from airlattice.tables import Warehouse, create_tables, load_warehouse, read_table
 
 
 def run_summary(cities: DataFrame, air: DataFrame, weather: DataFrame, issues: DataFrame | None = None) -> DataFrame:
@@ -53,6 +54,13 @@ def load_cities(spark: SparkSession, root: str, cities: DataFrame) -> int:
     return sinks.append_cities(spark, root, cities)
 
 
+def append_touched_quality(spark: SparkSession, root: str, batch: DataFrame) -> int:
+    """Quality rows of the days a batch touches; only those folders of the fact are read."""
+    t = load_warehouse(spark, root)
+    touched = Warehouse(t.dim_city, t.dim_metric, sinks.stored_days(t.fact_air_quality, batch), t.fact_weather)
+    return sinks.append_quality(spark, root, daily_quality_metrics(touched))
+
+
 def run_load(spark: SparkSession, root: str, observations: str, weather: str, cities: DataFrame,
              as_of, metrics=None, envelope: bool = False) -> dict:
     """Load both payload folders for all cities at once.
@@ -62,14 +70,12 @@ def run_load(spark: SparkSession, root: str, observations: str, weather: str, ci
     load_cities(spark, root, cities)
     known = read_table(spark, root, "dim_city")
     obs = payloads.read_observations(spark, observations, known, envelope=envelope)
-    hourly = hourly_observations(obs, metrics)
+    hourly = stored(hourly_observations(obs, metrics))
     sky = payloads.read_weather(spark, weather)
     report = quality_report(hourly.select("timestamp", "city", "parameter", "value_ug_m3"), as_of,
                             city="city", metric="parameter")
     written = {"fact_air_quality": sinks.append_observations(spark, root, hourly),
                "fact_weather": sinks.append_weather(spark, root, sky)}
-    days = hourly.select(F.to_date("timestamp").alias("date")).distinct()
-    fresh = daily_quality_metrics(load_warehouse(spark, root)).join(F.broadcast(days), "date", "left_semi")
-    written["fact_data_quality_metrics"] = sinks.append_quality(spark, root, fresh)
+    written["fact_data_quality_metrics"] = append_touched_quality(spark, root, hourly)
     issues = report.filter("status = 'warning' AND scope <> 'all'").select(F.col("scope").alias("city"))
     return {"written": written, "report": report, "summary": run_summary(known, hourly, sky, issues)}

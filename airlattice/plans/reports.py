@@ -16,17 +16,46 @@ from airlattice.plans import views as V
 from airlattice.tables import Warehouse
 
 PAIR = ["city_name", "metric_code"]
+# Views whose rows look back at earlier rows: a time limit may only follow them.
+TIMED = {"v_air_quality", "v_weather", "v_air_quality_weather"}
+LOOKS_BACK = {"v_moving_averages", "v_air_quality_lags"}
+
+
+def within(t: Warehouse, start=None, end=None, inclusive_midnight: bool = False, days: bool = False) -> Warehouse:
+    """The tables with both facts limited in time, so that stored folders are pruned.
+
+    ``days`` widens the limits to whole days, as a limit on a date column means.
+    """
+    if days:
+        start, end = [None if x is None else str(x)[:10] for x in (start, end)]
+        inclusive_midnight = False
+
+    def limited(fact):
+        return scope(fact, start=start, end=end, inclusive_midnight=inclusive_midnight)
+
+    return Warehouse(t.dim_city, t.dim_metric, limited(t.fact_air_quality), limited(t.fact_weather))
+
+
+def _limits(where: dict) -> tuple[dict, dict]:
+    """(time limits, name filters) of a scope."""
+    names = {k: v for k, v in where.items() if k in ("cities", "metrics")}
+    return {k: v for k, v in where.items() if k not in names}, names
 
 
 def trends(t: Warehouse, **where) -> DataFrame:
     """Values of the chosen series in time order."""
-    return (scope(V.v_air_quality(t), **where)
+    limits, names = _limits(where)
+    return (scope(V.v_air_quality(within(t, **limits)), **names)
             .select("timestamp", *PAIR, "value_ug_m3").orderBy("timestamp", *PAIR))
 
 
 def browse(t: Warehouse, view: str, n: int = 1000, **where) -> DataFrame:
     """The newest ``n`` rows of a view in scope, in a total order."""
-    df = V.VIEWS[view](t)
+    limits, names = _limits(where)
+    if view in LOOKS_BACK:
+        df = V.VIEWS[view](t)
+    else:
+        df, where = V.VIEWS[view](within(t, days=view not in TIMED, **limits)), names
     on = "timestamp" if "timestamp" in df.columns else "date"
     newest = [c for c in (on, "hour") if c in df.columns]
     ties = [c for c in PAIR if c in df.columns]
@@ -35,14 +64,16 @@ def browse(t: Warehouse, view: str, n: int = 1000, **where) -> DataFrame:
 
 def exceedance_days(t: Warehouse, **where) -> DataFrame:
     """Days above the limit, newest first, longest first within a day."""
-    return (scope(V.v_days_with_exceedances(t), on="date", **where).filter("has_exceedance")
+    limits, names = _limits(where)
+    return (scope(V.v_days_with_exceedances(within(t, days=True, **limits)), **names).filter("has_exceedance")
             .orderBy(F.desc("date"), F.desc("exceedance_hours"), *PAIR))
 
 
 def risk_counts(t: Warehouse, n: int | None = 5000, **where) -> DataFrame:
     """Rows per (date, hour, city, metric, level), the first ``n`` in that order."""
     keys = ["date", "hour", *PAIR, "risk_level"]
-    out = (scope(V.v_risk_map(t), on="date", **where)
+    limits, names = _limits(where)
+    out = (scope(V.v_risk_map(within(t, days=True, **limits)), **names)
            .groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).orderBy(*keys))
     return out if n is None else out.limit(n)
 
@@ -50,8 +81,7 @@ def risk_counts(t: Warehouse, n: int | None = 5000, **where) -> DataFrame:
 def completeness_range(t: Warehouse, start, end, cities=None, metrics=None,
                        include_empty: bool = False) -> DataFrame:
     """Distinct hours with data against all hours of the days from ``start`` to ``end``."""
-    named = scope(V.observations(t).withColumn("date", F.to_date("timestamp")),
-                  cities, metrics, start, end, on="date")
+    named = scope(V.observations(within(t, start, end, days=True)), cities, metrics)
     days = F.size(day_series(F.lit(str(start)), F.lit(str(end))))
     expected = (days * 24).cast("bigint")
     per_series = (day_hours(named).groupBy(*PAIR)
@@ -77,7 +107,8 @@ def completeness_range(t: Warehouse, start, end, cities=None, metrics=None,
 def range_violations(t: Warehouse, rules=None, **where) -> DataFrame:
     """Values outside their metric's range, with the share in percent rounded half even."""
     bad = F.count_if(metric_violation("metric_code", "value_ug_m3", rules))
-    return (scope(V.observations(t), **where).groupBy(*PAIR)
+    limits, names = _limits(where)
+    return (scope(V.observations(within(t, **limits)), **names).groupBy(*PAIR)
             .agg(F.count(F.lit(1)).alias("total_records"), bad.alias("range_violations"),
                  F.min("value_ug_m3").alias("min_value"), F.max("value_ug_m3").alias("max_value"),
                  F.avg("value_ug_m3").alias("avg_value"))
@@ -88,18 +119,19 @@ def range_violations(t: Warehouse, rules=None, **where) -> DataFrame:
 def station_metadata(t: Warehouse, approximate: bool = False, **where) -> DataFrame:
     """Mean station count, number of locations and rows per series."""
     places = F.approx_count_distinct("location_id") if approximate else F.count_distinct("location_id")
-    return (scope(V.observations(t), **where).groupBy(*PAIR)
+    limits, names = _limits(where)
+    return (scope(V.observations(within(t, **limits)), **names).groupBy(*PAIR)
             .agg(F.avg("station_count").alias("avg_stations"), places.alias("unique_locations"),
                  F.count(F.lit(1)).alias("total_records")))
 
 
 def period_statistics(t: Warehouse, weather: str = "fanout", **where) -> DataFrame:
     """Value and weather statistics of each series over the period, scoped before any join."""
-    limits = {k: v for k, v in where.items() if k not in ("cities", "metrics")}
-    names = {k: v for k, v in where.items() if k in ("cities", "metrics")}
-    totals = V.day_totals(scope(t.fact_air_quality, **limits), ["metric_id"])
+    limits, names = _limits(where)
+    totals = V.day_totals(within(t, **limits).fact_air_quality, ["metric_id"])
     named = scope(star(totals, t.dim_city, t.dim_metric), **names)
-    return (V.weighted_summary(named, t.fact_weather, PAIR, weather)
+    sky = within(t, days=True, **limits).fact_weather
+    return (V.weighted_summary(named, sky, PAIR, weather)
             .select(*PAIR, "avg_value", "min_value", "max_value",
                     F.col("data_points").alias("total_records"), "avg_temperature", "avg_wind_speed")
             .orderBy(*PAIR))
@@ -133,8 +165,13 @@ def table_status(t: Warehouse, as_of) -> DataFrame:
 
 
 def weather_correlations(t: Warehouse, cols=None, **where) -> DataFrame:
-    """Correlation matrix per metric over every row in scope."""
-    return correlation_matrix(scope(V.v_air_quality_weather(t), **where), cols or CORRELATED)
+    """Correlation matrix per metric over every row in scope.
+
+    Both sides carry the time the rows are joined on, so limiting them first keeps the result.
+    """
+    limits, names = _limits(where)
+    rows = scope(V.v_air_quality_weather(within(t, **limits)), **names)
+    return correlation_matrix(rows, cols or CORRELATED)
 
 
 def run_query(spark: SparkSession, sql: str) -> DataFrame:

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from airlattice.operators.quality import daily_quality_metrics
+from airlattice.plans.load_run import append_touched_quality
+from airlattice.session import stored
 from airlattice.sources import payloads, sinks
-from airlattice.tables import load_warehouse
 
 LATENESS = "24 hours"
 DUPLICATE_KEY = ["location_id", "parameter", "timestamp"]
@@ -38,10 +38,9 @@ def hourly_stream(obs: DataFrame, city: str = "city", value: str = "value_ug_m3"
 
 def load_batch(spark: SparkSession, root: str, batch: DataFrame) -> None:
     """Append one micro-batch and the quality rows of its days; safe to repeat."""
+    batch = stored(batch)
     sinks.append_observations(spark, root, batch)
-    days = batch.select(F.to_date("timestamp").alias("date")).distinct()
-    fresh = daily_quality_metrics(load_warehouse(spark, root)).join(F.broadcast(days), "date", "left_semi")
-    sinks.append_quality(spark, root, fresh)
+    append_touched_quality(spark, root, batch)
 
 
 def stream_to_warehouse(hourly: DataFrame, root: str, checkpoint: str, once: bool = True) -> StreamingQuery:
