@@ -60,8 +60,11 @@ def freshness(df: DataFrame, ts: str, as_of, max_age_hours: float = C.MAX_AGE_HO
 def zscore_outliers(df: DataFrame, column: str, k: float = C.Z_LIMIT, by=()) -> DataFrame:
     """(by, jumps): values more than ``k`` sample deviations from the mean of their group."""
     keys = list(by)
-    stats = df.groupBy(*keys).agg(F.avg(column).alias("_mean"), F.stddev_samp(column).alias("_std"))
-    joined = lookup(df.select(*keys, column), stats, keys) if keys else df.select(column).crossJoin(F.broadcast(stats))
+    mean, deviation = F.avg(column).alias("_mean"), F.stddev_samp(column).alias("_std")
+    if keys:
+        joined = lookup(df.select(*keys, column), df.groupBy(*keys).agg(mean, deviation), keys)
+    else:
+        joined = df.select(column, df.agg(mean).scalar().alias("_mean"), df.agg(deviation).scalar().alias("_std"))
     z = F.try_divide(F.abs(F.col(column) - F.col("_mean")), F.col("_std"))
     return joined.groupBy(*keys).agg(F.count_if(z > k).alias("jumps"))
 

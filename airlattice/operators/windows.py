@@ -149,30 +149,30 @@ def fill_hours(df: DataFrame, keys: list[str], ts: str = "timestamp") -> DataFra
 def exact_medians(df: DataFrame, columns: list[str], by: list[str], cells: int = 4096) -> DataFrame:
     """Exact medians as (by, column, median), NULLs and NaNs left out.
 
-    Values are counted first (every later step reads that one histogram), then cut into
-    equal-width cells; only the one or two cells that hold the middle ranks are put in
-    order, so no task gets a whole group.
+    Three passes over the input: the ends of each group, row counts in equal-width cells
+    between them, and the rows of just the one or two cells that hold the middle ranks.
+    Only those are shuffled and put in order, so no task gets a whole group.
     """
     keys = [*by, "column"]
     long = (df.select(*by, F.explode(F.array(*[
                 F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
                 for c in columns])).alias("_p"))
             .select(*by, "_p.column", "_p.v").filter("v IS NOT NULL AND NOT isnan(v)"))
-    histogram = long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("_n"))
-    ends = histogram.groupBy(*keys).agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"),
-                                        F.sum("_n").alias("_total"))
+    ends = long.groupBy(*keys).agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"))
     share = F.try_divide(F.col("v") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
     cell = F.coalesce(F.least(F.floor(share * cells), F.lit(cells - 1)), F.lit(0))
-    counted = lookup(histogram, ends, keys).withColumn("_cell", cell)
-    earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    celled = lookup(long, ends, keys).select(*keys, "v", cell.alias("_cell"))
+    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     low_rank, high_rank = F.floor((F.col("_total") - 1) / 2), F.floor(F.col("_total") / 2)
-    middle = (counted.groupBy(*keys, "_cell").agg(F.sum("_n").alias("_in_cell"))
-              .withColumn("_before", F.coalesce(F.sum("_in_cell").over(earlier), F.lit(0))))
-    inside = (Window.partitionBy(*keys, "_cell").orderBy("v")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    ranked = (lookup(counted, middle, [*keys, "_cell"])
-              .filter((F.col("_before") <= high_rank)
-                      & (F.col("_before") + F.col("_in_cell") > low_rank))
+    middle = (celled.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_in_cell"))
+              .withColumn("_before", F.coalesce(F.sum("_in_cell").over(earlier), F.lit(0)))
+              .withColumn("_total", F.sum("_in_cell").over(whole))
+              .filter((F.col("_before") <= high_rank) & (F.col("_before") + F.col("_in_cell") > low_rank))
+              .drop("_in_cell"))
+    inside = Window.partitionBy(*keys, "_cell").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (lookup(celled, middle, [*keys, "_cell"])
+              .groupBy(*keys, "_cell", "_before", "_total", "v").agg(F.count(F.lit(1)).alias("_n"))
               .withColumn("_from", F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))))
 
     def value_at(rank):
