@@ -12,8 +12,11 @@ PLACE = ["latitude", "longitude", "location_id", "location_name"]
 
 
 def _first_known(columns, order):
-    """Per column, its value in the earliest row where it is not NULL."""
-    return [F.min_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in columns]
+    """Per column, its value in the earliest row where it is not NULL; ties go to the least value."""
+    def first(c):
+        seen = F.struct(*order, F.col(c).alias("_v"))
+        return F.min(F.when(F.col(c).isNotNull(), seen)).getField("_v").alias(c)
+    return [first(c) for c in columns]
 
 
 def _mean(total, number):
@@ -22,22 +25,20 @@ def _mean(total, number):
 
 def station_hours(obs: DataFrame, value: str = "value_ug_m3", by=("location_id",), extra=()) -> DataFrame:
     """Mergeable totals per station, hour and parameter: a far smaller frame to join with."""
-    order = F.struct("timestamp")
     keys = [*by, "parameter"]
     place = [c for c in PLACE if c in obs.columns and c not in keys] + list(extra)
     return (obs.groupBy(*keys, hour_floor("timestamp").alias("timestamp_hour"))
             .agg(F.sum(value).alias("v_sum"), F.count(value).alias("v_n"),
-                 F.min("timestamp").alias("first_seen"), *_first_known(place, order)))
+                 F.min("timestamp").alias("first_seen"), *_first_known(place, ["timestamp"])))
 
 
 def merge_station_hours(totals: DataFrame, city: str = "city") -> DataFrame:
     """City-hour rows from station totals that carry a city column."""
-    order = F.struct("first_seen", "location_id")
     place = [c for c in PLACE if c in totals.columns]
     return (totals.groupBy(city, "timestamp_hour", "parameter")
             .agg(F.sum("v_sum").alias("v_sum"), F.sum("v_n").cast("int").alias("station_count"),
                  F.count_distinct("location_id").cast("int").alias("distinct_stations"),
-                 *_first_known(place, order))
+                 *_first_known(place, ["first_seen", "location_id"]))
             .withColumn("value_ug_m3", _mean("v_sum", "station_count"))
             .drop("v_sum"))
 
@@ -70,7 +71,7 @@ def hourly_wide(wide: DataFrame, city: str = "city", metrics=None) -> DataFrame:
     present = [m for m in (metrics or C.METRIC_CODES) if m in wide.columns]
     meta = [c for c in [*PLACE, "station_count"] if c in wide.columns]
     hour = F.col("timestamp_hour") if "timestamp_hour" in wide.columns else hour_floor("timestamp")
-    order = F.struct(*[c for c in ("timestamp", "location_id", "station_count") if c in wide.columns] or [F.lit(0)])
+    order = [c for c in ("timestamp", "location_id", "station_count") if c in wide.columns]
     return (wide.groupBy(city, hour.alias("timestamp_hour"))
             .agg(*[F.avg(m).alias(m) for m in present], *_first_known(meta, order)))
 

@@ -229,19 +229,23 @@ def fold_rows(df: DataFrame, train_days: int = 30, test_days: int = 7, by=CITY,
 
 
 def backtest(features: DataFrame, train_days: int = 30, test_days: int = 7, by=CITY,
-             model: str = "persistence", last_fold: bool = False, **params) -> DataFrame:
+             model: str = "persistence", last_fold: bool = False, pooled: bool = False, **params) -> DataFrame:
     """Test rows of all folds with their prediction.
 
-    ``persistence`` predicts the previous value and runs as one plan. ``boosting`` fits
-    once per fold over the rows of all series; the number of folds is set by the calendar.
+    ``persistence`` predicts the previous value and runs as one plan. ``boosting`` fits one
+    model per series and fold, as many as the series passed in and the calendar give; with
+    ``pooled`` one model per fold learns from all series.
     """
     rows = fold_rows(features, train_days, test_days, by, last_fold)
     if model == "persistence":
         return rows.filter("role = 'test'").withColumn("prediction", F.col(f"{TARGET}_lag_1h"))
     rows = stored(rows)
     out = None
-    for (fold,) in rows.select("fold").distinct().orderBy("fold").collect():
-        part = rows.filter(F.col("fold") == fold)
+    groups = ["fold"] if pooled else [*by, "fold"]
+    for group in rows.select(*groups).distinct().orderBy(*groups).collect():
+        part = rows
+        for name in groups:
+            part = part.filter(F.col(name).eqNullSafe(group[name]))
         fitted = fit(part.filter("role = 'train'"), **params)
         scored = predict(fitted, part.filter("role = 'test'"))
         out = scored if out is None else out.unionByName(scored)
