@@ -35,7 +35,7 @@ def _read(spark: SparkSession, root: str, name: str) -> DataFrame:
     return use_utc(spark).read.schema(LAYOUTS[name]).parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
-def _mapped(column, values: dict, other):
+def mapped(column, values: dict, other):
     """A small lookup as one CASE expression that is never NULL."""
     out = F
     for key, value in values.items():
@@ -66,7 +66,7 @@ def dim_city(spark: SparkSession, root: str) -> DataFrame:
 def station_observations(spark: SparkSession, root: str) -> DataFrame:
     """The long frame of the log. Values carry two decimals and are kept exact."""
     kind = F.col("event_type")
-    code = _mapped(kind, EVENT_METRIC, "")
+    code = mapped(kind, EVENT_METRIC, "")
     user = F.col("user_id")
     return (events(spark, root).filter(kind.isin(list(EVENT_METRIC)))
             .select("event_id", user.alias("location_id"),
@@ -80,7 +80,7 @@ def station_observations(spark: SparkSession, root: str) -> DataFrame:
 def fact_air_quality(spark: SparkSession, root: str) -> DataFrame:
     totals = station_hours(station_observations(spark, root)).join(user_cities(spark, root), "location_id")
     hourly = merge_station_hours(totals, "city_id")
-    ids = _mapped(F.col("parameter"), {m[1]: m[0] for m in C.METRICS}, -1)
+    ids = mapped(F.col("parameter"), {m[1]: m[0] for m in C.METRICS}, -1)
     return hourly.select(F.col("timestamp_hour").alias("timestamp"), "city_id", ids.alias("metric_id"),
                          F.col("value_ug_m3").alias("value"), "value_ug_m3", "station_count",
                          "latitude", "longitude", F.col("location_id").cast("string").alias("location_id"),

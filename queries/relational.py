@@ -467,7 +467,7 @@ METRIC_IDS = {m[1]: m[0] for m in C.METRICS}
 def gap_profile(spark, folder):
     t = eventlog.event_warehouse(spark, folder)
     ids = F.col("city_id")
-    profile = gaps.gap_profile(spark).withColumn("city_id", eventlog._mapped(F.col("city_name"), CITY_IDS, -1))
+    profile = gaps.gap_profile(spark).withColumn("city_id", eventlog.mapped(F.col("city_name"), CITY_IDS, -1))
     named = profile.drop("city_name").join(t.dim_city.select(ids, "city_name"), "city_id").drop("city_id")
     return gaps.inject_gap_profile(t, named, AS_OF).select(*KEEP)
 
