@@ -137,7 +137,8 @@ def trained(t):
 
 @on_warehouse("M12_train_per_city", f"""
 SELECT city_name, part, COUNT(*) AS n, TRUE AS finite FROM (SELECT city_name, {PART} AS part FROM pm
-WHERE city_name IN ('ASIA','EUROPE')) GROUP BY 1, 2""")
+WHERE city_name IN ('ASIA','EUROPE')
+  AND city_name IN (SELECT city_name FROM pm GROUP BY 1 HAVING COUNT(*) >= 100)) GROUP BY 1, 2""")
 def trained_cities(t):
     fitted = M.train_cities(M.build_features(frame(t)), ["ASIA", "EUROPE", "NOWHERE"], **SMALL)
     out = t.dim_city.select("city_name", F.lit("").alias("part"), F.lit(0).cast("bigint").alias("n"),
