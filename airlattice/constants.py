@@ -4,14 +4,14 @@ Everything in this module is a fixed value: results are only right when these
 codes, limits and coordinates are exactly the published ones.
 """
 
-# metric_id, metric_code, metric_name, unit, description
+# metric_id, metric_code, metric_name, unit
 METRICS = [
-    (1, "pm25", "PM2.5", "µg/m³", "Particulate matter 2.5 micrometers"),
-    (2, "pm10", "PM10", "µg/m³", "Particulate matter 10 micrometers"),
-    (3, "no2", "Nitrogen Dioxide", "µg/m³", "NO₂ concentration"),
-    (4, "o3", "Ozone", "µg/m³", "O₃ concentration"),
-    (5, "co", "Carbon Monoxide", "µg/m³", "CO concentration"),
-    (6, "so2", "Sulfur Dioxide", "µg/m³", "SO₂ concentration"),
+    (1, "pm25", "PM2.5", "µg/m³"),
+    (2, "pm10", "PM10", "µg/m³"),
+    (3, "no2", "Nitrogen Dioxide", "µg/m³"),
+    (4, "o3", "Ozone", "µg/m³"),
+    (5, "co", "Carbon Monoxide", "µg/m³"),
+    (6, "so2", "Sulfur Dioxide", "µg/m³"),
 ]
 
 METRIC_CODES = [m[1] for m in METRICS]
@@ -87,20 +87,9 @@ Z_LIMIT = 3.0
 MAX_RADIUS_M = 25_000
 EARTH_RADIUS_M = 6_371_000.0
 
-# city, metric, percent of the last week to remove
-GAP_PROFILE = [
-    ("London", "pm25", 1.77), ("London", "pm10", 2.13), ("London", "no2", 1.45), ("London", "o3", 2.89),
-    ("Paris", "pm25", 1.92), ("Paris", "pm10", 2.34), ("Paris", "no2", 1.68), ("Paris", "o3", 2.56),
-    ("Berlin", "pm25", 1.23), ("Berlin", "pm10", 2.67), ("Berlin", "no2", 1.89), ("Berlin", "o3", 2.01),
-    ("New York", "pm25", 2.45), ("New York", "pm10", 1.56), ("New York", "no2", 2.78), ("New York", "o3", 1.34),
-    ("Tokyo", "pm25", 1.67), ("Tokyo", "pm10", 2.23), ("Tokyo", "no2", 1.91), ("Tokyo", "o3", 2.12),
-]
-
 # Forecast model.
 LAGS = [1, 2, 3, 6, 24]
 MEANS = [3, 6, 24]
 BASE_FEATURES = WEATHER_COLUMNS + ["pm10"]
 BOOSTING = {"maxIter": 200, "maxDepth": 7, "stepSize": 0.05, "minInstancesPerNode": 5,
             "subsamplingRate": 0.8, "seed": 42}
-MIN_TRAIN_ROWS = 100
-MIN_TEST_ROWS = 24

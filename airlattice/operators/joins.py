@@ -1,7 +1,7 @@
 """Joins of observations with dimensions, weather and other metrics.
 
-Dimension sides carry no forced broadcast except the six-row metric list: the city
-table grows with the data, so Catalyst decides from its size.
+Dimension sides carry no forced broadcast: Catalyst and adaptive execution decide from
+their sizes.
 """
 
 from __future__ import annotations
@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlattice import constants as C
-from airlattice.functions.times import ago, hour_floor
+from airlattice.functions.times import hour_floor
+from airlattice.operators.scope import last
 
 
 def star(fact: DataFrame, city: DataFrame, metric: DataFrame | None = None) -> DataFrame:
@@ -19,7 +20,7 @@ def star(fact: DataFrame, city: DataFrame, metric: DataFrame | None = None) -> D
     out = fact.join(city.select("city_id", *extra), "city_id")
     if metric is not None:
         named = metric.select("metric_id", "metric_code", "metric_name", "unit")
-        out = out.join(F.broadcast(named), "metric_id")
+        out = out.join(named, "metric_id")
     return out
 
 
@@ -55,7 +56,7 @@ def with_metric(air: DataFrame, fact: DataFrame, metric_id, name: str) -> DataFr
     return air.join(other, ["city_id", "timestamp"], "left")
 
 
-def merge_air_quality_and_weather(air: DataFrame, weather: DataFrame,
+def merge_observations_and_weather(air: DataFrame, weather: DataFrame,
                                   keys=("city", "timestamp_hour")) -> DataFrame:
     """Full outer merge of hourly frames; keys present on either side are kept."""
     return (air.join(weather, list(keys), "full")
@@ -70,7 +71,7 @@ def records_by_city(city: DataFrame, air: DataFrame, weather: DataFrame, as_of,
     products, computed from the two counts, and ``dedup`` reports the plain counts.
     """
     def recent(df, name):
-        return (df.filter(F.col("timestamp") >= ago(as_of, interval))
+        return (last(df, interval, as_of)
                 .groupBy("city_id").agg(F.count(F.lit(1)).alias(name)))
 
     out = (city.select("city_id", "city_name")

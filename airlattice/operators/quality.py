@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,11 +38,17 @@ def range_violation_count(df: DataFrame, rules: dict) -> DataFrame:
 def monotonicity(df: DataFrame, ts: str, arrival: str, by=(), slice_by: Column | None = None) -> DataFrame:
     """(by, is_monotonic): does time never step back along the order of arrival?
 
-    ``slice_by`` cuts the arrival order into bounded runs; the default suits a number.
+    ``slice_by`` cuts the arrival order into bounded runs. Without it the range of arrival
+    numbers is cut into runs of about 65,536 rows, whatever its unit.
     """
     keys = list(by) or ["_all"]
     narrow = df.withColumn("_all", F.lit(1)).select(*keys, F.col(ts).alias("_ts"), F.col(arrival).alias("_at"))
-    cut = F.floor(F.col("_at") / 65_536) if slice_by is None else slice_by
+    if slice_by is None:
+        at = F.col("_at").cast("double")
+        width = narrow.agg(F.greatest((F.max(at) - F.min(at)) / F.greatest(F.ceil(F.count("*") / 65_536), F.lit(1)), F.lit(1.0))).scalar()
+        cut = F.floor(at / width)
+    else:
+        cut = slice_by
     steps = with_history(narrow, keys, "_at", 1, {"_prev": lag_of("_ts", 1)}, slice_by=cut)
     out = steps.groupBy(*keys).agg(
         F.coalesce(F.bool_and(F.col("_prev").isNull() | (F.col("_ts") >= F.col("_prev"))),
@@ -202,11 +208,26 @@ def quality_gate(report: DataFrame) -> None:
         raise QualityError(f"data quality validation failed with {verdict['warnings']} warnings")
 
 
-def daily_quality_metrics(t: Warehouse, arrival: str | None = None, rules=None) -> DataFrame:
-    """One quality row per (date, city, metric), in the layout of the quality table."""
+def in_order_of_loads(rows: DataFrame, keys, loaded: str, ts: str = "timestamp") -> DataFrame:
+    """(keys, is_monotonic): no load brings a time before the newest one of an earlier load.
+
+    Loads are counted first, so only one row per key and load is put in order. The rows of
+    one load arrive together and have no order among themselves.
+    """
+    loads = rows.groupBy(*keys, loaded).agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
+    before = Window.partitionBy(*keys).orderBy(loaded).rowsBetween(Window.unboundedPreceding, -1)
+    back = F.coalesce(F.col("_first") < F.max("_last").over(before), F.lit(False))
+    return loads.select(*keys, back.alias("_back")).groupBy(*keys).agg((~F.bool_or("_back")).alias("is_monotonic"))
+
+
+def daily_quality_metrics(t: Warehouse, arrival: str | None = None, rules=None, loaded: str | None = None) -> DataFrame:
+    """One quality row per (date, city, metric), in the layout of the quality table.
+
+    The order of arrival is that of a column (``arrival``) or of the loads (``loaded``).
+    """
     keys = ["date", "city_id", "metric_id"]
-    code = F.broadcast(t.dim_metric.select("metric_id", "metric_code"))
-    rows = t.fact_air_quality.withColumn("date", F.to_date("timestamp")).join(code, "metric_id")
+    code = t.dim_metric.select("metric_id", "metric_code")
+    rows = t.fact_observation.withColumn("date", F.to_date("timestamp")).join(code, "metric_id")
     hour_keys = [*keys, "_hour"]
     v = "value_ug_m3"
     hourly = rows.withColumn("_hour", hour_floor("timestamp"))
@@ -217,6 +238,8 @@ def daily_quality_metrics(t: Warehouse, arrival: str | None = None, rules=None)
     out = counts.join(jumps, keys)
     if arrival is not None:
         out = out.join(monotonicity(rows, "timestamp", arrival, keys), keys)
+    elif loaded is not None:
+        out = out.join(in_order_of_loads(rows, keys, loaded), keys)
     else:
         out = out.withColumn("is_monotonic", F.lit(True))
     ratio = F.col("hours") / F.lit(C.POINTS_PER_DAY)

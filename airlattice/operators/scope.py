@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airlattice import constants as C
@@ -42,10 +42,26 @@ def scope(df: DataFrame, cities=None, metrics=None, start=None, end=None,
     return df
 
 
+def between(df: DataFrame, lower: Column | None = None, upper: Column | None = None, closed: bool = False,
+            ts: str = "timestamp") -> DataFrame:
+    """Rows from ``lower`` on and before ``upper`` (``closed``: up to it).
+
+    Where the frame is stored by ``event_date`` its days are limited too, so that other
+    folders are not read.
+    """
+    by_day = "event_date" in df.columns
+    if lower is not None:
+        df = df.filter(F.col(ts) >= lower)
+        df = df.filter(F.col("event_date") >= F.to_date(lower)) if by_day else df
+    if upper is not None:
+        df = df.filter(F.col(ts) <= upper if closed else F.col(ts) < upper)
+        df = df.filter(F.col("event_date") <= F.to_date(upper)) if by_day else df
+    return df
+
+
 def last(df: DataFrame, interval: str, as_of, ts: str = "timestamp", until: bool = False) -> DataFrame:
     """Rows from ``interval`` before ``as_of`` on; with ``until`` only those before it."""
-    df = df.filter(F.col(ts) >= ago(as_of, interval))
-    return df.filter(F.col(ts) < F.lit(as_of).cast("timestamp")) if until else df
+    return between(df, ago(as_of, interval), F.lit(as_of).cast("timestamp") if until else None, ts=ts)
 
 
 def keep_metrics(df: DataFrame, allow=None, deny=None, metric: str = "metric_code") -> DataFrame:

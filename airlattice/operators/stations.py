@@ -13,16 +13,16 @@ from airlattice.operators.reshape import top_per_group
 
 
 def stations_near(cities: DataFrame, stations: DataFrame, radius_m: float = C.MAX_RADIUS_M,
-                  k: int | None = 5) -> DataFrame:
-    """The ``k`` nearest stations within the radius (at most 25 km) of each city.
+                  k: int | None = None) -> DataFrame:
+    """The stations within the radius of each city, or with ``k`` the nearest of them.
 
     The globe is cut into cells no smaller than the radius. A city asks the cells its
     circle can reach (more of them sideways near the poles, wrapping at the date line),
     which makes the distance test an equi-join on the cell.
     """
-    radius = min(float(radius_m), float(C.MAX_RADIUS_M))
-    reach = math.degrees(radius / C.EARTH_RADIUS_M)
-    columns = int(360 // reach)
+    radius = float(radius_m)
+    reach = min(math.degrees(radius / C.EARTH_RADIUS_M), 180.0)
+    columns = max(1, int(360 // reach)) if reach > 0 else 1
     cell = 360.0 / columns
 
     def row(lat):

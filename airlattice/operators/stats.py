@@ -73,6 +73,6 @@ def risk_pivot(counts: DataFrame, metric: str) -> DataFrame:
 
 
 def completeness_heatmap(completeness: DataFrame, metrics=None) -> DataFrame:
-    """City by metric grid of mean completeness."""
-    return (completeness.groupBy("city_name").pivot("metric_code", list(metrics or C.REQUESTED_METRICS))
+    """City by metric grid of mean completeness, of all metrics by default."""
+    return (completeness.groupBy("city_name").pivot("metric_code", list(metrics or C.METRIC_CODES))
             .agg(F.avg(F.col("avg_completeness").cast("double"))))

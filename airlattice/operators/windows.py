@@ -45,11 +45,10 @@ def block_places(df: DataFrame, keys: list[str], history: int, block_rows: int)
     """Which blocks each slice belongs to: its own, and later ones it is halo for.
 
     A slice is halo for a block that starts fewer than ``history`` rows after the
-    slice ends. Blocks are numbered by the row count before them, so with
-    ``history <= block_rows`` only the next two blocks can qualify.
+    slice ends. Blocks are numbered by the row count before them and hold at least
+    ``history`` rows, so only the next two blocks can qualify.
     """
-    if history > block_rows:
-        raise ValueError("history must not exceed block_rows")
+    block_rows = max(block_rows, history)
     forward = Window.partitionBy(*keys).orderBy("_slice")
     later = (Window.partitionBy(*keys).orderBy(F.desc("_slice"))
              .rowsBetween(Window.unboundedPreceding, -1))
@@ -115,10 +114,10 @@ def trailing_days_mean(df: DataFrame, value: str, days: int, by: list[str],
                        ts: str = "timestamp", name: str = "mean", block_days: int = 64) -> DataFrame:
     """Mean over the ``days`` days up to and including each row's time.
 
-    Blocks are runs of whole days, and a row within ``days`` of the next block is its halo.
+    Blocks are runs of whole days, at least ``days`` long, and a row within ``days`` of the
+    next block is its halo. Decimals are summed exactly, so their mean does not depend on order.
     """
-    if days > block_days:
-        raise ValueError("days must not exceed block_days")
+    block_days = max(block_days, days)
     second = F.unix_seconds(col(ts).cast("timestamp"))
     span, width = days * 86_400, block_days * 86_400
     own = F.floor(second / width)
@@ -127,13 +126,14 @@ def trailing_days_mean(df: DataFrame, value: str, days: int, by: list[str],
               .withColumn("_own", own)
               .withColumn("_block", F.explode(F.array_distinct(F.array(own, reach)))))
     spec = (Window.partitionBy(*by, "_block").orderBy("_second").rangeBetween(-(span - 1), 0))
-    return (placed.withColumn(name, F.avg(value).over(spec))
+    mean = F.sum(value).over(spec).cast("double") / F.count(value).over(spec)
+    return (placed.withColumn(name, mean)
             .filter(F.col("_block") == F.col("_own"))
             .drop("_second", "_own", "_block"))
 
 
 def fill_hours(df: DataFrame, keys: list[str], ts: str = "timestamp") -> DataFrame:
-    """One row per hour from the first to the last hour of each series; gaps hold NULLs."""
+    """Every row, and a row of NULLs for each hour without one from the first to the last of a series."""
     hours = df.groupBy(*keys).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
     days = hours.select(*keys, "_lo", "_hi", F.explode(
         F.sequence(F.date_trunc("day", "_lo"), F.date_trunc("day", "_hi"),
@@ -143,24 +143,29 @@ def fill_hours(df: DataFrame, keys: list[str], ts: str = "timestamp") -> DataFra
                             lambda h: F.col("_day") + F.make_interval(hours=h))).alias(ts))
              .filter(F.col(ts).between(F.date_trunc("hour", "_lo"), F.col("_hi")))
              .drop("_lo", "_hi"))
-    return lookup(spine, df, [*keys, ts], "left")
+    hourly = df.withColumnRenamed(ts, "_at").withColumn(ts, F.date_trunc("hour", "_at"))
+    return (lookup(spine, hourly, [*keys, ts], "left")
+            .withColumn(ts, F.coalesce("_at", ts)).drop("_at"))
 
 
 def exact_medians(df: DataFrame, columns: list[str], by: list[str], cells: int = 4096) -> DataFrame:
     """Exact medians as (by, column, median), NULLs and NaNs left out.
 
-    Three passes over the input: the ends of each group, row counts in equal-width cells
-    between them, and the rows of just the one or two cells that hold the middle ranks.
-    Only those are shuffled and put in order, so no task gets a whole group.
+    Three passes over the input: a bracket of approximate percentiles around the middle of
+    each group, row counts in equal-width cells of the bracket (and below and above it), and
+    the rows of just the one or two cells that hold the middle ranks. Outliers lie outside
+    the bracket, which holds about a twentieth of the rows; equal values are counted, not sorted.
     """
     keys = [*by, "column"]
     long = (df.select(*by, F.explode(F.array(*[
                 F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
                 for c in columns])).alias("_p"))
             .select(*by, "_p.column", "_p.v").filter("v IS NOT NULL AND NOT isnan(v)"))
-    ends = long.groupBy(*keys).agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"))
+    ends = (long.groupBy(*keys).agg(F.percentile_approx("v", [0.48, 0.52], 1000).alias("_b"))
+            .select(*keys, F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi")))
     share = F.try_divide(F.col("v") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
-    cell = F.coalesce(F.least(F.floor(share * cells), F.lit(cells - 1)), F.lit(0))
+    cell = (F.when(F.col("v") < F.col("_lo"), -1).when(F.col("v") > F.col("_hi"), cells)
+            .otherwise(F.coalesce(F.least(F.floor(share * cells), F.lit(cells - 1)), F.lit(0))))
     celled = lookup(long, ends, keys).select(*keys, "v", cell.alias("_cell"))
     whole = Window.partitionBy(*keys)
     earlier = whole.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)

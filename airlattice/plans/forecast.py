@@ -12,6 +12,7 @@ from airlattice import constants as C
 from airlattice.functions.times import ago, hour_floor
 from airlattice.functions.values import cycle, finite, slug, wind_vector
 from airlattice.operators.joins import join_same_hour, star, with_metric
+from airlattice.operators.scope import between
 from airlattice.operators.windows import exact_medians, lag_of, position_in_series, trailing_mean, with_history
 from airlattice.session import stored
 from airlattice.tables import Warehouse, lookup
@@ -22,6 +23,7 @@ LAG_FEATURES = [f"{TARGET}_lag_{k}h" for k in C.LAGS]
 MEAN_FEATURES = [f"{TARGET}_ma_{n}h" for n in C.MEANS]
 TIME_FEATURES = ["hour", "day_of_week", "month", "hour_sin", "hour_cos", "day_sin", "day_cos"]
 MIXED_FEATURES = ["temp_humidity", "wind_x", "wind_y"]
+CITY_INDEX = "city_index"
 FEATURES = C.BASE_FEATURES + LAG_FEATURES + MEAN_FEATURES + TIME_FEATURES + MIXED_FEATURES
 # Shares 64 / 16 / 20 of the digest space, as the first hex digits of their ends.
 TRAIN_BELOW, VALIDATION_BELOW = "a3d7", "cccd"
@@ -34,14 +36,12 @@ def _metric_id(code: str) -> int:
 def period_frame(t: Warehouse, start, end, cities=None, include_end: bool = False) -> DataFrame:
     """Target, same-hour weather and pm10 of every city, one row per city and time."""
     start, end = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
-    when = F.col("timestamp")
-    inside = (when >= start) & ((when <= end) if include_end else (when < end))
+    observed = between(t.fact_observation, start, end, closed=include_end)
     names = t.dim_city if cities is None else t.dim_city.filter(F.col("city_name").isin(list(cities)))
-    air = (star(t.fact_air_quality.filter(inside & (F.col("metric_id") == _metric_id(TARGET))), names)
+    air = (star(observed.filter(F.col("metric_id") == _metric_id(TARGET)), names)
            .select("city_id", "city_name", "timestamp", F.col("value_ug_m3").alias(TARGET)))
-    weather = t.fact_weather.filter((when >= hour_floor(start)) & (when <= end + F.expr("INTERVAL 1 HOUR")))
-    pm10 = t.fact_air_quality.filter(inside)
-    joined = with_metric(join_same_hour(air, weather), pm10, _metric_id("pm10"), "pm10")
+    weather = between(t.fact_weather, hour_floor(start), end + F.expr("INTERVAL 1 HOUR"), closed=True)
+    joined = with_metric(join_same_hour(air, weather), observed, _metric_id("pm10"), "pm10")
     return joined.select("city_name", "timestamp", TARGET, *C.BASE_FEATURES)
 
 
@@ -100,6 +100,12 @@ def build_features(df: DataFrame, by=CITY, leak_free: bool = False, **layout) ->
                       *[F.coalesce(finite(F.col(c).cast("double")), F.lit(0.0)).alias(c) for c in FEATURES])
 
 
+def city_index(df: DataFrame) -> DataFrame:
+    """The city as a number that trees can split on, from a hash: no list of cities is needed."""
+    city = F.col("city_name") if "city_name" in df.columns else F.lit("")
+    return df.withColumn(CITY_INDEX, F.pmod(F.xxhash64(city), F.lit(1 << 16)).cast("double"))
+
+
 def align_features(df: DataFrame, names=None) -> DataFrame:
     """Feature columns in the trained order; absent ones are 0."""
     names = list(names or FEATURES)
@@ -145,8 +151,8 @@ def fit(features: DataFrame, **params) -> PipelineModel:
     The frame is stored first: boosting reads it once per tree, and a lost executor must
     not replay the whole plan. The checkpoint folder bounds the lineage over many trees.
     """
-    rows = stored(features.select(TARGET, *FEATURES))
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
+    rows = stored(city_index(features).select(TARGET, *FEATURES, CITY_INDEX))
+    assembler = VectorAssembler(inputCols=[*FEATURES, CITY_INDEX], outputCol="features")
     trees = GBTRegressor(labelCol=TARGET, featuresCol="features", predictionCol="prediction",
                          **{**C.BOOSTING, **params})
     return PipelineModel([assembler, trees.fit(assembler.transform(rows))])
@@ -155,7 +161,7 @@ def fit(features: DataFrame, **params) -> PipelineModel:
 def predict(model: PipelineModel | None, features: DataFrame) -> DataFrame:
     if model is None:
         raise ValueError("no trained model; call train() or load_model() first")
-    return model.transform(align_features(features)).drop("features")
+    return model.transform(city_index(align_features(features))).drop("features", CITY_INDEX)
 
 
 def train(features: DataFrame, by=CITY, mode: str = "hash", **params) -> tuple[PipelineModel, DataFrame]:
@@ -165,18 +171,26 @@ def train(features: DataFrame, by=CITY, mode: str = "hash", **params) -> tuple[P
     return model, regression_metrics(predict(model, parts), by=["part"])
 
 
-def train_cities(features: DataFrame, cities, min_rows: int = C.MIN_TRAIN_ROWS, **params) -> dict:
-    """One model per named city; cities with fewer rows than ``min_rows`` are skipped.
+def train_cities(features: DataFrame, cities, min_rows: int = 1, root: str | None = None, **params) -> tuple[dict, dict]:
+    """(fitted, left out): one model per named city, and the reason for each city without one.
 
-    The list comes from the caller; each fit itself is distributed. For very many cities
-    use one ``train`` over all of them.
+    A city needs ``min_rows`` rows, by default any. With ``root`` every model is saved under
+    its ``model_path``. The list comes from the caller and each fit is distributed; for very
+    many cities use one ``train`` over all of them.
     """
     cities = list(cities)
     counted = {r["city_name"]: r["n"] for r in
                features.filter(F.col("city_name").isin(cities)).groupBy("city_name")
                .agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {city: train(features.filter(F.col("city_name") == city), **params)
-            for city in cities if counted.get(city, 0) >= min_rows}
+    fitted, left_out = {}, {}
+    for city in cities:
+        if (n := counted.get(city, 0)) < min_rows:
+            left_out[city] = f"{n} rows, {min_rows} needed"
+            continue
+        fitted[city] = train(features.filter(F.col("city_name") == city), **params)
+        if root is not None:
+            save_model(fitted[city][0], model_path(root, city))
+    return fitted, left_out
 
 
 def model_path(root: str, city: str) -> str:
@@ -198,12 +212,11 @@ def load_model(path: str) -> PipelineModel:
 
 
 def model_features(model: PipelineModel) -> list[str]:
-    return model.stages[0].getInputCols()
+    return [c for c in model.stages[0].getInputCols() if c != CITY_INDEX]
 
 
 def fold_rows(df: DataFrame, train_days: int = 30, test_days: int = 7, by=CITY,
-              last_fold: bool = False, min_train: int = C.MIN_TRAIN_ROWS,
-              min_test: int = C.MIN_TEST_ROWS) -> DataFrame:
+              last_fold: bool = False) -> DataFrame:
     """Rows with ``fold`` and ``role`` of a rolling-origin backtest, by position in the series.
 
     A fold trains on ``train_days * 24`` rows and tests on the next ``test_days * 24``;
@@ -212,8 +225,6 @@ def fold_rows(df: DataFrame, train_days: int = 30, test_days: int = 7, by=CITY,
     """
     by = list(by)
     train_rows, test_rows = train_days * 24, test_days * 24
-    if train_rows < min_train or test_rows < min_test:
-        return df.withColumns({"fold": F.lit(0).cast("bigint"), "role": F.lit("train")}).limit(0)
     placed = position_in_series(df, by, ["timestamp"], F.to_date("timestamp"), "_p")
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
     room = F.col("_rows") - train_rows - test_rows
@@ -229,27 +240,24 @@ def fold_rows(df: DataFrame, train_days: int = 30, test_days: int = 7, by=CITY,
 
 
 def backtest(features: DataFrame, train_days: int = 30, test_days: int = 7, by=CITY,
-             model: str = "persistence", last_fold: bool = False, pooled: bool = False, **params) -> DataFrame:
-    """Test rows of all folds with their prediction.
+             model: str = "boosting", last_fold: bool = False, **params) -> DataFrame:
+    """Test rows of all folds with their prediction, and the previous value as ``last_value``.
 
-    ``persistence`` predicts the previous value and runs as one plan. ``boosting`` fits one
-    model per series and fold, as many as the series passed in and the calendar give; with
-    ``pooled`` one model per fold learns from all series.
+    ``boosting`` fits one model per fold on the train rows of all series: as many fits as the
+    calendar has folds, however many series there are. ``persistence`` predicts the previous
+    value and runs as one plan.
     """
-    rows = fold_rows(features, train_days, test_days, by, last_fold)
+    rows = fold_rows(features, train_days, test_days, by, last_fold).withColumn("last_value", F.col(f"{TARGET}_lag_1h"))
     if model == "persistence":
-        return rows.filter("role = 'test'").withColumn("prediction", F.col(f"{TARGET}_lag_1h"))
+        return rows.filter("role = 'test'").withColumn("prediction", F.col("last_value"))
     rows = stored(rows)
-    out = None
-    groups = ["fold"] if pooled else [*by, "fold"]
-    for group in rows.select(*groups).distinct().orderBy(*groups).collect():
-        part = rows
-        for name in groups:
-            part = part.filter(F.col(name).eqNullSafe(group[name]))
+    folds = rows.agg(F.max("fold")).first()[0]
+    out = rows.filter("role = 'test' AND fold < 0").withColumn("prediction", F.lit(None).cast("double"))
+    for fold in range(0 if folds is None else folds + 1):
+        part = rows.filter(F.col("fold") == fold)
         fitted = fit(part.filter("role = 'train'"), **params)
-        scored = predict(fitted, part.filter("role = 'test'"))
-        out = scored if out is None else out.unionByName(scored)
-    return out if out is not None else rows.withColumn("prediction", F.lit(None).cast("double"))
+        out = out.unionByName(predict(fitted, part.filter("role = 'test'")).select(out.columns))
+    return out
 
 
 def backtest_metrics(scored: DataFrame, by=CITY) -> tuple[DataFrame, DataFrame]:

@@ -10,15 +10,15 @@ from airlattice.functions.times import ago, day_series
 from airlattice.functions.values import metric_violation, percent
 from airlattice.operators.joins import star
 from airlattice.operators.quality import day_hours
-from airlattice.operators.scope import scope
+from airlattice.operators.scope import last, scope
 from airlattice.operators.stats import CORRELATED, correlation_matrix
 from airlattice.plans import views as V
 from airlattice.tables import Warehouse
 
 PAIR = ["city_name", "metric_code"]
 # Views whose rows look back at earlier rows: a time limit may only follow them.
-TIMED = {"v_air_quality", "v_weather", "v_air_quality_weather"}
-LOOKS_BACK = {"v_moving_averages", "v_air_quality_lags"}
+TIMED = {"v_observations", "v_weather", "v_observations_weather"}
+LOOKS_BACK = {"v_moving_averages", "v_lags"}
 
 
 def within(t: Warehouse, start=None, end=None, inclusive_midnight: bool = False, days: bool = False) -> Warehouse:
@@ -33,7 +33,7 @@ def within(t: Warehouse, start=None, end=None, inclusive_midnight: bool = False,
     def limited(fact):
         return scope(fact, start=start, end=end, inclusive_midnight=inclusive_midnight)
 
-    return Warehouse(t.dim_city, t.dim_metric, limited(t.fact_air_quality), limited(t.fact_weather))
+    return Warehouse(t.dim_city, t.dim_metric, limited(t.fact_observation), limited(t.fact_weather))
 
 
 def _limits(where: dict) -> tuple[dict, dict]:
@@ -45,12 +45,12 @@ def _limits(where: dict) -> tuple[dict, dict]:
 def trends(t: Warehouse, **where) -> DataFrame:
     """Values of the chosen series in time order."""
     limits, names = _limits(where)
-    return (scope(V.v_air_quality(within(t, **limits)), **names)
+    return (scope(V.v_observations(within(t, **limits)), **names)
             .select("timestamp", *PAIR, "value_ug_m3").orderBy("timestamp", *PAIR))
 
 
-def browse(t: Warehouse, view: str, n: int = 1000, **where) -> DataFrame:
-    """The newest ``n`` rows of a view in scope, in a total order."""
+def browse(t: Warehouse, view: str, n: int | None = None, **where) -> DataFrame:
+    """The rows of a view in scope, newest first in a total order; with ``n`` only that many."""
     limits, names = _limits(where)
     if view in LOOKS_BACK:
         df = V.VIEWS[view](t)
@@ -59,7 +59,8 @@ def browse(t: Warehouse, view: str, n: int = 1000, **where) -> DataFrame:
     on = "timestamp" if "timestamp" in df.columns else "date"
     newest = [c for c in (on, "hour") if c in df.columns]
     ties = [c for c in PAIR if c in df.columns]
-    return scope(df, on=on, **where).orderBy(*[F.desc(c) for c in newest], *ties).limit(n)
+    out = scope(df, on=on, **where).orderBy(*[F.desc(c) for c in newest], *ties)
+    return out if n is None else out.limit(n)
 
 
 def exceedance_days(t: Warehouse, **where) -> DataFrame:
@@ -69,8 +70,8 @@ def exceedance_days(t: Warehouse, **where) -> DataFrame:
             .orderBy(F.desc("date"), F.desc("exceedance_hours"), *PAIR))
 
 
-def risk_counts(t: Warehouse, n: int | None = 5000, **where) -> DataFrame:
-    """Rows per (date, hour, city, metric, level), the first ``n`` in that order."""
+def risk_counts(t: Warehouse, n: int | None = None, **where) -> DataFrame:
+    """Rows per (date, hour, city, metric, level) in that order; with ``n`` the first of them."""
     keys = ["date", "hour", *PAIR, "risk_level"]
     limits, names = _limits(where)
     out = (scope(V.v_risk_map(within(t, days=True, **limits)), **names)
@@ -128,7 +129,7 @@ def station_metadata(t: Warehouse, approximate: bool = False, **where) -> DataFr
 def period_statistics(t: Warehouse, weather: str = "fanout", **where) -> DataFrame:
     """Value and weather statistics of each series over the period, scoped before any join."""
     limits, names = _limits(where)
-    totals = V.day_totals(within(t, **limits).fact_air_quality, ["metric_id"])
+    totals = V.day_totals(within(t, **limits).fact_observation, ["metric_id"])
     named = scope(star(totals, t.dim_city, t.dim_metric), **names)
     sky = within(t, days=True, **limits).fact_weather
     return (V.weighted_summary(named, sky, PAIR, weather)
@@ -143,8 +144,11 @@ def table_status(t: Warehouse, as_of) -> DataFrame:
         return F.count_if(F.col("timestamp") >= ago(as_of, interval))
 
     def facts(df, name):
-        one = df.agg(recent("7 days").alias("week"), recent("24 hours").alias("day"),
-                     F.max("timestamp").alias("latest"))
+        week = last(df, "7 days", as_of).agg(recent("7 days").alias("week"), recent("24 hours").alias("day"))
+        newest = df
+        if "event_date" in df.columns:  # only the newest folder is read for the newest time
+            newest = df.filter(F.col("event_date") == df.agg(F.max("event_date")).scalar())
+        one = week.withColumn("latest", newest.agg(F.max("timestamp")).scalar())
 
         def row(check, number, latest):
             return F.struct(F.lit(f"{name}_{check}").alias("check"), number.cast("bigint").alias("number"),
@@ -160,7 +164,7 @@ def table_status(t: Warehouse, as_of) -> DataFrame:
             F.lit(name).alias("check"), "number", F.lit(None).cast("timestamp").alias("latest"))
 
     return (size(t.dim_city, "cities").unionByName(size(t.dim_metric, "metrics"))
-            .unionByName(facts(t.fact_air_quality, "air_quality"))
+            .unionByName(facts(t.fact_observation, "observation"))
             .unionByName(facts(t.fact_weather, "weather")))
 
 
@@ -170,7 +174,7 @@ def weather_correlations(t: Warehouse, cols=None, **where) -> DataFrame:
     Both sides carry the time the rows are joined on, so limiting them first keeps the result.
     """
     limits, names = _limits(where)
-    rows = scope(V.v_air_quality_weather(within(t, **limits)), **names)
+    rows = scope(V.v_observations_weather(within(t, **limits)), **names)
     return correlation_matrix(rows, cols or CORRELATED)
 
 

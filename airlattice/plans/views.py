@@ -16,10 +16,10 @@ SERIES = ["city_name", "metric_code"]
 
 def observations(t: Warehouse) -> DataFrame:
     """Fact rows with names of city and metric."""
-    return star(t.fact_air_quality, t.dim_city, t.dim_metric)
+    return star(t.fact_observation, t.dim_city, t.dim_metric)
 
 
-def v_air_quality(t: Warehouse) -> DataFrame:
+def v_observations(t: Warehouse) -> DataFrame:
     return observations(t).select(
         "timestamp", "city_name", "country", "metric_code", "metric_name", "unit",
         "value", "value_ug_m3", "station_count", "latitude", "longitude")
@@ -30,9 +30,9 @@ def v_weather(t: Warehouse) -> DataFrame:
         "timestamp", "city_name", "country", *C.WEATHER_COLUMNS, "latitude", "longitude")
 
 
-def v_air_quality_weather(t: Warehouse) -> DataFrame:
+def v_observations_weather(t: Warehouse) -> DataFrame:
     """Observations and weather at the same time and city name, unmatched rows of both kept."""
-    air = v_air_quality(t).select(
+    air = v_observations(t).select(
         "timestamp", "city_name", "country", "metric_code", "metric_name", "value_ug_m3")
     weather = v_weather(t).select(
         "timestamp", "city_name", F.col("country").alias("w_country"), *C.WEATHER_COLUMNS)
@@ -80,7 +80,7 @@ def weighted_summary(totals: DataFrame, weather: DataFrame, by: list, mode: str,
 
 
 def v_daily_aggregates(t: Warehouse, weather: str = "fanout") -> DataFrame:
-    totals = star(day_totals(t.fact_air_quality, ["metric_id"]), t.dim_city, t.dim_metric)
+    totals = star(day_totals(t.fact_observation, ["metric_id"]), t.dim_city, t.dim_metric)
     return weighted_summary(totals, t.fact_weather,
                             ["date", "city_name", "country", "metric_code"], weather)
 
@@ -95,7 +95,9 @@ def v_moving_averages(t: Warehouse, rows: int = 7, **layout) -> DataFrame:
 def moving_average_days(t: Warehouse, days: int = 7) -> DataFrame:
     """Mean over true calendar time instead of a number of rows."""
     base = observations(t).select("timestamp", *SERIES, "value_ug_m3")
-    return trailing_days_mean(base, "value_ug_m3", days, SERIES, name=f"moving_avg_{days}d")
+    name = f"moving_avg_{days}d"
+    exact = base.withColumn("_exact", F.col("value_ug_m3").cast("decimal(28,12)"))
+    return trailing_days_mean(exact, "_exact", days, SERIES, name=name).drop("_exact")
 
 
 def v_risk_map(t: Warehouse) -> DataFrame:
@@ -107,7 +109,7 @@ def v_risk_map(t: Warehouse) -> DataFrame:
                     "temperature_c", "wind_speed_ms", "precipitation_mm"))
 
 
-def v_air_quality_lags(t: Warehouse, grid: bool = False, **layout) -> DataFrame:
+def v_lags(t: Warehouse, grid: bool = False, **layout) -> DataFrame:
     """Values one, two and three rows back; with ``grid`` that many hours back."""
     base = observations(t).select("timestamp", *SERIES, "value_ug_m3", "station_count")
     if grid:
@@ -142,13 +144,13 @@ def v_data_completeness(t: Warehouse) -> DataFrame:
 
 
 VIEWS = {
-    "v_air_quality": v_air_quality,
+    "v_observations": v_observations,
     "v_weather": v_weather,
-    "v_air_quality_weather": v_air_quality_weather,
+    "v_observations_weather": v_observations_weather,
     "v_daily_aggregates": v_daily_aggregates,
     "v_moving_averages": v_moving_averages,
     "v_risk_map": v_risk_map,
-    "v_air_quality_lags": v_air_quality_lags,
+    "v_lags": v_lags,
     "v_days_with_exceedances": v_days_with_exceedances,
     "v_data_completeness": v_data_completeness,
 }
@@ -156,7 +158,7 @@ VIEWS = {
 
 def register_views(spark: SparkSession, t: Warehouse) -> list[str]:
     """Make the tables and all views visible to ``spark.sql``; safe to repeat."""
-    for name in ("dim_city", "dim_metric", "fact_air_quality", "fact_weather"):
+    for name in ("dim_city", "dim_metric", "fact_observation", "fact_weather"):
         getattr(t, name).createOrReplaceTempView(name)
     for name, view in VIEWS.items():
         view(t).createOrReplaceTempView(name)

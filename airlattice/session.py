@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,18 +39,27 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def use_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. A private temporary folder is
-    made only where that is unset, which is the single-machine case of the tests.
+    It is named in ``spark.checkpoint.dir`` or by ``SparkContext.setCheckpointDir``. There is
+    no default: a folder of one machine would be wrong on a cluster.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or current
     if not folder:
-        folder = current or tempfile.mkdtemp(prefix="airlattice-")
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if current is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def drop_stored(df: DataFrame) -> None:
+    """Delete the files behind a frame that ``stored`` returned, once nothing reads it any more."""
+    jvm = df.sparkSession.sparkContext._jvm
+    for file in df.inputFiles()[:1]:
+        folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if folder.getName().startswith("stored-"):
+            folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The frame written once to the shared folder and read back.
 

@@ -77,7 +77,7 @@ def station_observations(spark: SparkSession, root: str) -> DataFrame:
                     (user % 180).cast("double").alias("longitude")))
 
 
-def fact_air_quality(spark: SparkSession, root: str) -> DataFrame:
+def fact_observation(spark: SparkSession, root: str) -> DataFrame:
     totals = station_hours(station_observations(spark, root)).join(user_cities(spark, root), "location_id")
     hourly = merge_station_hours(totals, "city_id")
     ids = mapped(F.col("parameter"), {m[1]: m[0] for m in C.METRICS}, -1)
@@ -114,7 +114,7 @@ class EventWarehouse(Warehouse):
 
     dim_city = cached_property(lambda self: dim_city(*self.source))
     dim_metric = cached_property(lambda self: default_metrics(self.source[0]))
-    fact_air_quality = cached_property(lambda self: fact_air_quality(*self.source))
+    fact_observation = cached_property(lambda self: fact_observation(*self.source))
     fact_weather = cached_property(lambda self: fact_weather(*self.source))
 
 

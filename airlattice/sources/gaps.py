@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airlattice import constants as C
 from airlattice.functions.times import ago
+from airlattice.operators.scope import last
 from airlattice.operators.windows import position_in_series
 from airlattice.tables import Warehouse, lookup
 
@@ -19,20 +19,16 @@ def draw(seed) -> Column:
                              F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")))
 
 
-def gap_profile(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(C.GAP_PROFILE, "city_name STRING, metric_code STRING, pct DOUBLE")
-
-
 def rows_to_drop(t: Warehouse, profile: DataFrame, as_of, seed=42, interval: str = "7 days") -> DataFrame:
     """Keys of the ``int(n * pct / 100)`` rows drawn in each series of the profile.
 
     A series is ranked by digest prefix, so even one very long series is spread out.
     """
     ids = (profile.join(t.dim_city.select("city_id", "city_name"), "city_name")
-           .join(F.broadcast(t.dim_metric.select("metric_id", "metric_code")), "metric_code")
+           .join(t.dim_metric.select("metric_id", "metric_code"), "metric_code")
            .select("city_id", "metric_id", "pct"))
     series = ["city_id", "metric_id"]
-    recent = (t.fact_air_quality.filter(F.col("timestamp") >= ago(as_of, interval)).select(*KEY)
+    recent = (last(t.fact_observation, interval, as_of).select(*KEY)
               .join(ids.select(*series), series, "left_semi").withColumn("_draw", draw(seed)))
     size = (recent.groupBy(*series).agg(F.count(F.lit(1)).alias("_n")).join(ids, series)
             .select(*series, F.floor(F.col("_n") * (F.col("pct") / 100.0)).alias("_k")))
@@ -42,7 +38,7 @@ def rows_to_drop(t: Warehouse, profile: DataFrame, as_of, seed=42, interval: str
 
 def inject_gap_profile(t: Warehouse, profile: DataFrame, as_of, seed=42, interval: str = "7 days") -> DataFrame:
     """The observation fact without the drawn rows of every series in the profile."""
-    return t.fact_air_quality.join(rows_to_drop(t, profile, as_of, seed, interval), KEY, "left_anti")
+    return t.fact_observation.join(rows_to_drop(t, profile, as_of, seed, interval), KEY, "left_anti")
 
 
 def inject_gaps(t: Warehouse, city: str, metric: str, pct: float, as_of, seed=42,
@@ -55,9 +51,9 @@ def inject_gaps(t: Warehouse, city: str, metric: str, pct: float, as_of, seed=42
 
 def drop_hours(t: Warehouse, city: str, metric: str, hours, as_of, interval: str = "3 days") -> DataFrame:
     """The observation fact without the given hours of the day in one recent series."""
-    named = (t.fact_air_quality
+    named = (t.fact_observation
              .join(t.dim_city.select("city_id", "city_name"), "city_id", "left")
              .join(F.broadcast(t.dim_metric.select("metric_id", "metric_code")), "metric_id", "left"))
     hit = ((F.col("city_name") == city) & (F.col("metric_code") == metric)
            & (F.col("timestamp") >= ago(as_of, interval)) & F.hour("timestamp").isin(list(hours)))
-    return named.filter(~F.coalesce(hit, F.lit(False))).select(*t.fact_air_quality.columns)
+    return named.filter(~F.coalesce(hit, F.lit(False))).select(*t.fact_observation.columns)

@@ -25,12 +25,12 @@ STATION = ("id BIGINT, name STRING, coordinates STRUCT<latitude: DOUBLE, longitu
            "sensors ARRAY<STRUCT<id: BIGINT, parameter: STRUCT<id: BIGINT, name: STRING, units: STRING>>>")
 
 
-def read_lines(spark: SparkSession, path: str, whole_files: bool = False, stream: bool = False) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, whole_files: bool = False, stream: bool = False, **options) -> DataFrame:
     """Payload text, one record or envelope per line (or per file).
 
     Folders named ``city=...`` give a ``city`` column.
     """
-    reader = spark.readStream if stream else spark.read
+    reader = (spark.readStream if stream else spark.read).options(**options)
     return reader.option("wholetext", whole_files).text(path).filter(F.trim("value") != "")
 
 
@@ -113,30 +113,43 @@ def classify_observations(records: DataFrame) -> DataFrame:
     return flat.withColumn("problem", problem).drop("_time", "_unreadable")
 
 
-def rejected(records: DataFrame) -> DataFrame:
-    """(problem, records) for records that are not usable."""
-    return (classify_observations(records).filter(F.col("problem").isNotNull())
+def city_places(cities: DataFrame) -> DataFrame:
+    """One row per city name in any letter case, the one with the smallest id: (_name, place)."""
+    fields = [c for c in ("city_id", "city_name", "country", "timezone", "latitude", "longitude") if c in cities.columns]
+    first = "city_id" if "city_id" in cities.columns else "city_name"
+    return cities.groupBy(F.lower("city_name").alias("_name")).agg(F.min_by(F.struct(*fields), first).alias("_place"))
+
+
+def rejected(records: DataFrame, cities: DataFrame | None = None) -> DataFrame:
+    """(problem, records) for records that are not usable; with ``cities`` also those of unknown ones."""
+    rows = classify_observations(records)
+    if cities is not None:
+        known = cities.select(F.lower("city_name").alias("_name"), F.lit(True).alias("_known")).distinct()
+        rows = rows.withColumn("_name", F.lower("city")).join(known, "_name", "left").withColumn(
+            "problem", F.coalesce("problem", F.when(F.col("_known").isNull(), "unknown city")))
+    return (rows.filter(F.col("problem").isNotNull())
             .groupBy("problem").agg(F.count(F.lit(1)).alias("records")))
 
 
 def parse_observations(records: DataFrame, cities: DataFrame | None = None) -> DataFrame:
     """Usable records as the long frame, values in micrograms per cubic metre.
 
-    With ``cities`` (and a ``city`` column on the records) missing coordinates fall back
-    to the city's, and its country and local wall clock are added.
+    With ``cities`` (and a ``city`` column on the records) the name is matched in any letter
+    case and replaced by the stored one, missing coordinates fall back to the city's, and its
+    id, country and local wall clock are added. ``rejected`` counts records of unknown cities.
     """
     long = (classify_observations(records).filter(F.col("problem").isNull()).drop("problem")
             .withColumn("value_ug_m3", to_ug_m3("value", "unit"))
             .withColumn("unit_known", known_unit("unit")))
     if cities is None:
         return long
-    place = cities.select(F.lower("city_name").alias("_name"), "country", "timezone",
-                          F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"))
-    return (long.withColumn("_name", F.lower("city")).join(place, "_name")
-            .withColumn("latitude", F.coalesce("latitude", "_lat"))
-            .withColumn("longitude", F.coalesce("longitude", "_lon"))
-            .withColumn("local_time", F.from_utc_timestamp("timestamp", F.col("timezone")))
-            .drop("_name", "_lat", "_lon", "timezone"))
+    joined = long.withColumn("_name", F.lower("city")).join(city_places(cities), "_name")
+    added = {"city": F.col("_place.city_name"), "country": F.col("_place.country"),
+             "latitude": F.coalesce("latitude", "_place.latitude"), "longitude": F.coalesce("longitude", "_place.longitude"),
+             "local_time": F.from_utc_timestamp("timestamp", F.col("_place.timezone"))}
+    if "city_id" in cities.columns:
+        added["city_id"] = F.col("_place.city_id")
+    return joined.withColumns(added).drop("_name", "_place")
 
 
 def read_observations(spark: SparkSession, path: str, cities: DataFrame | None = None,
@@ -191,8 +204,7 @@ def read_stations(spark: SparkSession, path: str, envelope: bool = False, whole_
     return parse_stations(unwrap(lines) if envelope else as_records(lines))
 
 
-def attach_sensor_metadata(values: DataFrame, sensors: DataFrame, parameter: str | None = None,
-                           limit: int | None = None) -> DataFrame:
+def attach_sensor_metadata(values: DataFrame, sensors: DataFrame, parameter: str | None = None) -> DataFrame:
     """Latest-value rows with the parameter and unit of their sensor.
 
     Values of unknown sensors have no parameter and are dropped; coordinates fall back to
@@ -205,9 +217,8 @@ def attach_sensor_metadata(values: DataFrame, sensors: DataFrame, parameter: str
     out = out.filter(F.coalesce("parameter", F.lit("")) != "")
     if parameter is not None:
         out = out.filter(F.col("parameter") == parameter.lower())
-    out = (out.withColumn("latitude", F.coalesce("latitude", "_lat"))
-           .withColumn("longitude", F.coalesce("longitude", "_lon")).drop("_lat", "_lon"))
-    return out if limit is None else out.limit(limit)
+    return (out.withColumn("latitude", F.coalesce("latitude", "_lat"))
+            .withColumn("longitude", F.coalesce("longitude", "_lon")).drop("_lat", "_lon"))
 
 
 def list_cities(records: DataFrame) -> DataFrame:

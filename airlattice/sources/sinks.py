@@ -38,15 +38,14 @@ def stored_days(existing: DataFrame, batch: DataFrame, day: str = "event_date")
     """Stored rows of the days the batch touches.
 
     The first and last day, as scalar subqueries on the partition column, skip all folders
-    outside; a semi join then drops the untouched days between before anything is
-    shuffled. Days are a calendar-bounded set, so their broadcast is small.
+    outside; a semi join then drops the untouched days between.
     """
     if day not in existing.columns:
         return existing
     days = batch.select((F.col(day) if day in batch.columns else F.to_date("timestamp")).alias(day))
     first, last = days.agg(F.min(day)).scalar(), days.agg(F.max(day)).scalar()
     return (existing.filter((F.col(day) >= first) & (F.col(day) <= last))
-            .join(F.broadcast(days.distinct()), day, "left_semi"))
+            .join(days.distinct(), day, "left_semi"))
 
 
 def unseen(batch: DataFrame, existing: DataFrame, keys, day: str = "event_date") -> DataFrame:
@@ -55,10 +54,28 @@ def unseen(batch: DataFrame, existing: DataFrame, keys, day: str = "event_date")
     return duplicate_free(batch, keys).join(stored, list(keys), "left_anti")
 
 
+def city_ids(city: DataFrame) -> DataFrame:
+    """(_name, city_id): the smallest id of each city name in any letter case."""
+    return city.groupBy(F.lower("city_name").alias("_name")).agg(F.min("city_id").alias("city_id"))
+
+
+def with_city_id(batch: DataFrame, city: DataFrame) -> DataFrame:
+    """The batch with the id of its ``city`` name, unless it carries ids; unknown cities are dropped."""
+    if "city_id" in batch.columns:
+        return batch
+    return batch.withColumn("_name", F.lower("city")).join(city_ids(city), "_name").drop("_name")
+
+
+def unknown_cities(batch: DataFrame, city: DataFrame) -> DataFrame:
+    """(city, rows) of the batch that no stored city matches."""
+    missing = batch.withColumn("_name", F.lower("city")).join(city_ids(city).select("_name"), "_name", "left_anti")
+    return missing.groupBy("city").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def observation_rows(batch: DataFrame, city: DataFrame, metric: DataFrame) -> DataFrame:
     """A wide or long batch with a ``city`` name column in the layout of the fact.
 
-    Unknown cities and metrics and empty values are dropped.
+    Cities match in any letter case. Unknown cities and metrics and empty values are dropped.
     """
     if "parameter" not in batch.columns:
         batch = unpivot_metrics(batch)
@@ -67,17 +84,15 @@ def observation_rows(batch: DataFrame, city: DataFrame, metric: DataFrame) -> Da
     for name, default in defaults.items():
         if name not in batch.columns:
             batch = batch.withColumn(name, default)
-    ids = city.groupBy(F.col("city_name").alias("city")).agg(F.min("city_id").alias("city_id"))
     codes = metric.select("metric_id", F.col("metric_code").alias("parameter"))
-    return (batch.filter(F.col("value_ug_m3").isNotNull())
-            .join(ids, "city").join(F.broadcast(codes), "parameter")
+    return (with_city_id(batch.filter(F.col("value_ug_m3").isNotNull()), city).join(codes, "parameter")
             .select("timestamp", "city_id", "metric_id",
                     F.col("value_ug_m3").alias("value"), "value_ug_m3",
                     F.coalesce("station_count", F.lit(1)).cast("int").alias("station_count"),
                     F.col("latitude").cast("double").alias("latitude"),
                     F.col("longitude").cast("double").alias("longitude"),
-                    F.substring(F.col("location_id").cast("string"), 1, 50).alias("location_id"),
-                    F.substring(F.col("location_name").cast("string"), 1, 200).alias("location_name")))
+                    F.col("location_id").cast("string").alias("location_id"),
+                    F.col("location_name").cast("string").alias("location_name")))
 
 
 def new_observations(existing: DataFrame, batch: DataFrame, city: DataFrame, metric: DataFrame) -> DataFrame:
@@ -87,11 +102,10 @@ def new_observations(existing: DataFrame, batch: DataFrame, city: DataFrame, met
 
 def weather_rows(batch: DataFrame, city: DataFrame) -> DataFrame:
     """A weather batch in the layout of the fact; NULLs are kept, unknown cities dropped."""
-    ids = city.groupBy(F.col("city_name").alias("city")).agg(F.min("city_id").alias("city_id"))
     for name in (*C.WEATHER_COLUMNS, "latitude", "longitude"):
         if name not in batch.columns:
             batch = batch.withColumn(name, F.lit(None).cast("double"))
-    return batch.join(ids, "city").select(
+    return with_city_id(batch, city).select(
         "timestamp", "city_id", *C.WEATHER_COLUMNS, "latitude", "longitude")
 
 
@@ -117,8 +131,8 @@ def _append(rows: DataFrame, root: str, name: str) -> int:
 def append_observations(spark: SparkSession, root: str, batch: DataFrame) -> int:
     """The batch is stored once: its days, range and rows are separate passes."""
     rows = observation_rows(batch, read_table(spark, root, "dim_city"), read_table(spark, root, "dim_metric"))
-    fresh = unseen(stored(rows), read_table(spark, root, "fact_air_quality"), OBSERVATION_KEY)
-    return _append(fresh, root, "fact_air_quality")
+    fresh = unseen(stored(rows), read_table(spark, root, "fact_observation"), OBSERVATION_KEY)
+    return _append(fresh, root, "fact_observation")
 
 
 def append_weather(spark: SparkSession, root: str, batch: DataFrame) -> int:
@@ -131,6 +145,11 @@ def append_quality(spark: SparkSession, root: str, batch: DataFrame) -> int:
     return _append(rows, root, "fact_data_quality_metrics")
 
 
+def replace_quality(rows: DataFrame, root: str) -> int:
+    """Write whole days of quality rows; the days' earlier rows are replaced, other days stay."""
+    return write_table(rows.withColumn("created_at", F.current_timestamp()), root, "fact_data_quality_metrics", mode="replace")
+
+
 def append_cities(spark: SparkSession, root: str, incoming: DataFrame) -> int:
     """Add unseen cities under fresh ids. Only the new rows are written."""
     existing = read_table(spark, root, "dim_city")

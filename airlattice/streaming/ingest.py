@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from airlattice.plans.load_run import append_touched_quality
+from airlattice.plans.load_run import refresh_quality
 from airlattice.session import stored
 from airlattice.sources import payloads, sinks
 
@@ -20,9 +20,14 @@ def without_repeats(obs: DataFrame, lateness: str = LATENESS, keys=None) -> Data
 
 
 def ingest_stream(spark: SparkSession, path: str, cities: DataFrame | None = None,
-                  envelope: bool = False, lateness: str = LATENESS) -> DataFrame:
-    """New payload files as the de-duplicated long frame."""
-    lines = payloads.read_lines(spark, path, stream=True)
+                  envelope: bool = False, lateness: str = LATENESS, max_files: int | None = None,
+                  max_bytes: str | None = None) -> DataFrame:
+    """New payload files as the de-duplicated long frame.
+
+    ``max_files`` or ``max_bytes`` limit one micro-batch, so that a backlog is taken in steps.
+    """
+    limits = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes}
+    lines = payloads.read_lines(spark, path, stream=True, **{k: v for k, v in limits.items() if v is not None})
     records = payloads.unwrap(lines) if envelope else payloads.as_records(lines)
     return without_repeats(payloads.parse_observations(records, cities), lateness)
 
@@ -40,7 +45,7 @@ def load_batch(spark: SparkSession, root: str, batch: DataFrame) -> None:
     """Append one micro-batch and the quality rows of its days; safe to repeat."""
     batch = stored(batch)
     sinks.append_observations(spark, root, batch)
-    append_touched_quality(spark, root, batch)
+    refresh_quality(spark, root, batch)
 
 
 def stream_to_warehouse(hourly: DataFrame, root: str, checkpoint: str, once: bool = True) -> StreamingQuery:

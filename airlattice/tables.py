@@ -29,7 +29,7 @@ DIM_METRIC = _schema(
     "metric_id INT, metric_code STRING, metric_name STRING, unit STRING, description STRING, "
     "created_at TIMESTAMP"
 )
-FACT_AIR_QUALITY = _schema(
+FACT_OBSERVATION = _schema(
     "timestamp TIMESTAMP, city_id INT, metric_id INT, value DOUBLE, value_ug_m3 DOUBLE, "
     "station_count INT, latitude DOUBLE, longitude DOUBLE, location_id STRING, "
     "location_name STRING, created_at TIMESTAMP, event_date DATE"
@@ -47,13 +47,13 @@ FACT_QUALITY = _schema(
 LAYOUTS = {
     "dim_city": DIM_CITY,
     "dim_metric": DIM_METRIC,
-    "fact_air_quality": FACT_AIR_QUALITY,
+    "fact_observation": FACT_OBSERVATION,
     "fact_weather": FACT_WEATHER,
     "fact_data_quality_metrics": FACT_QUALITY,
 }
 # Facts are stored by calendar day, so a time range prunes folders.
 PARTITION_COLUMN = {
-    "fact_air_quality": "event_date",
+    "fact_observation": "event_date",
     "fact_weather": "event_date",
     "fact_data_quality_metrics": "date",
 }
@@ -65,7 +65,7 @@ class Warehouse:
 
     dim_city: DataFrame
     dim_metric: DataFrame
-    fact_air_quality: DataFrame
+    fact_observation: DataFrame
     fact_weather: DataFrame
 
 
@@ -73,7 +73,7 @@ def default_metrics(spark: SparkSession) -> DataFrame:
     """Seed rows of the metric dimension."""
     rows = spark.createDataFrame(
         C.METRICS,
-        "metric_id INT, metric_code STRING, metric_name STRING, unit STRING, description STRING",
+        "metric_id INT, metric_code STRING, metric_name STRING, unit STRING",
     )
     return conform(rows, DIM_METRIC)
 
@@ -107,6 +107,8 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 def write_table(df: DataFrame, root: str, name: str, mode: str = "append") -> int:
     """Store rows by day, clustered by series inside each file; returns their number.
 
+    Mode ``replace`` overwrites just the days that the rows bring.
+
     The rebalance step lets adaptive execution cut a heavy day into several tasks and
     merge light days, so neither one huge file nor many tiny ones come out. The rows are
     counted by the writing tasks. The counter sits right below the writer: further down,
@@ -121,7 +123,11 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "append") -> in
     if day:
         order = [c for c in (day, "city_id", "metric_id", "timestamp") if c in out.columns]
         out = out.hint("rebalance", day).sortWithinPartitions(*order)
-    writer = out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    writer = out.observe(seen, F.count(F.lit(1)).alias("rows")).write
+    if mode == "replace":
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode(mode)
     (writer.partitionBy(day) if day else writer).parquet(table_path(root, name))
     return seen.get["rows"]
 
@@ -138,7 +144,7 @@ def create_tables(spark: SparkSession, root: str) -> None:
 def load_warehouse(spark: SparkSession, root: str) -> Warehouse:
     return Warehouse(**{
         name: read_table(spark, root, name)
-        for name in ("dim_city", "dim_metric", "fact_air_quality", "fact_weather")
+        for name in ("dim_city", "dim_metric", "fact_observation", "fact_weather")
     })
 
 

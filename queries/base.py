@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,16 @@ AS_OF = "2024-01-31"
 PM = "('pm25','pm10','no2','o3')"
 
 
+def with_scratch(spark: SparkSession) -> SparkSession:
+    """A session with a scratch folder: the given one, and only where Spark runs in one process a private one."""
+    sc = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and not sc.getCheckpointDir():
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="queries-"))
+    return spark
+
+
 def finish(df: DataFrame) -> DataFrame:
     """Comparable types: times without zone, doubles and decimals as doubles of nine digits."""
     out = []
@@ -35,7 +46,7 @@ def query(name: str, sql: str | None = None):
     """Register a query; its function gets (spark, folder)."""
     def register(make):
         def run(spark, folder):
-            return finish(make(use_utc(spark), folder))
+            return finish(make(with_scratch(use_utc(spark)), folder))
         QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = with_tables(sql)
@@ -67,7 +78,7 @@ TABLES = {
             (3, 'no2', 'Nitrogen Dioxide', 'µg/m³'), (4, 'o3', 'Ozone', 'µg/m³'),
             (5, 'co', 'Carbon Monoxide', 'µg/m³'), (6, 'so2', 'Sulfur Dioxide', 'µg/m³'))
             m(metric_id, metric_code, metric_name, unit)""",
-    "fact_air_quality": """
+    "fact_observation": """
         SELECT date_trunc('hour', ts)::TIMESTAMP AS timestamp, city_id, metric_id,
                CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS value,
                CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS value_ug_m3,
@@ -87,7 +98,7 @@ TABLES = {
               FROM station_events WHERE event_type = 'signup' GROUP BY 1, 2)""",
     "air": """
         SELECT f.*, c.city_name, c.country, m.metric_code, m.metric_name, m.unit
-        FROM fact_air_quality f JOIN dim_city c USING (city_id) JOIN dim_metric m USING (metric_id)""",
+        FROM fact_observation f JOIN dim_city c USING (city_id) JOIN dim_metric m USING (metric_id)""",
     "sky": "SELECT w.*, c.city_name, c.country FROM fact_weather w JOIN dim_city c USING (city_id)",
     "limits": """
         SELECT * FROM (VALUES ('pm25', 15, 25), ('pm10', 30, 50), ('no2', 100, 200), ('o3', 120, 180))
@@ -114,7 +125,7 @@ TABLES = {
                w.precipitation_mm, w.wind_speed_ms, w.wind_direction_deg, p.value_ug_m3 AS pm10
         FROM air a LEFT JOIN fact_weather w ON w.city_id = a.city_id
                      AND w.timestamp::DATE = a.timestamp::DATE AND hour(w.timestamp) = hour(a.timestamp)
-                   LEFT JOIN fact_air_quality p ON p.city_id = a.city_id AND p.timestamp = a.timestamp
+                   LEFT JOIN fact_observation p ON p.city_id = a.city_id AND p.timestamp = a.timestamp
                      AND p.metric_id = 2
         WHERE a.metric_id = 1""",
 }

@@ -12,16 +12,16 @@ from airlattice.plans import load_run, reports, views
 from airlattice.sources import eventlog, gaps, sinks
 from queries.base import AS_OF, SKY, nine, on_warehouse, query
 
-on_warehouse("P1_v_air_quality", f"""
+on_warehouse("P1_v_observations", f"""
 SELECT timestamp, city_name, country, metric_code, metric_name, unit, station_count,
-       {nine('value', 'value_ug_m3', 'latitude', 'longitude')} FROM air""")(views.v_air_quality)
+       {nine('value', 'value_ug_m3', 'latitude', 'longitude')} FROM air""")(views.v_observations)
 
 on_warehouse("P2_v_weather", f"""
 SELECT timestamp, city_name, country, {nine(*SKY, 'latitude', 'longitude')} FROM sky""")(views.v_weather)
 
-on_warehouse("J2_v_air_quality_weather", f"""
+on_warehouse("J2_v_observations_weather", f"""
 SELECT timestamp, city_name, country, metric_code, metric_name, {nine('value_ug_m3', *SKY)}
-FROM air_sky""")(views.v_air_quality_weather)
+FROM air_sky""")(views.v_observations_weather)
 
 DAILY_COLUMNS = nine("avg_value", "min_value", "max_value", "avg_temperature", "avg_humidity",
                      "total_precipitation", "avg_wind_speed")
@@ -54,18 +54,17 @@ FROM air""")(views.v_moving_averages)
 
 on_warehouse("W6_moving_average_days", """
 SELECT timestamp, city_name, metric_code, ROUND(value_ug_m3, 9) AS value_ug_m3,
-       ROUND(2e-11::DOUBLE + AVG(value_ug_m3) OVER (PARTITION BY city_name, metric_code ORDER BY timestamp
-           RANGE BETWEEN INTERVAL 604799 SECOND PRECEDING AND CURRENT ROW), 9) AS moving_avg_7d
-FROM air""")(lambda t: views.moving_average_days(t).withColumn(
-    "moving_avg_7d", F.col("moving_avg_7d") + 2e-11))  # both sides: keeps exact ties off the last digit
+       ROUND(CAST(SUM(CAST(value_ug_m3 AS DECIMAL(28,12))) OVER s AS DOUBLE) / COUNT(*) OVER s, 9) AS moving_avg_7d
+FROM air WINDOW s AS (PARTITION BY city_name, metric_code ORDER BY timestamp
+                      RANGE BETWEEN INTERVAL 604799 SECOND PRECEDING AND CURRENT ROW)""")(views.moving_average_days)
 
 LAG_SQL = """
 SELECT timestamp, city_name, metric_code, ROUND(value_ug_m3, 9) AS value_ug_m3,
        ROUND(LAG(value_ug_m3, 1) OVER s, 9) AS value_lag_1h, ROUND(LAG(value_ug_m3, 2) OVER s, 9) AS value_lag_2h,
        ROUND(LAG(value_ug_m3, 3) OVER s, 9) AS value_lag_3h, station_count
 FROM air WINDOW s AS (PARTITION BY city_name, metric_code ORDER BY timestamp)"""
-on_warehouse("W2_v_air_quality_lags", LAG_SQL)(views.v_air_quality_lags)
-on_warehouse("W2_lags_in_small_blocks", LAG_SQL)(lambda t: views.v_air_quality_lags(t, block_rows=64))
+on_warehouse("W2_v_lags", LAG_SQL)(views.v_lags)
+on_warehouse("W2_lags_in_small_blocks", LAG_SQL)(lambda t: views.v_lags(t, block_rows=64))
 
 on_warehouse("W2_lags_on_hour_grid", """
 SELECT a.timestamp, a.city_name, a.metric_code, ROUND(a.value_ug_m3, 9) AS value_ug_m3,
@@ -75,7 +74,7 @@ FROM air a
 LEFT JOIN air b ON b.city_id = a.city_id AND b.metric_id = a.metric_id AND b.timestamp = a.timestamp - INTERVAL 1 HOUR
 LEFT JOIN air c ON c.city_id = a.city_id AND c.metric_id = a.metric_id AND c.timestamp = a.timestamp - INTERVAL 2 HOUR
 LEFT JOIN air d ON d.city_id = a.city_id AND d.metric_id = a.metric_id AND d.timestamp = a.timestamp - INTERVAL 3 HOUR
-""")(lambda t: views.v_air_quality_lags(t, grid=True))
+""")(lambda t: views.v_lags(t, grid=True))
 
 
 @on_warehouse("W3_W4_lags_and_means", """
@@ -125,7 +124,7 @@ SELECT timestamp, city_name, metric_code, ROUND(value_ug_m3, 9) AS value_ug_m3 F
 WHERE city_name IN ('AFRICA','ASIA') AND metric_code IN ('pm25','o3')
   AND timestamp >= TIMESTAMP '2024-01-05' AND timestamp < TIMESTAMP '2024-01-21'""")
 def scoped(t):
-    return scope.scope(views.v_air_quality(t), ["AFRICA", "ASIA"], ["pm25", "o3"], "2024-01-05", "2024-01-20").select(
+    return scope.scope(views.v_observations(t), ["AFRICA", "ASIA"], ["pm25", "o3"], "2024-01-05", "2024-01-20").select(
         "timestamp", *views.SERIES, "value_ug_m3")
 
 
@@ -133,7 +132,7 @@ def scoped(t):
 SELECT timestamp, city_name, metric_code, ROUND(value_ug_m3, 9) AS value_ug_m3 FROM air
 WHERE timestamp >= TIMESTAMP '2024-01-05' AND timestamp <= TIMESTAMP '2024-01-20'""")
 def scoped_midnight(t):
-    return scope.scope(views.v_air_quality(t), start="2024-01-05", end="2024-01-20", inclusive_midnight=True).select(
+    return scope.scope(views.v_observations(t), start="2024-01-05", end="2024-01-20", inclusive_midnight=True).select(
         "timestamp", *views.SERIES, "value_ug_m3")
 
 
@@ -146,14 +145,14 @@ def scoped_date(t):
 
 
 on_warehouse("P6_last_week", """
-SELECT timestamp, city_id, metric_id, ROUND(value, 9) AS value FROM fact_air_quality
+SELECT timestamp, city_id, metric_id, ROUND(value, 9) AS value FROM fact_observation
 WHERE timestamp >= TIMESTAMP '2024-01-24' AND timestamp < TIMESTAMP '2024-01-31'""")(
-    lambda t: scope.last(t.fact_air_quality, "7 days", AS_OF, until=True).select(
+    lambda t: scope.last(t.fact_observation, "7 days", AS_OF, until=True).select(
         "timestamp", "city_id", "metric_id", "value"))
 
 on_warehouse("P8_keep_metrics", """
 SELECT metric_code, COUNT(*) AS n FROM air WHERE metric_code IN ('pm25','pm10','no2') AND metric_code <> 'no2'
-GROUP BY 1""")(lambda t: scope.keep_metrics(views.v_air_quality(t), ["PM25", "pm10", "no2"], ["NO2"])
+GROUP BY 1""")(lambda t: scope.keep_metrics(views.v_observations(t), ["PM25", "pm10", "no2"], ["NO2"])
                .groupBy("metric_code").agg(F.count("*").alias("n")))
 
 
@@ -183,7 +182,7 @@ def coordinates(spark, folder):
 on_warehouse("P12_drop_missing", f"""
 SELECT timestamp, city_name, metric_code, {nine('temperature_c')} FROM air_sky
 WHERE temperature_c IS NOT NULL AND value_ug_m3 IS NOT NULL""")(
-    lambda t: scope.drop_missing(views.v_air_quality_weather(t), ["value_ug_m3", "temperature_c"]).select(
+    lambda t: scope.drop_missing(views.v_observations_weather(t), ["value_ug_m3", "temperature_c"]).select(
         "timestamp", "city_name", "metric_code", "temperature_c"))
 
 
@@ -200,17 +199,17 @@ def bounds(t):
 
 on_warehouse("J1_star", """
 SELECT city_name, country, metric_code, COUNT(*) AS n, ROUND(SUM(value), 6) AS total FROM air GROUP BY 1, 2, 3""")(
-    lambda t: joins.star(t.fact_air_quality, t.dim_city, t.dim_metric).groupBy("city_name", "country", "metric_code")
+    lambda t: joins.star(t.fact_observation, t.dim_city, t.dim_metric).groupBy("city_name", "country", "metric_code")
     .agg(F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("total")))
 
 
 @on_warehouse("J4_same_day_join", """
 SELECT a.city_id, a.metric_id, a.timestamp, ROUND(a.value, 9) AS value, COUNT(w.timestamp) AS weather_rows,
        ROUND(SUM(w.precipitation_mm), 9) AS precipitation_mm, ROUND(AVG(w.temperature_c), 9) AS temperature_c
-FROM fact_air_quality a LEFT JOIN fact_weather w ON w.city_id = a.city_id
+FROM fact_observation a LEFT JOIN fact_weather w ON w.city_id = a.city_id
      AND w.timestamp::DATE = a.timestamp::DATE GROUP BY a.city_id, a.metric_id, a.timestamp, a.value""")
 def same_day(t):
-    return joins.join_same_day(t.fact_air_quality, t.fact_weather).select(
+    return joins.join_same_day(t.fact_observation, t.fact_weather).select(
         "city_id", "metric_id", "timestamp", "value", F.coalesce("weather_rows", F.lit(0)).alias("weather_rows"),
         F.col("precipitation_mm_sum").alias("precipitation_mm"),
         (F.col("temperature_c_sum") / F.col("temperature_c_n")).alias("temperature_c"))
@@ -218,16 +217,16 @@ def same_day(t):
 
 on_warehouse("J5_same_hour_join", f"""
 SELECT a.city_id, a.metric_id, a.timestamp, ROUND(a.value, 9) AS value, {nine(*SKY)}
-FROM fact_air_quality a LEFT JOIN (SELECT * EXCLUDE (latitude, longitude) FROM fact_weather) w
+FROM fact_observation a LEFT JOIN (SELECT * EXCLUDE (latitude, longitude) FROM fact_weather) w
   ON w.city_id = a.city_id AND w.timestamp::DATE = a.timestamp::DATE AND hour(w.timestamp) = hour(a.timestamp)""")(
-    lambda t: joins.join_same_hour(t.fact_air_quality, t.fact_weather).select(
+    lambda t: joins.join_same_hour(t.fact_observation, t.fact_weather).select(
         "city_id", "metric_id", "timestamp", "value", *C.WEATHER_COLUMNS))
 
 on_warehouse("J6_with_metric", """
 SELECT a.city_id, a.timestamp, ROUND(a.value_ug_m3, 9) AS pm25, ROUND(b.value_ug_m3, 9) AS pm10
-FROM fact_air_quality a LEFT JOIN fact_air_quality b
+FROM fact_observation a LEFT JOIN fact_observation b
   ON b.city_id = a.city_id AND b.timestamp = a.timestamp AND b.metric_id = 2 WHERE a.metric_id = 1""")(
-    lambda t: joins.with_metric(t.fact_air_quality.filter("metric_id = 1"), t.fact_air_quality, 2, "pm10").select(
+    lambda t: joins.with_metric(t.fact_observation.filter("metric_id = 1"), t.fact_observation, 2, "pm10").select(
         "city_id", "timestamp", F.col("value_ug_m3").alias("pm25"), "pm10"))
 
 WIDE_SQL = """
@@ -244,7 +243,7 @@ def long_hours(t):
         "location_name", "station_count")
 
 
-@on_warehouse("J7_merge_air_quality_and_weather", f"""
+@on_warehouse("J7_merge_observations_and_weather", f"""
 WITH wide AS ({WIDE_SQL})
 SELECT COALESCE(a.city, w.city_name) AS city, COALESCE(a.timestamp, w.timestamp) AS timestamp,
        {nine('pm25', 'pm10', 'no2', 'o3')}, {nine(*SKY)}
@@ -252,23 +251,23 @@ FROM wide a FULL JOIN sky w ON w.city_name = a.city AND w.timestamp = a.timestam
 def merged(t):
     wide = reshape.pivot_metrics(long_hours(t), metrics=C.REQUESTED_METRICS)
     sky = reshape.hourly_weather(views.v_weather(t).withColumnRenamed("city_name", "city"))
-    return joins.merge_air_quality_and_weather(wide, sky).drop("timestamp_hour")
+    return joins.merge_observations_and_weather(wide, sky).drop("timestamp_hour")
 
 
 COUNTS_SQL = """
 SELECT city_name, CAST({aq} AS BIGINT) AS aq_count, CAST({wx} AS BIGINT) AS weather_count FROM (
   SELECT c.city_name,
-    (SELECT COUNT(*) FROM fact_air_quality a WHERE a.city_id = c.city_id AND a.timestamp >= TIMESTAMP '2024-01-24') AS aq,
+    (SELECT COUNT(*) FROM fact_observation a WHERE a.city_id = c.city_id AND a.timestamp >= TIMESTAMP '2024-01-24') AS aq,
     (SELECT COUNT(*) FROM fact_weather w WHERE w.city_id = c.city_id AND w.timestamp >= TIMESTAMP '2024-01-24') AS wx
   FROM dim_city c)"""
 on_warehouse("J10_records_by_city", """
 SELECT c.city_name, COUNT(a.city_id) AS aq_count, COUNT(w.city_id) AS weather_count
-FROM dim_city c LEFT JOIN fact_air_quality a ON a.city_id = c.city_id AND a.timestamp >= TIMESTAMP '2024-01-24'
+FROM dim_city c LEFT JOIN fact_observation a ON a.city_id = c.city_id AND a.timestamp >= TIMESTAMP '2024-01-24'
 LEFT JOIN fact_weather w ON w.city_id = c.city_id AND w.timestamp >= TIMESTAMP '2024-01-24'
 GROUP BY c.city_id, c.city_name""")(
-    lambda t: joins.records_by_city(t.dim_city, t.fact_air_quality, t.fact_weather, AS_OF))
+    lambda t: joins.records_by_city(t.dim_city, t.fact_observation, t.fact_weather, AS_OF))
 on_warehouse("J10_records_by_city_dedup", COUNTS_SQL.format(aq="aq", wx="wx"))(
-    lambda t: joins.records_by_city(t.dim_city, t.fact_air_quality, t.fact_weather, AS_OF, mode="dedup"))
+    lambda t: joins.records_by_city(t.dim_city, t.fact_observation, t.fact_weather, AS_OF, mode="dedup"))
 
 
 # Reshaping
@@ -289,9 +288,9 @@ def hourly_by_city(spark, folder):
 
 @query("A10_station_rollup_to_city", """
 SELECT timestamp, city_id, metric_id, ROUND(value, 9) AS value, station_count, location_id, location_name,
-       latitude, longitude FROM fact_air_quality""")
+       latitude, longitude FROM fact_observation""")
 def rollup(spark, folder):
-    return eventlog.fact_air_quality(spark, folder).drop("value_ug_m3")
+    return eventlog.fact_observation(spark, folder).drop("value_ug_m3")
 
 
 @on_warehouse("A11_pivot_metrics", f"""
@@ -301,11 +300,12 @@ def pivoted(t):
 
 
 @on_warehouse("A12_hourly_wide", f"""
-SELECT city, timestamp AS timestamp_hour, {nine('pm25', 'pm10', 'no2', 'o3')} FROM ({WIDE_SQL})""")
+SELECT city, timestamp AS timestamp_hour, location_id, {nine('pm25', 'pm10', 'no2', 'o3')} FROM ({WIDE_SQL})
+JOIN (SELECT city_name AS city, timestamp, MIN(location_id) AS location_id FROM air GROUP BY 1, 2) USING (city, timestamp)""")
 def rewide(t):
     keys = ["city", "timestamp_hour", "location_id"]
     spread = reshape.pivot_metrics(long_hours(t), keys, C.REQUESTED_METRICS)
-    return reshape.hourly_wide(spread, metrics=C.REQUESTED_METRICS).drop("location_id")
+    return reshape.hourly_wide(spread, metrics=C.REQUESTED_METRICS)
 
 
 @query("A13_hourly_weather", """
@@ -363,15 +363,15 @@ def sql_scan(spark, folder):
     views.register_views(spark, eventlog.event_warehouse(spark, folder))
     return reports.run_query(spark, """
         SELECT city_name, metric_code, count(*) AS n, avg(value_ug_m3) AS mean
-        FROM v_air_quality WHERE value_ug_m3 > 10 GROUP BY city_name, metric_code""")
+        FROM v_observations WHERE value_ug_m3 > 10 GROUP BY city_name, metric_code""")
 
 
 @query("S10_view_catalogue", """
-SELECT 'v_air_quality' AS view, COUNT(*) AS n FROM air UNION ALL SELECT 'v_weather', COUNT(*) FROM sky
-UNION ALL SELECT 'v_air_quality_weather', COUNT(*) FROM air_sky
+SELECT 'v_observations' AS view, COUNT(*) AS n FROM air UNION ALL SELECT 'v_weather', COUNT(*) FROM sky
+UNION ALL SELECT 'v_observations_weather', COUNT(*) FROM air_sky
 UNION ALL SELECT 'v_daily_aggregates', COUNT(*) FROM exceeding
 UNION ALL SELECT 'v_moving_averages', COUNT(*) FROM air UNION ALL SELECT 'v_risk_map', COUNT(*) FROM air
-UNION ALL SELECT 'v_air_quality_lags', COUNT(*) FROM air
+UNION ALL SELECT 'v_lags', COUNT(*) FROM air
 UNION ALL SELECT 'v_days_with_exceedances', COUNT(*) FROM exceeding
 UNION ALL SELECT 'v_data_completeness', COUNT(*) FROM exceeding""")
 def catalogue(spark, folder):
@@ -393,9 +393,9 @@ def upsert(spark, folder):
 
 @on_warehouse("S13_new_observations", """
 SELECT timestamp, city_id, metric_id, ROUND(value, 9) AS value, ROUND(value_ug_m3, 9) AS value_ug_m3
-FROM fact_air_quality WHERE timestamp >= TIMESTAMP '2024-01-16'""")
+FROM fact_observation WHERE timestamp >= TIMESTAMP '2024-01-16'""")
 def append_observations(t):
-    stored = t.fact_air_quality.filter("timestamp < TIMESTAMP '2024-01-16'")
+    stored = t.fact_observation.filter("timestamp < TIMESTAMP '2024-01-16'")
     wide = reshape.pivot_metrics(long_hours(t)).withColumn("timestamp", F.col("timestamp_hour"))
     unknown = wide.withColumn("city", F.lit("Nowhere"))
     batch = wide.unionByName(wide).unionByName(unknown).drop("timestamp_hour")
@@ -415,9 +415,9 @@ def append_weather(t):
 @on_warehouse("S15_new_quality", """
 SELECT timestamp::DATE AS date, city_id, metric_id, COUNT(*) AS data_points_actual,
        0 AS value_range_violations, 0 AS sudden_jumps_count, TRUE AS is_monotonic
-FROM fact_air_quality WHERE timestamp >= TIMESTAMP '2024-01-16' GROUP BY 1, 2, 3""")
+FROM fact_observation WHERE timestamp >= TIMESTAMP '2024-01-16' GROUP BY 1, 2, 3""")
 def append_quality(t):
-    rows = (t.fact_air_quality.groupBy(F.to_date("timestamp").alias("date"), "city_id", "metric_id")
+    rows = (t.fact_observation.groupBy(F.to_date("timestamp").alias("date"), "city_id", "metric_id")
             .agg(F.count("*").alias("data_points_actual")))
     stored = rows.filter("date < DATE '2024-01-16'")
     return sinks.new_quality(stored, rows.unionByName(rows))
@@ -442,34 +442,29 @@ WITH profile AS (SELECT * FROM (VALUES {{rows}}) p(city_id, metric_id, pct)),
 ranked AS (SELECT f.city_id, f.metric_id, f.timestamp,
                   ROW_NUMBER() OVER (PARTITION BY f.city_id, f.metric_id ORDER BY {DRAW}) AS r,
                   COUNT(*) OVER (PARTITION BY f.city_id, f.metric_id) AS n
-           FROM fact_air_quality f WHERE f.timestamp >= TIMESTAMP '2024-01-24'),
+           FROM fact_observation f WHERE f.timestamp >= TIMESTAMP '2024-01-24'),
 gone AS (SELECT city_id, metric_id, timestamp FROM ranked JOIN profile USING (city_id, metric_id)
          WHERE r <= floor(n * (pct / 100.0::DOUBLE)))
 SELECT timestamp, city_id, metric_id, ROUND(value, 9) AS value
-FROM fact_air_quality ANTI JOIN gone USING (city_id, metric_id, timestamp)"""
+FROM fact_observation ANTI JOIN gone USING (city_id, metric_id, timestamp)"""
 KEEP = ["timestamp", "city_id", "metric_id", "value"]
 
 on_warehouse("S18_inject_gaps", GAPS_SQL.format(rows="(2, 1, 30.0::DOUBLE)"))(
     lambda t: gaps.inject_gaps(t, "ASIA", "pm25", 30.0, AS_OF).select(*KEEP))
 
 on_warehouse("S19_drop_hours", """
-SELECT timestamp, city_id, metric_id, ROUND(value, 9) AS value FROM fact_air_quality
+SELECT timestamp, city_id, metric_id, ROUND(value, 9) AS value FROM fact_observation
 WHERE NOT (city_id = 2 AND metric_id = 1 AND timestamp >= TIMESTAMP '2024-01-28' AND hour(timestamp) IN (3, 4, 5, 18))
 """)(lambda t: gaps.drop_hours(t, "ASIA", "pm25", [3, 4, 5, 18], AS_OF).select(*KEEP))
 
-# The profile's five cities stand for the five regions, in order.
-CITY_IDS = {name: i for i, (name, *_) in enumerate(C.CITIES)}
-METRIC_IDS = {m[1]: m[0] for m in C.METRICS}
-
-
-@query("S20_inject_gap_profile", GAPS_SQL.format(rows=", ".join(
-    f"({CITY_IDS[c]}, {METRIC_IDS[m]}, {pct}::DOUBLE)" for c, m, pct in C.GAP_PROFILE)))
-def gap_profile(spark, folder):
-    t = eventlog.event_warehouse(spark, folder)
-    ids = F.col("city_id")
-    profile = gaps.gap_profile(spark).withColumn("city_id", eventlog.mapped(F.col("city_name"), CITY_IDS, -1))
-    named = profile.drop("city_name").join(t.dim_city.select(ids, "city_name"), "city_id").drop("city_id")
-    return gaps.inject_gap_profile(t, named, AS_OF).select(*KEEP)
+# The share to remove follows from the ids of city and metric.
+@on_warehouse("S20_inject_gap_profile", GAPS_SQL.replace("(VALUES {rows})", """(
+    SELECT city_id, metric_id, 1.0::DOUBLE + (city_id * 7 + metric_id * 3) % 20 FROM dim_city, dim_metric)"""))
+def gap_profile(t):
+    pct = (1.0 + (F.col("city_id") * 7 + F.col("metric_id") * 3) % 20).cast("double")
+    metrics = F.explode(F.array(*[F.struct(F.lit(m[0]).alias("metric_id"), F.lit(m[1]).alias("metric_code")) for m in C.METRICS]))
+    profile = t.dim_city.select("city_id", "city_name", metrics.alias("m")).select("city_id", "city_name", "m.*")
+    return gaps.inject_gap_profile(t, profile.select("city_name", "metric_code", pct.alias("pct")), AS_OF).select(*KEEP)
 
 
 # Sets and scalar functions
@@ -540,9 +535,9 @@ def value_functions(spark, folder):
 
 @on_warehouse("A20_run_summary", """
 SELECT CAST(5 AS BIGINT) AS cities_processed, CAST(0 AS BIGINT) AS cities_failed,
-       (SELECT COUNT(*) FROM fact_air_quality) AS total_aq_records,
+       (SELECT COUNT(*) FROM fact_observation) AS total_aq_records,
        (SELECT COUNT(*) FROM fact_weather) AS total_weather_records,
-       (SELECT COUNT(DISTINCT city_id) FROM fact_air_quality WHERE value > 100) AS cities_with_issues""")
+       (SELECT COUNT(DISTINCT city_id) FROM fact_observation WHERE value > 100) AS cities_with_issues""")
 def summary(t):
     air = views.observations(t).withColumnRenamed("city_name", "city")
     sky = views.v_weather(t).withColumnRenamed("city_name", "city")

@@ -19,20 +19,20 @@ on_warehouse("T1_trends", f"""
 SELECT timestamp, city_name, metric_code, ROUND(value_ug_m3, 9) AS value_ug_m3 FROM air WHERE {IN_TIME}""")(
     lambda t: reports.trends(t, **WHERE))
 
-on_warehouse("T2_browse_air_quality", f"""
+on_warehouse("T2_browse_observations", f"""
 SELECT timestamp, city_name, country, metric_code, metric_name, unit, station_count,
        {nine('value', 'value_ug_m3', 'latitude', 'longitude')}
 FROM air WHERE {IN_TIME} ORDER BY timestamp DESC, city_name, metric_code LIMIT 1000""")(
-    lambda t: reports.browse(t, "v_air_quality", **WHERE))
+    lambda t: reports.browse(t, "v_observations", n=1000, **WHERE))
 
 on_warehouse("T2_browse_weather", f"""
 SELECT timestamp, city_name, country, {nine(*SKY, 'latitude', 'longitude')}
-FROM sky ORDER BY timestamp DESC, city_name LIMIT 1000""")(lambda t: reports.browse(t, "v_weather"))
+FROM sky""")(lambda t: reports.browse(t, "v_weather"))
 
 on_warehouse("T3_browse_risk_map", f"""
 SELECT date, hour, city_name, metric_code, risk_level,
        {nine('value_ug_m3', 'temperature_c', 'wind_speed_ms', 'precipitation_mm')}
-FROM risk WHERE {IN_DAYS} ORDER BY date DESC, hour DESC, city_name, metric_code LIMIT 1000""")(
+FROM risk WHERE {IN_DAYS}""")(
     lambda t: reports.browse(t, "v_risk_map", **WHERE))
 
 on_warehouse("T2_browse_completeness", """
@@ -40,22 +40,50 @@ SELECT city_name, metric_code, date, n AS actual_data_points, 24 AS expected_dat
        CAST(ROUND(CAST(n * 100 AS DECIMAL(18,6)) / 24, 2) AS DOUBLE) AS completeness_percent,
        CAST(100.0 - ROUND(CAST(n * 100 AS DECIMAL(18,6)) / 24, 2) AS DOUBLE) AS missing_percent
 FROM (SELECT city_name, metric_code, timestamp::DATE AS date, COUNT(*) AS n FROM air GROUP BY 1, 2, 3)
-ORDER BY date DESC, city_name, metric_code LIMIT 200""")(lambda t: reports.browse(t, "v_data_completeness", n=200))
+""")(lambda t: reports.browse(t, "v_data_completeness"))
+
+on_warehouse("T2_browse_moving_averages", """
+SELECT timestamp, city_name, metric_code, ROUND(value_ug_m3, 9) AS value_ug_m3,
+       ROUND(AVG(value_ug_m3) OVER (PARTITION BY city_name, metric_code ORDER BY timestamp
+                                    ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 9) AS moving_avg_7d
+FROM air""")(lambda t: reports.browse(t, "v_moving_averages"))
+
+on_warehouse("T2_browse_lags", """
+SELECT timestamp, city_name, metric_code, ROUND(value_ug_m3, 9) AS value_ug_m3, station_count,
+       ROUND(LAG(value_ug_m3, 1) OVER s, 9) AS value_lag_1h, ROUND(LAG(value_ug_m3, 2) OVER s, 9) AS value_lag_2h,
+       ROUND(LAG(value_ug_m3, 3) OVER s, 9) AS value_lag_3h
+FROM air WINDOW s AS (PARTITION BY city_name, metric_code ORDER BY timestamp)""")(lambda t: reports.browse(t, "v_lags"))
+
+on_warehouse("T2_browse_exceedances", f"""
+SELECT date, city_name, metric_code, exceedance_hours, {nine('max_value', 'avg_value')}, exceedance_hours > 0 AS has_exceedance
+FROM exceeding""")(lambda t: reports.browse(t, "v_days_with_exceedances"))
+
+on_warehouse("T2_browse_observations_weather", f"""
+SELECT COALESCE(a.timestamp, w.timestamp) AS timestamp, COALESCE(a.city_name, w.city_name) AS city_name,
+       COALESCE(a.country, w.country) AS country, metric_code, metric_name, {nine('value_ug_m3', *SKY)}
+FROM air a FULL JOIN sky w ON a.timestamp = w.timestamp AND a.city_name = w.city_name""")(
+    lambda t: reports.browse(t, "v_observations_weather"))
+
+on_warehouse("T2_browse_daily_aggregates", f"""
+SELECT a.timestamp::DATE AS date, a.city_name, a.country, a.metric_code, COUNT(*) AS data_points,
+       ROUND(AVG(a.value_ug_m3), 9) AS avg_value, ROUND(MIN(a.value_ug_m3), 9) AS min_value, ROUND(MAX(a.value_ug_m3), 9) AS max_value,
+       ROUND(AVG(w.temperature_c), 9) AS avg_temperature, ROUND(AVG(w.wind_speed_ms), 9) AS avg_wind_speed
+FROM air a LEFT JOIN fact_weather w ON w.city_id = a.city_id AND w.timestamp::DATE = a.timestamp::DATE GROUP BY 1, 2, 3, 4""")(
+    lambda t: reports.browse(t, "v_daily_aggregates").drop("avg_humidity", "total_precipitation"))
 
 on_warehouse("E2_exceedance_days", f"""
 SELECT date, city_name, metric_code, exceedance_hours, {nine('max_value', 'avg_value')}, TRUE AS has_exceedance
 FROM exceeding WHERE {IN_DAYS} AND exceedance_hours > 0""")(lambda t: reports.exceedance_days(t, **WHERE))
 
 on_warehouse("E3_risk_counts", """
-SELECT date, hour, city_name, metric_code, risk_level, COUNT(*) AS count FROM risk GROUP BY ALL
-ORDER BY date, hour, city_name, metric_code, risk_level LIMIT 5000""")(lambda t: reports.risk_counts(t))
+SELECT date, hour, city_name, metric_code, risk_level, COUNT(*) AS count FROM risk GROUP BY ALL""")(lambda t: reports.risk_counts(t))
 
 on_warehouse("A15_risk_pivot", """
 WITH n AS (SELECT date, hour, city_name, risk_level, COUNT(*) AS count FROM risk WHERE metric_code = 'pm25' GROUP BY ALL)
 SELECT date, hour, COALESCE(AVG(count) FILTER (risk_level = 'HIGH'), 0.0::DOUBLE) AS "HIGH",
        COALESCE(AVG(count) FILTER (risk_level = 'LOW'), 0.0::DOUBLE) AS "LOW",
        COALESCE(AVG(count) FILTER (risk_level = 'MODERATE'), 0.0::DOUBLE) AS "MODERATE" FROM n GROUP BY 1, 2""")(
-    lambda t: stats.risk_pivot(reports.risk_counts(t, n=None), "pm25"))
+    lambda t: stats.risk_pivot(reports.risk_counts(t), "pm25"))
 
 
 def completeness_sql(condition: str, days: int) -> str:
@@ -83,7 +111,8 @@ on_warehouse("A16_completeness_heatmap", """
 SELECT city_name, ROUND(100.0 * COUNT(*) FILTER (metric_code = 'pm25') / 720, 2) AS pm25,
        ROUND(100.0 * COUNT(*) FILTER (metric_code = 'pm10') / 720, 2) AS pm10,
        ROUND(100.0 * COUNT(*) FILTER (metric_code = 'no2') / 720, 2) AS no2,
-       ROUND(100.0 * COUNT(*) FILTER (metric_code = 'o3') / 720, 2) AS o3 FROM air GROUP BY 1""")(
+       ROUND(100.0 * COUNT(*) FILTER (metric_code = 'o3') / 720, 2) AS o3,
+       CAST(NULL AS DOUBLE) AS co, CAST(NULL AS DOUBLE) AS so2 FROM air GROUP BY 1""")(
     lambda t: stats.completeness_heatmap(reports.completeness_range(t, "2024-01-01", "2024-01-30")))
 
 on_warehouse("A6_range_violations", f"""
@@ -115,9 +144,9 @@ STATUS = "CAST(NULL AS TIMESTAMP) AS latest"
 on_warehouse("A9_table_status", f"""
 SELECT 'cities' AS "check", COUNT(*) AS number, {STATUS} FROM dim_city
 UNION ALL SELECT 'metrics', COUNT(*), NULL FROM dim_metric
-UNION ALL SELECT 'air_quality_last_7_days', COUNT(*), NULL FROM fact_air_quality WHERE timestamp >= TIMESTAMP '2024-01-24'
-UNION ALL SELECT 'air_quality_last_24_hours', COUNT(*), NULL FROM fact_air_quality WHERE timestamp >= TIMESTAMP '2024-01-30'
-UNION ALL SELECT 'air_quality_latest', NULL, MAX(timestamp) FROM fact_air_quality
+UNION ALL SELECT 'observation_last_7_days', COUNT(*), NULL FROM fact_observation WHERE timestamp >= TIMESTAMP '2024-01-24'
+UNION ALL SELECT 'observation_last_24_hours', COUNT(*), NULL FROM fact_observation WHERE timestamp >= TIMESTAMP '2024-01-30'
+UNION ALL SELECT 'observation_latest', NULL, MAX(timestamp) FROM fact_observation
 UNION ALL SELECT 'weather_last_7_days', COUNT(*), NULL FROM fact_weather WHERE timestamp >= TIMESTAMP '2024-01-24'
 UNION ALL SELECT 'weather_last_24_hours', COUNT(*), NULL FROM fact_weather WHERE timestamp >= TIMESTAMP '2024-01-30'
 UNION ALL SELECT 'weather_latest', NULL, MAX(timestamp) FROM fact_weather""")(lambda t: reports.table_status(t, AS_OF))
@@ -128,7 +157,7 @@ def correlation_sql(where: str) -> str:
     parts = []
     for x in cols:
         for y in cols:
-            r = "1.0::DOUBLE" if x == y else f"corr({x}, {y})"
+            r = f"corr({x}, {y})"
             parts.append(f"SELECT metric_code, '{x}' AS x, '{y}' AS y, ROUND(CASE WHEN "
                          f"COUNT(CASE WHEN {y} IS NOT NULL THEN {x} END) = 0 THEN NULL ELSE {r} END, 9) AS r "
                          f"FROM air_sky WHERE {where} GROUP BY 1")
@@ -154,18 +183,18 @@ TREND = " UNION ALL ".join(
 
 on_warehouse("A19_linear_trend", f"""
 SELECT metric_code, x_name, pairs, {nine('slope', 'intercept', 'x_min', 'x_max')} FROM ({TREND}) WHERE pairs > 1""")(
-    lambda t: stats.linear_trends(views.v_air_quality_weather(t).filter("metric_code IS NOT NULL"), XS))
+    lambda t: stats.linear_trends(views.v_observations_weather(t).filter("metric_code IS NOT NULL"), XS))
 
 on_warehouse("A19_trend_line", f"""
 SELECT metric_code, x_name, CAST(point AS INT) AS point, ROUND(x_min + point * ((x_max - x_min) / 99), 9) AS x,
        ROUND(intercept + slope * (x_min + point * ((x_max - x_min) / 99)), 8) AS y
 FROM ({TREND}) , generate_series(0, 99) g(point) WHERE pairs > 1""")(
     lambda t: stats.trend_line(stats.linear_trends(
-        views.v_air_quality_weather(t).filter("metric_code IS NOT NULL"), XS)).select(
+        views.v_observations_weather(t).filter("metric_code IS NOT NULL"), XS)).select(
         "metric_code", "x_name", "point", "x", F.round("y", 8).alias("y")))
 
 on_warehouse("P10_metric_list", """
 SELECT a.metric_code, a.metric_name, COUNT(*) AS rows FROM air a
 WHERE a.metric_code NOT IN ('so2','co') GROUP BY 1, 2""")(
-    lambda t: views.observations(t).drop("metric_name").join(F.broadcast(list_metrics(t.dim_metric)), "metric_code")
+    lambda t: views.observations(t).drop("metric_name").join(list_metrics(t.dim_metric), "metric_code")
     .groupBy("metric_code", "metric_name").agg(F.count("*").alias("rows")))

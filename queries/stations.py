@@ -34,7 +34,7 @@ near AS (
            + cos(radians(c.latitude)) * cos(radians(p.latitude)) * pow(sin(radians(p.longitude - c.longitude) / 2), 2)))) AS distance_m
   FROM placed p, dim_city c),
 ranked AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY city_name ORDER BY distance_m, location_id) AS INT) AS rank
-           FROM near WHERE distance_m <= 25000)"""
+           FROM near WHERE distance_m <= 40000)"""
 
 
 def near(spark, folder, k):
@@ -92,11 +92,14 @@ def small_coverage(spark, folder):
     return everything.filter("location_id % 7 <> 0 AND location_id % 11 <> 0")
 
 
+# No station measures so2, so it lacks everywhere and no station covers all.
+WITH_SO2 = [*C.REQUESTED_METRICS, "so2"]
+
 query("A21_city_coverage", f"""
 WITH {COVERAGE} SELECT city_name, array_to_string(list_sort(list_distinct(flatten(list(parameters)))), ',') AS found,
-  array_to_string(list_filter(['no2','o3','pm10','pm25'], lambda x: NOT list_contains(flatten(list(parameters)), x)), ',') AS missing
-FROM coverage WHERE len(parameters) > 0 AND location_id % 7 <> 0 AND location_id % 11 <> 0 GROUP BY 1""")(
-    lambda spark, folder: texts(S.city_coverage(small_coverage(spark, folder))))
+  array_to_string(list_filter(['no2','o3','pm10','pm25','so2'], lambda x: NOT list_contains(flatten(list(parameters)), x)), ',') AS missing
+FROM coverage WHERE len(parameters) > 0 GROUP BY 1""")(
+    lambda spark, folder: texts(S.city_coverage(S.location_coverage(sensors(spark, folder), WITH_SO2), WITH_SO2)))
 
 
 def greedy_sql(source: str) -> str:
@@ -116,13 +119,13 @@ SELECT city_name, CAST(ROW_NUMBER() OVER (PARTITION BY city_name ORDER BY i) - 1
 FROM walk WHERE len(adds) > 0"""
 
 
-def chosen(coverage):
-    picks = S.select_stations(coverage)
+def chosen(coverage, wanted=None):
+    picks = S.select_stations(coverage, wanted)
     return texts(picks.withColumn("adds", F.sort_array("adds")).drop("missing"))
 
 
-query("A22_select_stations", greedy_sql("AND len(parameters) < 3"))(
-    lambda spark, folder: chosen(S.location_coverage(sensors(spark, folder)).filter("size(parameters) < 3")))
+query("A22_select_stations", greedy_sql("").replace("'pm25'] AS remaining", "'pm25','so2'] AS remaining"))(
+    lambda spark, folder: chosen(S.location_coverage(sensors(spark, folder), WITH_SO2), WITH_SO2))
 
 query("A22_single_station_covers_all", greedy_sql(""))(
     lambda spark, folder: chosen(S.location_coverage(sensors(spark, folder))))

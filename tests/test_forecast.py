@@ -80,9 +80,12 @@ def test_train_save_load(spark, features, tmp_path):
         M.predict(None, features)
 
 
-def test_small_cities_are_skipped(spark, features):
+def test_short_cities_are_trained_or_reported(spark, features):
     few = features.limit(50).withColumn("city_name", F.lit("few"))
-    assert set(M.train_cities(features.unionByName(few), ["x", "few", "none"], **SMALL)) == {"x"}
+    both = features.unionByName(few)
+    fitted, left_out = M.train_cities(both, ["x", "few", "none"], **SMALL)
+    assert set(fitted) == {"x", "few"} and left_out == {"none": "0 rows, 1 needed"}
+    assert M.train_cities(both, ["few"], min_rows=100, **SMALL) == ({}, {"few": "50 rows, 100 needed"})
 
 
 @pytest.mark.parametrize("hours,last_fold,folds", [(888, False, 0), (889, False, 1), (888, True, 1), (887, True, 0), (1100, False, 2), (1056, True, 2)])
@@ -94,7 +97,7 @@ def test_fold_admission(spark, hours, last_fold, folds):
 
 
 def test_backtests(features):
-    per_fold, overall = M.backtest_metrics(M.backtest(features, 20, 3))
+    per_fold, overall = M.backtest_metrics(M.backtest(features, 20, 3, model="persistence"))
     assert per_fold.count() == 3 and overall.first()["n"] == 3 * 72
     boosted = M.backtest(features, 20, 3, model="boosting", maxIter=2, maxDepth=2)
     assert boosted.count() == 3 * 72 and boosted.filter("prediction IS NULL").count() == 0

@@ -107,9 +107,9 @@ def test_daily_metrics(tiny):
 
 
 def test_keys_and_references(spark, tiny):
-    assert Q.duplicate_keys(tiny.fact_air_quality, ["city_id", "metric_id", "timestamp"]).count() == 0
+    assert Q.duplicate_keys(tiny.fact_observation, ["city_id", "metric_id", "timestamp"]).count() == 0
     assert Q.duplicate_keys(tiny.fact_weather.union(tiny.fact_weather), ["city_id", "timestamp"]).count() == 3
-    lost = Q.orphans(tiny.fact_air_quality, {"city_id": tiny.dim_city.filter("city_id <> 3"), "metric_id": tiny.dim_metric})
+    lost = Q.orphans(tiny.fact_observation, {"city_id": tiny.dim_city.filter("city_id <> 3"), "metric_id": tiny.dim_metric})
     assert [tuple(r) for r in lost.collect()] == [("city_id", "3", 1)]
     assert Q.sparse_days(V.observations(tiny), 20).filter("city_name = 'There' AND metric_code = 'pm25'").count() == 1
 

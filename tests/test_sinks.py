@@ -37,9 +37,9 @@ def test_observations_once(spark, store):
     assert sinks.append_observations(spark, store, wide(spark)) == 4
     assert sinks.append_observations(spark, store, wide(spark)) == 0
     assert sinks.append_observations(spark, store, wide(spark, 5)) == 2
-    rows = read_table(spark, store, "fact_air_quality")
+    rows = read_table(spark, store, "fact_observation")
     assert rows.groupBy("city_id", "metric_id", "timestamp").count().filter("count > 1").count() == 0
-    assert rows.agg(F.max(F.length("location_name")), F.min("station_count")).first() == (200, 1)
+    assert rows.agg(F.max(F.length("location_name")), F.min("station_count")).first() == (300, 1)
     assert rows.filter("event_date = DATE '2024-05-01'").count() == 6
 
 
@@ -62,10 +62,10 @@ def test_quality_defaults(spark, store):
 
 def test_stored_days_prune_folders(spark, store):
     sinks.append_observations(spark, store, wide(spark))
-    target = read_table(spark, store, "fact_air_quality")
+    target = read_table(spark, store, "fact_observation")
     later = wide(spark).withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 9 DAYS"))
     assert sinks.append_observations(spark, store, later) == 4
-    touched = sinks.stored_days(read_table(spark, store, "fact_air_quality"), target.limit(1).drop("event_date"))
+    touched = sinks.stored_days(read_table(spark, store, "fact_observation"), target.limit(1).drop("event_date"))
     assert touched.count() == 4
     scan = [p for p in touched._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: ")[1:]]
     assert any("subquery" in p.split("PushedFilters")[0] for p in scan)
@@ -79,20 +79,15 @@ def test_export_and_reload(spark, tmp_path):
 
 def test_gaps_take_the_floor_share(spark, tiny):
     left = gaps.inject_gaps(tiny, "There", "pm25", 50.0, "2024-03-03")
-    assert left.count() == tiny.fact_air_quality.count() - 14
+    assert left.count() == tiny.fact_observation.count() - 14
     assert sorted(map(str, left.collect())) == sorted(map(str, gaps.inject_gaps(tiny, "There", "pm25", 50.0, "2024-03-03").repartition(7).collect()))
-    assert gaps.inject_gaps(tiny, "Mars", "pm25", 50.0, "2024-03-03").count() == tiny.fact_air_quality.count()
-    assert gaps.inject_gaps(tiny, "There", "pm25", 1.0, "2024-03-03").count() == tiny.fact_air_quality.count()
-    assert gaps.drop_hours(tiny, "There", "pm25", [0, 1], "2024-03-03").count() == tiny.fact_air_quality.count() - 4
-
-
-def test_profile_shape(spark):
-    rows = gaps.gap_profile(spark)
-    assert rows.count() == 20 and rows.agg(F.min("pct"), F.max("pct")).first() == (1.23, 2.89)
+    assert gaps.inject_gaps(tiny, "Mars", "pm25", 50.0, "2024-03-03").count() == tiny.fact_observation.count()
+    assert gaps.inject_gaps(tiny, "There", "pm25", 1.0, "2024-03-03").count() == tiny.fact_observation.count()
+    assert gaps.drop_hours(tiny, "There", "pm25", [0, 1], "2024-03-03").count() == tiny.fact_observation.count() - 4
 
 
 def test_pivot_and_back(spark, tiny):
-    long = tiny.fact_air_quality.filter("value_ug_m3 IS NOT NULL").select(
+    long = tiny.fact_observation.filter("value_ug_m3 IS NOT NULL").select(
         F.col("city_id").cast("string").alias("city"), F.col("timestamp").alias("timestamp_hour"),
         F.element_at(F.create_map(*[F.lit(x) for kv in {1: "pm25", 2: "pm10", 3: "no2", 4: "o3", 5: "co"}.items() for x in kv]),
                      F.col("metric_id")).alias("parameter"), "value_ug_m3")
@@ -113,4 +108,4 @@ def test_hourly_mean_count_and_first(spark):
 
 def test_warehouse_round_trip(spark, store):
     sinks.append_observations(spark, store, wide(spark))
-    assert load_warehouse(spark, store).fact_air_quality.count() == 4
+    assert load_warehouse(spark, store).fact_observation.count() == 4

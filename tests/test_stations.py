@@ -14,7 +14,8 @@ def metres(a, b):
     return 2 * 6_371_000 * math.asin(min(1, math.sqrt(h)))
 
 
-def test_radius_join_everywhere(spark):
+@pytest.mark.parametrize("radius", [25_000, 40_000, 3_000_000, 30_000_000])
+def test_radius_join_everywhere(spark, radius):
     """Also at the date line, on the equator, at high latitude and around the pole."""
     rng = random.Random(7)
     cities = {"line": (10.0, 179.99), "west": (-10.0, -179.99), "origin": (0.0, 0.0), "north": (78.2, 15.6),
@@ -25,10 +26,10 @@ def test_radius_join_everywhere(spark):
             y = max(-90.0, min(90.0, lat + rng.uniform(-0.4, 0.4)))
             x = lon + rng.uniform(-0.4, 0.4) / max(math.cos(math.radians(lat)), 0.002)
             stations.append((len(stations), y, (x + 180) % 360 - 180))
-    want = {(c, s[0]) for c, at in cities.items() for s in stations if metres(at, s[1:]) <= 25_000}
+    want = {(c, s[0]) for c, at in cities.items() for s in stations if metres(at, s[1:]) <= radius}
     found = S.stations_near(
         spark.createDataFrame([(c, *at) for c, at in cities.items()], "city_name STRING, latitude DOUBLE, longitude DOUBLE"),
-        spark.createDataFrame(stations, "location_id BIGINT, latitude DOUBLE, longitude DOUBLE"), 99_000, None)
+        spark.createDataFrame(stations, "location_id BIGINT, latitude DOUBLE, longitude DOUBLE"), radius)
     got = [(r["city_name"], r["location_id"]) for r in found.collect()]
     assert len(got) == len(set(got)) and set(got) == want and len({c for c, _ in want}) == len(cities)
 

@@ -40,13 +40,13 @@ def test_stream_equals_batch_and_repeats_nothing(spark, landed, tmp_path):
     run(spark, landed, root, str(tmp_path / "c1"))
     batch = hourly_observations(payloads.read_observations(spark, landed, default_cities(spark)).dropDuplicates(ST.DUPLICATE_KEY))
     want = {(r["timestamp"], r["value_ug_m3"], r["station_count"]) for r in batch.filter("timestamp < '2024-06-05'").collect()}
-    stored = read_table(spark, root, "fact_air_quality")
+    stored = read_table(spark, root, "fact_observation")
     got = [(r["timestamp"], r["value_ug_m3"], r["station_count"]) for r in stored.collect()]
     assert len(got) == 48 and set(got) == want
     assert read_table(spark, root, "fact_data_quality_metrics").count() == 2
     run(spark, landed, root, str(tmp_path / "c1"))
     run(spark, landed, root, str(tmp_path / "c2"))
-    assert read_table(spark, root, "fact_air_quality").count() == 48
+    assert read_table(spark, root, "fact_observation").count() == 48
     assert read_table(spark, root, "fact_data_quality_metrics").count() == 2
 
 
@@ -57,12 +57,13 @@ def test_load_run(spark, landed, tmp_path):
     (sky / "w.json").write_text(json.dumps({"hourly": {"time": times, "temperature_2m": [1.0 * h for h in range(60)]}}))
     root = str(tmp_path / "store")
     first = run_load(spark, root, landed, str(tmp_path / "sky"), default_cities(spark), "2024-06-03")
-    assert first["written"] == {"fact_air_quality": 49, "fact_weather": 60, "fact_data_quality_metrics": 3}
+    assert first["written"] == {"fact_observation": 49, "fact_weather": 60, "fact_data_quality_metrics": 3}
     summary = first["summary"].first()
     assert (summary["cities_processed"], summary["cities_failed"], summary["total_weather_records"]) == (1, 4, 60)
     assert summary["cities_with_issues"] == 1
     again = run_load(spark, root, landed, str(tmp_path / "sky"), default_cities(spark), "2024-06-03")
-    assert set(again["written"].values()) == {0}
+    assert again["written"] == {"fact_observation": 0, "fact_weather": 0, "fact_data_quality_metrics": 3}
+    assert again["merged"].count() > 0 and {r["check"] for r in again["recent"].collect()} >= {"range", "monotonic"}
     merged = merged_hours(payloads.read_observations(spark, landed, default_cities(spark)),
                           payloads.read_weather(spark, str(tmp_path / "sky")))
     assert merged.count() == 61 and merged.filter("pm25 IS NOT NULL AND temperature_c IS NOT NULL").count() == 48

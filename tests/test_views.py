@@ -12,7 +12,7 @@ from airlattice.plans import views as V
 def test_all_views_register(spark, tiny):
     assert len(V.register_views(spark, tiny)) == 9
     assert V.register_views(spark, tiny) == list(V.VIEWS)
-    assert spark.sql("SELECT count(*) FROM v_air_quality").first()[0] == tiny.fact_air_quality.count()
+    assert spark.sql("SELECT count(*) FROM v_observations").first()[0] == tiny.fact_observation.count()
 
 
 def test_limits_are_strict(tiny):
@@ -38,9 +38,9 @@ def test_completeness_of_a_day(tiny):
 
 
 def test_full_outer_keeps_both_sides(tiny):
-    both = V.v_air_quality_weather(tiny)
-    assert both.count() == tiny.fact_air_quality.count()
-    alone = V.v_air_quality_weather(type(tiny)(tiny.dim_city, tiny.dim_metric, tiny.fact_air_quality.limit(0), tiny.fact_weather))
+    both = V.v_observations_weather(tiny)
+    assert both.count() == tiny.fact_observation.count()
+    alone = V.v_observations_weather(type(tiny)(tiny.dim_city, tiny.dim_metric, tiny.fact_observation.limit(0), tiny.fact_weather))
     assert alone.filter("metric_code IS NULL").count() == 3
 
 
@@ -58,18 +58,18 @@ def test_daily_modes(tiny):
 
 def test_lags_skip_gaps_unless_on_grid(tiny):
     pick = "city_name = 'There' AND metric_code = 'pm25' AND hour(timestamp) = 8 AND to_date(timestamp) = '2024-03-01'"
-    assert V.v_air_quality_lags(tiny).filter(pick).first()["value_lag_1h"] == 16.0
-    gridded = V.v_air_quality_lags(tiny, grid=True).filter(pick).first()
+    assert V.v_lags(tiny).filter(pick).first()["value_lag_1h"] == 16.0
+    gridded = V.v_lags(tiny, grid=True).filter(pick).first()
     assert gridded["value_lag_1h"] is None and gridded["value_lag_2h"] == 16.0
 
 
 def test_browse_is_newest_first(tiny):
-    rows = R.browse(tiny, "v_air_quality", n=3, cities=["There"]).collect()
+    rows = R.browse(tiny, "v_observations", n=3, cities=["There"]).collect()
     assert [r["timestamp"].hour for r in rows] == [5, 4, 3]
 
 
 def test_scope_end_day(tiny):
-    named = V.v_air_quality(tiny)
+    named = V.v_observations(tiny)
     assert S.scope(named, ["There"], ["pm25"], end="2024-03-01").count() == 23
     assert S.scope(named, ["There"], ["pm25"], end="2024-03-01", inclusive_midnight=True).count() == 1
     assert S.scope(named, ["There"], ["pm25"], start="2024-03-02 03:00:00").count() == 3
@@ -77,15 +77,15 @@ def test_scope_end_day(tiny):
 
 def test_scope_prunes_stored_days(spark, tiny, tmp_path):
     from airlattice.tables import read_table, write_table
-    assert write_table(tiny.fact_air_quality, str(tmp_path), "fact_air_quality") == tiny.fact_air_quality.count()
-    stored = read_table(spark, str(tmp_path), "fact_air_quality")
+    assert write_table(tiny.fact_observation, str(tmp_path), "fact_observation") == tiny.fact_observation.count()
+    stored = read_table(spark, str(tmp_path), "fact_observation")
     plan = S.scope(stored, start="2024-03-02", end="2024-03-02")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
 
 
 def test_records_by_city(tiny):
     counts = {r["city_name"]: (r["aq_count"], r["weather_count"]) for r in joins.records_by_city(
-        tiny.dim_city.filter("city_id IN (2, 4)"), tiny.fact_air_quality, tiny.fact_weather, "2024-03-03").collect()}
+        tiny.dim_city.filter("city_id IN (2, 4)"), tiny.fact_observation, tiny.fact_weather, "2024-03-03").collect()}
     assert counts == {"There": (90, 90), "Empty": (0, 0)}
 
 
