@@ -39,10 +39,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 _shipped: set[str] = set()
+#: Bytes of text that one batch hands to a Python worker; a longer text is a batch of its own.
+BATCH = "4m"
 
 
 def ship_package(spark: SparkSession) -> SparkSession:
-    """Give the executors this package, whose functions run there: once per application, through Spark's own file server."""
+    """Give the executors this package, whose functions run there: once per application, through Spark's own file server.
+
+    Batches to Python workers are bounded by bytes as well, since documents differ in length.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         root = Path(__file__).resolve().parents[1]
