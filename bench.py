@@ -19,10 +19,10 @@ from airlattice.session import build_session  # noqa: E402
 from queries import ORACLES, QUERIES  # noqa: E402
 
 HEADLINE = [
-    "P1_v_air_quality", "J2_v_air_quality_weather", "A1_v_daily_aggregates", "W1_v_moving_averages",
-    "W2_v_air_quality_lags", "E1_v_risk_map", "E2_exceedance_days", "E3_risk_counts", "A3_v_data_completeness",
+    "P1_v_observations", "J2_v_observations_weather", "A1_v_daily_aggregates", "W1_v_moving_averages",
+    "W2_v_lags", "E1_v_risk_map", "E2_exceedance_days", "E3_risk_counts", "A3_v_data_completeness",
     "A5_completeness_range", "A8_period_statistics", "A17_correlation_matrix", "A19_linear_trend", "T1_trends",
-    "J7_merge_air_quality_and_weather", "J10_records_by_city", "J11_stations_near", "A22_select_stations",
+    "J7_merge_observations_and_weather", "J10_records_by_city", "J11_stations_near", "A22_select_stations",
     "Q5_zscore_by_series", "Q7_quality_report", "Q9_daily_quality_metrics", "S1_observation_payloads",
     "S2_weather_payloads", "S7_latest_per_series", "S13_new_observations", "S20_inject_gap_profile",
     "A10_hourly_by_city", "M1_training_frame", "M4_features", "M10_backtest_overall",
