@@ -166,8 +166,8 @@ def apply_mix(docs: DataFrame, mix: DataFrame, doc_id: str = "doc_id") -> DataFr
 
     ``mix`` is joined by doc_id, null-safe; rows that share an id share the mean of their takes, rounded up.
     """
-    name, = fresh(docs, "copy")
-    per_id = mix.groupBy(F.col("doc_id").alias("mix_id")).agg(F.ceil(F.avg("times")).cast("int").alias("mix_times"))
-    return docs.join(per_id.where("mix_times > 0"), col(doc_id).eqNullSafe(F.col("mix_id"))) \
-        .withColumn(name, F.explode(F.array_repeat(F.lit(1), F.col("mix_times")))) \
+    name, mix_id, times = fresh(docs, "copy", "mix_id", "mix_times")
+    per_id = mix.groupBy(F.col("doc_id").alias(mix_id)).agg(F.ceil(F.avg("times")).cast("int").alias(times))
+    return docs.join(per_id.where(F.col(times) > 0), col(doc_id).eqNullSafe(F.col(mix_id))) \
+        .withColumn(name, F.explode(F.array_repeat(F.lit(1), F.col(times)))) \
         .select(*[col(c) for c in docs.columns])

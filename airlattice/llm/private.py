@@ -46,7 +46,8 @@ STRANGE = re.compile("[" + "".join(LOOKALIKES) + INVISIBLE
                      + "․。‐-―①-⑨Ⓐ-⓪﹒﹫！-～｡\U0001d400-\U0001d7ff]")
 AT = re.compile(r"(?i)[ \t]*[\[({<][ \t]*(?:at|@)[ \t]*[\])}>][ \t]*")
 DOT = re.compile(r"(?i)[ \t]*[\[({<][ \t]*(?:dot|\.)[ \t]*[\])}>][ \t]*")
-#: Plain words count only as the whole "name at host dot domain".
+#: Plain words count only as the whole "name at host dot domain", the last word a usual top-level domain. Fixed values.
+TOP_LEVEL = frozenset("com org net edu gov info biz io co ai app dev me eu uk de fr es it nl ch at be pl us ca au in jp cn br ru".split())
 SPOKEN = re.compile(r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+([ \t]+at[ \t]+)[A-Za-z0-9-]+((?:[ \t]+dot[ \t]+[A-Za-z0-9-]+)+)")
 SPOKEN_DOT = re.compile(r"(?i)[ \t]+dot[ \t]+")
 DISGUISED = re.compile(r"(?i)[\[({<][ \t]*(?:at|@|dot|\.)[ \t]*[\])}>]|[ \t]at[ \t]++[A-Za-z0-9-]++[ \t]++dot[ \t]")
@@ -147,6 +148,8 @@ def disguises(text: str) -> list[tuple[int, int, str]]:
         return []
     found = [(*m.span(), "@") for m in AT.finditer(text)] + [(*m.span(), ".") for m in DOT.finditer(text)]
     for m in SPOKEN.finditer(text):
+        if m[2].split()[-1].lower() not in TOP_LEVEL:
+            continue
         found.append((*m.span(1), "@"))
         found += [(m.start(2) + d.start(), m.start(2) + d.end(), ".") for d in SPOKEN_DOT.finditer(m[2])]
     out, last = [], 0
