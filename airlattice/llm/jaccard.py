@@ -17,7 +17,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from airlattice.llm.common import col, fresh, row_type, stored, words
@@ -87,9 +86,10 @@ def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["key", "n", "bands"])
 
 
-@F.pandas_udf(T.BinaryType())
-def gram_set(texts: pd.Series) -> pd.Series:
-    return pd.Series([grams(t).tobytes() for t in texts], dtype=object)
+@F.pandas_udf(row_type("key binary, grams binary"))
+def gram_set(texts: pd.Series) -> pd.DataFrame:
+    sets = [grams(t).tobytes() for t in texts]
+    return pd.DataFrame({"key": [xxhash.xxh3_128_digest(s) for s in sets], "grams": sets})
 
 
 class Group:
@@ -262,8 +262,9 @@ def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     carrier = signed.join(classes.select("key", "id", "first"), "key").where(of == F.col("first")) \
         .join(needed.select("id"), "id", "left_semi").groupBy("id").agg(F.min("doc_id").alias("carrier"), F.first("key").alias("key"))
     texts = docs.select(col(doc_id).cast("long").alias("carrier"), col(text).alias("t"))
-    sets = texts.join(carrier, texts.carrier.eqNullSafe(carrier.carrier)).select("id", "key", gram_set("t").alias("grams"), sign("t").alias("s")) \
-        .where("s.key = key").groupBy("id").agg(F.first("grams").alias("grams"))
+    # Compared only when the join is done: as a join condition the sets of all texts would be made for it.
+    sets = texts.join(carrier, texts.carrier.eqNullSafe(carrier.carrier)).select("id", "key", gram_set("t").alias("s")) \
+        .groupBy("id").agg(F.first(F.when(F.col("s.key") == F.col("key"), F.col("s.grams")), ignorenulls=True).alias("grams"))
     full = stored(sets.join(needed, "id"), "sets")
 
     # Each block pair of a bucket once: a member goes to the pairs that its block is part of.
