@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from uuid import uuid4
@@ -29,7 +30,19 @@ from airlattice.llm.common import col, new_folder, row_type, stored
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LENGTH, SHARD_SLOTS, ROUNDS, REMEMBERED = 1024, 8192, 8, 300_000
 #: A blank between two characters that are no white space: the pattern always starts a token there.
-SAFE_CUT, ODD = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"\s | \s|\A\s|\s\Z")
+SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
+SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+ASCII_SPACES = [c for c in SPACES if c.isascii()]
+#: Marks that never share a token with letters before them.
+MARKS = frozenset(".,;:!?")
+
+
+def plain_blanks(text: str) -> bool:
+    """Is every blank alone between two characters that are no white space?"""
+    if text[0].isspace() or text[-1].isspace():
+        return False
+    spaces = ASCII_SPACES if text.isascii() else SPACES
+    return not any(c in text and (c + " " in text or " " + c in text) for c in spaces if c != " ") and "  " not in text
 
 
 class Tokens:
@@ -41,13 +54,24 @@ class Tokens:
         self.end = max(ranks.values()) + 1
         self.kind = np.dtype("<u2" if self.end < 1 << 16 else "<u4")
         self.encoding = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.code = "H" if self.kind.itemsize == 2 else "I"
         self.memory: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def word(self, text: str) -> bytes:
-        got = np.array(self.encoding.encode_ordinary(text), self.kind).tobytes()
+        """Ids of a word with the blank before it. Words of the last two generations of the memory are known."""
+        got = self.before.get(text)
+        if got is None:
+            letters = text[1:] if text[0] == " " else text
+            if letters.isalpha():
+                got = array(self.code, self.encoding._encode_single_piece(text)).tobytes()
+            elif letters[-1] in MARKS and letters[:-1].isalpha():
+                got = (self.memory.get(text[:-1]) or self.word(text[:-1])) + (self.memory.get(text[-1]) or self.word(text[-1]))
+            else:
+                got = array(self.code, self.encoding.encode_ordinary(text)).tobytes()
         if len(text) <= 40:
             if len(self.memory) >= REMEMBERED:
-                self.memory.clear()
+                self.before, self.memory = self.memory, {}
             self.memory[text] = got
         return got
 
@@ -55,7 +79,7 @@ class Tokens:
         """Ids of the text and the end token; null and empty texts give nothing."""
         if not text:
             return b""
-        first, *rest = SAFE_CUT.split(text) if ODD.search(text) else text.split(" ")
+        first, *rest = text.split(" ") if plain_blanks(text) else SAFE_CUT.split(text)
         known, word = self.memory.get, self.word
         return b"".join([known(first) or word(first), *[known(x) or word(x) for x in map(" ".__add__, rest)],
                          self.end.to_bytes(self.kind.itemsize, "little")])
