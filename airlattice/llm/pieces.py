@@ -31,7 +31,7 @@ NEVER = -1e300
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 #: Characters of a chunk of a giant document; documents up to that length are one chunk.
 CHUNK = 1 << 16
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -109,6 +109,7 @@ class Pieces:
                 self.plain[n] = chr(b)
         self.is_special = np.array([k == CONTROL or k == BYTE and len(x) > 1 for k, x in zip(self.kinds, self.plain)], bool)
         self.memory: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def walk(self, text: str, ahead: list[float]) -> tuple[list[float], list[int], list[int]]:
         """Scores, last starts and last pieces by position; ``ahead`` are the scores of the first positions.
@@ -151,7 +152,11 @@ class Pieces:
         return out
 
     def word(self, text: str) -> bytes:
-        """Ids of a word, as 32-bit integers; remembered up to a bound."""
+        """Ids of a word, as 32-bit integers. Words of the last two generations of the memory are known."""
+        got = self.before.get(text)
+        if got is not None:
+            self.keep(text, got)
+            return got
         parts = self.cut(text)
         if len(parts) == 1:
             return self.run(text)
@@ -178,7 +183,7 @@ class Pieces:
     def keep(self, text: str, ids: bytes) -> None:
         if len(text) <= 40:
             if len(self.memory) >= REMEMBERED:
-                self.memory.clear()
+                self.before, self.memory = self.memory, {}
             self.memory[text] = ids
 
     def encode(self, text: str) -> bytes:
