@@ -145,11 +145,6 @@ def load_run(spark, folder):
     sky = (eventlog.fact_weather(spark, folder)
            .join(eventlog.dim_city(spark, folder).select("city_id", F.col("city_name").alias("city")), "city_id"))
     hour = F.array(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm"))
-    rows = obs.join(cities, "location_id")
-    if sentinel:
-        late = (F.max("timestamp") + F.expr("INTERVAL 3 DAYS")).alias("timestamp")
-        rows = rows.unionByName(rows.groupBy().agg(late, F.min("city").alias("city"), F.lit("pm25").alias("parameter")),
-                                allowMissingColumns=True)
     line = F.to_json(F.struct(F.struct(hour.alias("time"), *[
         F.array(name).alias(field) for field, name in C.WEATHER_MAPPING.items()]).alias("hourly")))
     sky.select("city", line.alias("value")).write.partitionBy("city").text(f"{root}/weather")
