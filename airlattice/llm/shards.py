@@ -28,7 +28,7 @@ from airlattice.llm.common import col, new_folder, row_type, stored
 
 #: The published pre-tokenisation pattern of the 50k byte-level vocabulary. Fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-LENGTH, SHARD_SLOTS, ROUNDS, REMEMBERED = 1024, 8192, 8, 300_000
+LENGTH, SHARD_SLOTS, ROUNDS, REMEMBERED = 1024, 8192, 8, 500_000
 #: A blank between two characters that are no white space: the pattern always starts a token there.
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
@@ -79,10 +79,15 @@ class Tokens:
         """Ids of the text and the end token; null and empty texts give nothing."""
         if not text:
             return b""
-        first, *rest = text.split(" ") if plain_blanks(text) else SAFE_CUT.split(text)
+        if plain_blanks(text) and "\0" not in text:
+            parts = text.replace(" ", "\0 ").split("\0")
+        else:
+            first, *rest = SAFE_CUT.split(text)
+            parts = [first, *map(" ".__add__, rest)]
         known, word = self.memory.get, self.word
-        return b"".join([known(first) or word(first), *[known(x) or word(x) for x in map(" ".__add__, rest)],
-                         self.end.to_bytes(self.kind.itemsize, "little")])
+        ids = [known(x) or word(x) for x in parts]
+        ids.append(self.end.to_bytes(self.kind.itemsize, "little"))
+        return b"".join(ids)
 
 
 @lru_cache(maxsize=2)
