@@ -195,7 +195,10 @@ class Pieces:
             return b""
         if not self.word_wise:
             return self.word(" " + text)
-        parts, run, word, known = [], "", self.word, self.memory.get
+        word, known = self.word, self.memory.get
+        if "  " not in text and "\0" not in text and text[0] != " " and text[-1] != " ":
+            return b"".join([known(x) or word(x) for x in ("\0 " + text.replace(" ", "\0 ")).split("\0")[1:]])
+        parts, run = [], ""
         for x in text.split(" "):
             run += " "
             if x:
