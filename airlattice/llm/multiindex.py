@@ -28,7 +28,7 @@ from airlattice.llm.common import col, row_type, stored
 BLOCK = 8192
 #: Share of the vectors that a query's cells hold. Vectors of 64 almost independent components need so much for a
 #: recall over 0.9; clustered ones need far less.
-SHARE = 0.45
+SHARE = 0.5
 #: Queries that are scored against a block at once.
 QUERIES = 256
 
