@@ -27,8 +27,6 @@ SIMILARITY = 0.8
 ROWS, BANDS = 4, 24
 #: Classes, and n-grams, of a block on average.
 BLOCK_CLASSES, BLOCK_GRAMS = 512, 400_000
-REMEMBERED = 300_000
-_memory: dict[bytes, int] = {}
 _odd = np.random.default_rng(20240501).integers(0, 2**63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -45,15 +43,7 @@ def grams(text: str | None, n: int = N) -> np.ndarray:
     w = words(text)
     if not w:
         return np.zeros(0, np.uint64)
-    if len(_memory) > REMEMBERED:
-        _memory.clear()
-    get, ids = _memory.get, []
-    for x in w:
-        h = get(x)
-        if h is None:
-            h = _memory[x] = xxhash.xxh3_64_intdigest(x)
-        ids.append(h)
-    a = np.array(ids, np.uint64)
+    a = np.fromiter(map(xxhash.xxh3_64_intdigest, w), np.uint64, len(w))
     m = min(n, len(a))
     s = np.full(len(a) - m + 1, m, np.uint64)
     for k in range(m):
