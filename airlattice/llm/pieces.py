@@ -31,7 +31,7 @@ NEVER = -1e300
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 #: Characters of a chunk of a giant document; documents up to that length are one chunk.
 CHUNK = 1 << 16
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
