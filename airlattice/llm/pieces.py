@@ -344,15 +344,28 @@ def backtrace(p: Pieces, text: str, ahead: str, scores: np.ndarray, leave: int)
 
 
 def _encoder(path: str):
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Ids, and whether they decode to the text again: both in one worker, so the ids need no second way to Python."""
+    @F.pandas_udf(T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("same", T.BooleanType())]))
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         p = vocabulary(path)
         for texts in batches:
-            yield pd.Series([None if t is None else np.frombuffer(p.encode(t), np.int32) for t in texts], dtype=object)
+            ids = [None if t is None else np.frombuffer(p.encode(t), np.int32) for t in texts]
+            same = [t is None or p.decode(x) == t for t, x in zip(texts, ids)]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "same": same})
 
     return encode
 
 
+def _decoder(path: str):
+    @F.pandas_udf(T.StringType())
+    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        p = vocabulary(path)
+        for rows in batches:
+            yield pd.Series([None if r is None else p.decode(np.asarray(r)) for r in rows], dtype=object)
+
+    return decode
+
+
 def _chunk_tools(path: str):
     @F.pandas_udf(T.BinaryType())
     def matrix(texts: pd.Series, aheads: pd.Series) -> pd.Series:
@@ -383,17 +396,20 @@ def _chunk_tools(path: str):
     return matrix, scores, back, leave, trace
 
 
-def encode_pieces(docs: DataFrame, model: str, text: str = "text", out: str = "ids", chunk: int = CHUNK) -> DataFrame:
-    """The frame with one more column, the ids of each whole text; ``model`` is a path every executor can open.
+def encode_pieces(docs: DataFrame, model: str, text: str = "text", out: str = "ids", chunk: int = CHUNK,
+                  same: str = "same") -> DataFrame:
+    """The frame with two more columns, the ids of each whole text and whether they decode to it (true for null);
+    ``model`` is a path every executor can open.
 
     Null text gives null, empty text an empty array. Texts over ``chunk`` characters (at least the longest piece) are
     encoded chunk by chunk on many tasks, with equal ids; of them only a small matrix and a small map per chunk are
     gathered for each document. Repeated rows are encoded each on its own; an empty table gives an empty table;
-    ``out`` gets a number where the frame has such a column.
+    ``out`` and ``same`` get a number where the frame has such a column.
     """
-    name, = fresh(docs, out)
+    name, same, made = fresh(docs, out, same, "encoded_struct")
     giant_length = F.coalesce(F.char_length(col(text)) > chunk, F.lit(False))
-    small = docs.where(~giant_length).withColumn(name, _encoder(model)(col(text)))
+    small = docs.where(~giant_length).withColumn(made, _encoder(model)(col(text)))
+    small = small.select(*[col(c) for c in docs.columns], F.col(f"{made}.ids").alias(name), F.col(f"{made}.same").alias(same))
     giant = docs.where(giant_length)
     if giant.isEmpty():
         return small
@@ -419,15 +435,10 @@ def encode_pieces(docs: DataFrame, model: str, text: str = "text", out: str = "i
         .groupBy("k").agg(F.sort_array(F.collect_list(F.struct("c", "i"))).alias("all")) \
         .select("k", F.flatten("all.i").alias(name))
     joined = giant.join(ids, F.col(key) == F.col("k"))
-    return small.unionByName(joined.select(*[col(c) for c in docs.columns], name))
+    decoded = _decoder(model)(F.col(name))
+    return small.unionByName(joined.select(*[col(c) for c in docs.columns], name, (decoded == col(text)).alias(same)))
 
 
 def decode_pieces(encoded: DataFrame, model: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """The frame with one more column, the text of the ids; null ids give null."""
-    @F.pandas_udf(T.StringType())
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        p = vocabulary(model)
-        for rows in batches:
-            yield pd.Series([None if r is None else p.decode(np.asarray(r)) for r in rows], dtype=object)
-
-    return encoded.withColumn(fresh(encoded, out)[0], decode(col(ids)))
+    return encoded.withColumn(fresh(encoded, out)[0], _decoder(model)(col(ids)))

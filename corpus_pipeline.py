@@ -48,9 +48,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and whether they decode to its text."""
     ship_package(spark)
-    both = pieces.decode_pieces(pieces.encode_pieces(docs.select("doc_id", "source", "text"), PIECES), PIECES)
-    return both.select("doc_id", "source", F.size("ids").cast("long").alias("n_pieces"), "ids",
-                       F.col("decoded").eqNullSafe(F.col("text")).alias("same"))
+    both = pieces.encode_pieces(docs.select("doc_id", "source", "text"), PIECES)
+    return both.select("doc_id", "source", F.size("ids").cast("long").alias("n_pieces"), "ids", "same")
 
 
 STAGES = [

@@ -73,9 +73,9 @@ def test_frame(frame):
     pairs = [*enumerate(TEXTS), (100, None), (101, ""), (102, "long text " * 900), (3, TEXTS[3])]
     docs = frame(pairs, extra=["ids", "giant_row"])
     whole = P.encode_pieces(docs, PIECES)
-    assert whole.columns[-1] == "ids_1"
+    assert whole.columns[-2:] == ["ids_1", "same"]
     want = sorted((r.doc_id, list(r.ids_1)) for r in whole.collect() if r.ids_1 is not None)
     cut = P.decode_pieces(P.encode_pieces(docs, PIECES, chunk=200), PIECES, ids="ids_1").collect()
     assert sorted((r.doc_id, list(r.ids_1)) for r in cut if r.ids_1 is not None) == want
-    assert len(cut) == len(pairs) and all(r.decoded == r.text for r in cut)
+    assert len(cut) == len(pairs) and all(r.decoded == r.text and r.same for r in cut)
     assert P.encode_pieces(frame([]), PIECES).count() == 0
