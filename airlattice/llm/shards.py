@@ -45,6 +45,14 @@ def plain_blanks(text: str) -> bool:
     return not any(c in text and (c + " " in text or " " + c in text) for c in spaces if c != " ") and "  " not in text
 
 
+def cut_words(text: str) -> list[str]:
+    """Words with the blank before them, cut only where the pattern starts a token."""
+    if plain_blanks(text) and "\0" not in text:
+        return text.replace(" ", "\0 ").split("\0")
+    first, *rest = SAFE_CUT.split(text)
+    return [first, *map(" ".__add__, rest)]
+
+
 class Tokens:
     """Ids of texts as bytes of one integer type; words are remembered up to a bound."""
 
@@ -57,6 +65,8 @@ class Tokens:
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.memory: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
+        self.sizes: dict[str, int] = {}
+        self.sizes_before: dict[str, int] = {}
 
     def word(self, text: str) -> bytes:
         """Ids of a word with the blank before it. Words of the last two generations of the memory are known."""
@@ -64,7 +74,7 @@ class Tokens:
         if got is None:
             letters = text[1:] if text[0] == " " else text
             if letters.isalpha():
-                got = array(self.code, self.encoding._encode_single_piece(text)).tobytes()
+                got = array(self.code, self.encoding._core_bpe.encode_single_piece(text.encode())).tobytes()
             elif letters[-1] in MARKS and letters[:-1].isalpha():
                 got = (self.memory.get(text[:-1]) or self.word(text[:-1])) + (self.memory.get(text[-1]) or self.word(text[-1]))
             else:
@@ -79,16 +89,34 @@ class Tokens:
         """Ids of the text and the end token; null and empty texts give nothing."""
         if not text:
             return b""
-        if plain_blanks(text) and "\0" not in text:
-            parts = text.replace(" ", "\0 ").split("\0")
-        else:
-            first, *rest = SAFE_CUT.split(text)
-            parts = [first, *map(" ".__add__, rest)]
         known, word = self.memory.get, self.word
-        ids = [known(x) or word(x) for x in parts]
+        ids = [known(x) or word(x) for x in cut_words(text)]
         ids.append(self.end.to_bytes(self.kind.itemsize, "little"))
         return b"".join(ids)
 
+    def count(self, text: str | None) -> int:
+        """How many ids ``encode`` gives. Only the words' numbers of ids are remembered."""
+        if not text:
+            return 0
+        known, sizes = self.sizes.get, self.count_word
+        return sum([known(x) or sizes(x) for x in cut_words(text)]) + 1
+
+    def count_word(self, text: str) -> int:
+        n = self.sizes_before.get(text)
+        if n is None:
+            letters = text[1:] if text[0] == " " else text
+            if letters.isalpha():
+                n = len(self.encoding._core_bpe.encode_single_piece(text.encode()))
+            elif letters[-1] in MARKS and letters[:-1].isalpha():
+                n = (self.sizes.get(text[:-1]) or self.count_word(text[:-1])) + 1
+            else:
+                n = len(self.encoding.encode_ordinary(text))
+        if len(text) <= 40:
+            if len(self.sizes) >= REMEMBERED:
+                self.sizes_before, self.sizes = self.sizes, {}
+            self.sizes[text] = n
+        return n
+
 
 @lru_cache(maxsize=2)
 def tokens_of(path: str) -> Tokens:
@@ -122,9 +150,9 @@ def _count(path: str):
         tokens, n, part = tokens_of(path), 0, None
         for batch in batches:
             part = batch.column(0)[0].as_py() if batch.num_rows and part is None else part
-            n += sum(len(tokens.encode(t)) for t in batch.column(2).to_pylist())
+            n += sum(map(tokens.count, batch.column(2).to_pylist()))
         if part is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([n // tokens.kind.itemsize], pa.int64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([n], pa.int64())], schema=schema)
 
     return run
 
@@ -138,6 +166,7 @@ def _cut(path: str, first: dict[int, int], total: int, length: int, key: int, sh
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, packer = tokens_of(path), zstandard.ZstdCompressor(level=1)
+        tokens.sizes, tokens.sizes_before = {}, {}  # the counts are made; the ids need the memory
         size, number = tokens.kind.itemsize, None
         stride, tail, docs = length * size, b"", []
 

@@ -20,8 +20,8 @@ def test_tokens_equal_the_library():
     t = S.tokens_of(BYTE_PAIRS)
     for text in ["a b  c", " lead", "trail ", "two\n\nlines  of\ttext", "It's 100% \n x", "日本 語 ü", "a \nb", " x   y"]:
         want = t.encoding.encode_ordinary(text) + [t.end]
-        assert np.frombuffer(t.encode(text), t.kind).tolist() == want
-    assert t.encode(None) == t.encode("") == b""
+        assert np.frombuffer(t.encode(text), t.kind).tolist() == want and t.count(text) == len(want)
+    assert t.encode(None) == t.encode("") == b"" and t.count(None) == t.count("") == 0
 
 
 def test_round_trip(frame, tmp_path):
