@@ -75,7 +75,7 @@ class Tokens:
             letters = text[1:] if text[0] == " " else text
             if letters.isalpha():
                 got = array(self.code, self.encoding._core_bpe.encode_single_piece(text.encode())).tobytes()
-            elif letters[-1] in MARKS and letters[:-1].isalpha():
+            elif letters and letters[-1] in MARKS and letters[:-1].isalpha():
                 got = (self.memory.get(text[:-1]) or self.word(text[:-1])) + (self.memory.get(text[-1]) or self.word(text[-1]))
             else:
                 got = array(self.code, self.encoding.encode_ordinary(text)).tobytes()
@@ -107,7 +107,7 @@ class Tokens:
             letters = text[1:] if text[0] == " " else text
             if letters.isalpha():
                 n = len(self.encoding._core_bpe.encode_single_piece(text.encode()))
-            elif letters[-1] in MARKS and letters[:-1].isalpha():
+            elif letters and letters[-1] in MARKS and letters[:-1].isalpha():
                 n = (self.sizes.get(text[:-1]) or self.count_word(text[:-1])) + 1
             else:
                 n = len(self.encoding.encode_ordinary(text))

@@ -55,3 +55,11 @@ def test_round_trip(frame, tmp_path):
 def test_empty(frame):
     assert S.write_shards(stored(frame([])), BYTE_PAIRS).count() == 0
     assert S.write_shards(stored(frame([(1, None), (2, "")])), BYTE_PAIRS).count() == 0
+
+
+def test_a_single_blank(frame):
+    t = S.Tokens(BYTE_PAIRS)
+    for text in [" ", "  ", "\t", ".", " ."]:
+        want = t.encoding.encode_ordinary(text) + [t.end]
+        assert np.frombuffer(t.encode(text), t.kind).tolist() == want and t.count(text) == len(want)
+    assert [r.n_tokens for r in S.write_shards(stored(frame([(1, " "), (2, ""), (3, None)])), BYTE_PAIRS).collect()] == [2]
