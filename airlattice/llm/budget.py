@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from airlattice.llm.common import WORD, col, fresh, stored
+from airlattice.llm.common import WORD, col, fresh, stored, whole_row_key
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_TIMES = 3
@@ -128,15 +128,17 @@ def plan_mix(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> tuple[Da
 
 def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
                 weights: tuple[float, ...] = WEIGHTS, seed: int = 42) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, times (0 to 3), taken (size * times).
+    """One row per document: doc_id, source, size, source_size, target, times (0 to 3), taken (size * times), and row,
+    the key of all its columns by which ``apply_mix`` finds it.
 
     Null text has size 0; documents of size 0 are taken ``base`` times like their source. Null is a source
-    of its own, last in order. Ties of the seeded hash fall to the smaller doc_id (null first); rows equal
-    in id and length are interchangeable. Reruns take the same documents.
+    of its own, last in order. Ties of the seeded hash fall to the smaller doc_id (null first), then to the smaller
+    key. Without a doc_id the key is hashed in its place. Reruns take the same documents.
     """
     sized = stored(docs.select(
-        col(doc_id).alias("doc_id"), col(source).cast("string").alias("source"), n_words(col(text)).alias("size"))
-        .withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "size")), "sized")
+        col(doc_id).alias("doc_id"), col(source).cast("string").alias("source"), n_words(col(text)).alias("size"),
+        whole_row_key(docs).alias("row"))
+        .withColumn("h", F.xxhash64(F.lit(seed), F.when(F.col("doc_id").isNull(), F.col("row")), "doc_id", "size")), "sized")
     sources, takes = plan_mix(sized, weights)
     takes = stored(takes, "takes")
     numbered = sized.join(sources, sized.source.eqNullSafe(sources.source)) \
@@ -152,22 +154,35 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
         .withColumn("room", F.coalesce("room", F.lit(0)))
     edge = F.col("room").between(1, F.col("n") - 1)
     # Only documents of such edge ranges are ranked: n / RANGES of a length.
-    place = F.row_number().over(Window.partitionBy(*keys, "r").orderBy("h", "doc_id"))
+    place = F.row_number().over(Window.partitionBy(*keys, "r").orderBy("h", "doc_id", "row"))
     plain, ranked = out.where(~F.coalesce(edge, F.lit(False))), out.where(edge)
     picked = plain.withColumn("more", F.when(F.col("room") >= F.col("n"), 1).otherwise(0)).unionByName(
         ranked.withColumn("more", F.when(place <= F.col("room"), 1).otherwise(0)))
     times = F.coalesce(F.col("base"), F.lit(0)) + F.col("more")
     return picked.select("doc_id", "source", "size", "source_size", "target", times.cast("int").alias("times"),
-                         (F.col("size") * times).cast("long").alias("taken"))
+                         (F.col("size") * times).cast("long").alias("taken"), "row")
 
 
-def apply_mix(docs: DataFrame, mix: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+def apply_mix(docs: DataFrame, mix: DataFrame) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with the columns they have.
 
-    ``mix`` is joined by doc_id, null-safe; rows that share an id share the mean of their takes, rounded up.
+    ``mix`` is that of the same rows, joined by the key of all their columns. Rows equal throughout are taken as often
+    as their takes add up to: each the same number of times, what is left over from one of them.
     """
-    name, mix_id, times = fresh(docs, "copy", "mix_id", "mix_times")
-    per_id = mix.groupBy(F.col("doc_id").alias(mix_id)).agg(F.ceil(F.avg("times")).cast("int").alias(times))
-    return docs.join(per_id.where(F.col(times) > 0), col(doc_id).eqNullSafe(F.col(mix_id))) \
-        .withColumn(name, F.explode(F.array_repeat(F.lit(1), F.col(times)))) \
-        .select(*[col(c) for c in docs.columns])
+    name, mix_key, times, over, key = fresh(docs, "copy", "mix_key", "mix_times", "mix_over", "row_key")
+    n, whole = F.count("*"), F.sum("times")
+    per_row = stored(mix.groupBy(F.col("row").alias(mix_key)).agg(
+        F.floor(whole / n).cast("int").alias(times), (whole % n).cast("int").alias(over)), "row-takes")
+
+    def taken(rows: DataFrame, number: str) -> DataFrame:
+        return rows.join(per_row.where(F.col(number) > 0), F.col(key) == F.col(mix_key)) \
+            .withColumn(name, F.explode(F.array_repeat(F.lit(1), F.col(number)))) \
+            .select(*[col(c) for c in docs.columns])
+
+    keyed = docs.withColumn(key, whole_row_key(docs))
+    out = taken(keyed, times)
+    left = per_row.where(F.col(over) > 0)
+    if left.isEmpty():
+        return out
+    one = keyed.join(left.select(mix_key), F.col(key) == F.col(mix_key), "left_semi").dropDuplicates([key])
+    return out.unionByName(taken(one, over))

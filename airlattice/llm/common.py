@@ -99,6 +99,20 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def row_key(columns: dict[str, Column], kinds: dict[str, str]) -> Column:
+    """128 bits of a row's values, nulls in their places included; ``kinds`` are the types as in ``dtypes``."""
+    parts = []
+    for name, c in columns.items():
+        nested = kinds[name].startswith(("array", "map", "struct"))
+        parts += [c.isNull(), F.to_json(F.struct(c.alias("c")), {"ignoreNullFields": "false"}) if nested else c]
+    return F.struct(F.xxhash64(F.lit(1), *parts).alias("a"), F.xxhash64(F.lit(2), *parts).alias("b"))
+
+
+def whole_row_key(df: DataFrame) -> Column:
+    """``row_key`` of all columns: only rows that are equal throughout share it."""
+    return row_key({c: col(c) for c in df.columns}, dict(df.dtypes))
+
+
 def words(text: str | None) -> list[bytes]:
     """Words as UTF-8 bytes: ``bytes.split`` divides at exactly the six blanks of WORD."""
     return text.encode("utf-8", "surrogatepass").split() if text else []

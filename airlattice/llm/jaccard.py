@@ -15,11 +15,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from airlattice.llm.common import col, fresh, row_type, stored, words
+from airlattice.llm.common import col, fresh, row_key, row_type, stored, whole_row_key, words
 
 N = 5
 SIMILARITY = 0.8
@@ -213,17 +212,22 @@ def connected(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("id"), F.col("b").alias("root"))
 
 
+def _id_and_text(doc_id: str, text: str) -> Column:
+    return row_key({"id": col(doc_id).cast("long"), "text": col(text)}, {"id": "bigint", "text": "string"})
+
+
 def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """One row per document: doc_id, class_id, n_links, text_class, n_grams.
+    """One row per document: doc_id, class_id, n_links, text_class, n_grams; for ``keep_one_each`` also row and root.
 
     ``class_id`` is the smallest doc_id of the connected group of texts at similarity ``least`` or more, ``text_class``
     the smallest doc_id with the same n-gram set. ``n_links`` counts the other rows at that similarity, copies
     included. Rows with one doc_id and equal sets are copies of each other like any two rows. Texts without a word
     (null, empty, blank) link to nothing: class_id and text_class are their doc_id. A null doc_id counts as the
-    smallest and gives null classes. An empty table gives no rows.
+    smallest and gives null classes. An empty table gives no rows. ``row`` is a key of doc_id and text; ``root`` is a
+    number of the group, null without a word. Groups that share their smallest doc_id differ in it.
     """
-    signed = stored(docs.select(col(doc_id).cast("long").alias("doc_id"), sign(col(text)).alias("s"))
-                    .select("doc_id", "s.key", "s.n", "s.bands"), "signed")
+    signed = stored(docs.select(col(doc_id).cast("long").alias("doc_id"), _id_and_text(doc_id, text).alias("row"), sign(col(text)).alias("s"))
+                    .select("doc_id", "row", "s.key", "s.n", "s.bands"), "signed")
     lowest = F.lit(-(2**63)).cast("long")
     of = F.coalesce("doc_id", lowest)
     classes = signed.where("n > 0").groupBy("key").agg(F.min(of).alias("first"), F.count("*").alias("weight"))
@@ -278,19 +282,23 @@ def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     return out.select(
         "doc_id", F.when(lone, F.col("doc_id")).otherwise(shown("class_first")).alias("class_id"),
         F.coalesce(F.col("links") + F.col("weight") - 1, F.lit(0)).alias("n_links"),
-        F.when(lone, F.col("doc_id")).otherwise(shown("first")).alias("text_class"), F.col("n").alias("n_grams"))
+        F.when(lone, F.col("doc_id")).otherwise(shown("first")).alias("text_class"), F.col("n").alias("n_grams"),
+        "row", "root")
 
 
 def keep_one_each(docs: DataFrame, joined: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents whose doc_id is the class_id of their group, with the columns they have.
+    """One row of each group, with the columns it has: one with the group's smallest doc_id, null counting as the smallest.
 
-    Of rows with one doc_id that is kept one remains, the one with the largest text; rows without a word stay all.
+    Of several such rows the one with the most n-grams stays, then the one of the smallest key. Groups are told apart
+    by their texts, so rows that share a doc_id, or have none, all stay if no other is like them. Rows without a word
+    stay all. Copies of a row meet pre-aggregated.
     """
-    key, place, kept_id = fresh(docs, "row_key", "row_place", "kept_id")
+    key, kept_key, whole = fresh(docs, "row_key", "kept_key", "whole_row")
     lowest = F.lit(-(2**63)).cast("long")
-    kept = joined.where("n_grams > 0 AND doc_id <=> class_id").select(F.coalesce("doc_id", lowest).alias(kept_id)).distinct()
+    best = F.min(F.struct(F.coalesce("doc_id", lowest).alias("id"), (-F.col("n_grams")).alias("n"), "row"))
+    kept = joined.where("n_grams > 0").groupBy("root").agg(best.alias("best")).select(F.col("best.row").alias(kept_key))
     has_word = F.coalesce(col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    worded = docs.where(has_word).withColumn(key, F.coalesce(col(doc_id).cast("long"), lowest))
-    worded = worded.join(kept, F.col(key) == F.col(kept_id), "left_semi")
-    worded = worded.withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy(col(text).desc())))
-    return worded.where(F.col(place) == 1).drop(key, place).unionByName(docs.where(~has_word))
+    one = docs.where(has_word).groupBy(_id_and_text(doc_id, text).alias(key)) \
+        .agg(F.min_by(F.struct(*[col(c) for c in docs.columns]), whole_row_key(docs)).alias(whole))
+    one = one.join(kept, F.col(key) == F.col(kept_key), "left_semi").select(f"{whole}.*")
+    return one.unionByName(docs.where(~has_word))

@@ -34,7 +34,7 @@ def op1_main_text(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard.join_similar(table(spark, folder, "documents"))
+    return jaccard.join_similar(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links", "text_class", "n_grams")
 
 
 @query

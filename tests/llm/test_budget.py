@@ -79,6 +79,22 @@ def test_apply(frame):
     assert {k: t for k, t in times.items() if t} == dict(got)
 
 
+def test_apply_takes_rows_not_ids(shipped):
+    rng = random.Random(4)
+    rows = [(rng.choice([None, None, 1, 2]), " ".join(f"w{rng.randint(0, 99)}" for _ in range(rng.randint(0, 9))), rng.choice(["a", "b", "c", None]), k % 2) for k in range(300)]
+    rows += [(None, "one row often", "a", 0)] * 41 + [(None, "a", None, 0), (None, None, "a", 0)]
+    docs = shipped.createDataFrame(rows, "doc_id LONG, text STRING, source STRING, row INT").repartition(3)
+    mix = B.mix_sources(docs)
+    out = B.apply_mix(docs, mix)
+    assert out.columns == docs.columns
+    want, got = defaultdict(int), defaultdict(int)
+    for r in mix.collect():
+        want[r.doc_id, r.source, r.size] += r.times
+    for r in out.collect():
+        got[r.doc_id, r.source, len((r.text or "").split())] += 1
+    assert {k: t for k, t in want.items() if t} == dict(got)
+
+
 def test_empty(frame):
     assert B.mix_sources(frame([])).count() == 0
     assert [(r.times, r.target) for r in B.mix_sources(frame([(1, None)])).collect()] == [(0, 0.0)]

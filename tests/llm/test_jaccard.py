@@ -83,6 +83,17 @@ def test_one_of_each_group_stays(frame):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(groups)
 
 
+def test_rows_with_null_or_repeated_ids_stay_apart(frame):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "zbcd")
+    near = b + " more"
+    pairs = [(None, a), (None, c), (None, c), (7, d), (7, near), (3, b), (7, b), (None, ""), (None, None), (8, c + " end"), (5, "x y"), (5, "y x"), (5, "x y")]
+    docs = frame(pairs, extra=["root", "row"])
+    kept = J.keep_one_each(docs, J.join_similar(docs))
+    assert kept.columns == docs.columns
+    want = [(None, a), (None, c), (7, d), (3, b), (None, ""), (None, None), (5, "x y"), (5, "y x")]
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(want)
+
+
 def test_band_recall():
     assert 1 - (1 - 0.8**J.ROWS) ** J.BANDS > 0.99999
 
