@@ -35,6 +35,14 @@ CHROME_WORDS = frozenset(("ad ads advert adverts advertisement advertising banne
                           "navbar navigation newsletter notice notices notification pagination popup promo promotion related "
                           "reply replies respond share sharing sidebar signup social sponsor sponsored subscribe tags toolbar "
                           "widget").split())
+#: Words beside them that leave their meaning; any other word makes it doubtful. Words that negate what follows. Fixed values.
+BESIDE = frozenset(("area bar block bottom box btn button buttons container global icons inner item items left links list "
+                    "outer right secondary section site top wrap wrapper").split())
+NEGATES = frozenset("has no not with without".split())
+#: Elements whose own class and id say nothing about their text.
+UNNAMED = HEADING | {"html", "body", "main", "article"}
+#: Cost of calling content what a class or id names as chrome: clearly, and beside other words. Content evidence and ties outweigh both.
+NAMED, DOUBTFUL = 6.0, 0.5
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)[^>]*(?:>|\Z)", re.S)
 MARKS = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 WORDS_IN = re.compile(r"[A-Za-z]+")
@@ -46,11 +54,11 @@ NEAR, KIN = 0.6, 1.6
 
 
 class Block:
-    __slots__ = ("box", "chrome", "heading", "inside", "linked", "parts")
+    __slots__ = ("box", "chrome", "heading", "inside", "linked", "mark", "named", "parts")
 
-    def __init__(self, box: int, chrome: bool, inside: bool, heading: bool):
+    def __init__(self, box: int, chrome: bool, inside: bool, heading: bool, mark: int = 0):
         self.parts: list[str] = []
-        self.linked = 0
+        self.linked, self.mark, self.named = 0, mark, 0.0
         self.box, self.chrome, self.inside, self.heading = box, chrome, inside, heading
 
 
@@ -69,15 +77,77 @@ def _is_chrome(name: str, attrs: str, inside: bool) -> bool:
         elif key == "aria-hidden":
             if value.lower() == "true":
                 return True
-        elif any(w.lower() in CHROME_WORDS for w in WORDS_IN.findall(CAMEL.sub(" ", value))):
-            return True
     return False
 
 
+def _named(attrs: str, inside: bool) -> float:
+    """How much class and id speak for chrome. A header inside an article is that of the article."""
+    most = 0.0
+    for key, value in MARKS.findall(attrs) if "=" in attrs else ():
+        if key.lower() not in ("class", "id"):
+            continue
+        for token in value.strip("\"'").split():
+            parts = [w.lower() for w in WORDS_IN.findall(CAMEL.sub(" ", token))]
+            parts = parts[:next((k for k, w in enumerate(parts) if w in NEGATES), len(parts))]
+            if any(w in CHROME_WORDS and not (inside and w == "header") for w in parts):
+                most = max(most, NAMED if all(w in CHROME_WORDS or w in BESIDE for w in parts) else DOUBTFUL)
+    return most
+
+
+class Mark:
+    """An element whose class or id speaks for chrome, in the marked element ``up``. holds: 1 an article, 2 main."""
+
+    __slots__ = ("cost", "holds", "up", "words")
+
+    def __init__(self, up: int, cost: float):
+        self.up, self.cost, self.holds, self.words = up, cost, 0, 0.0
+
+
+def _settle(blocks: list[Block], marks: list[Mark]) -> None:
+    """Gives each block the highest cost of its marks, without those of elements that hold what the page is about.
+
+    Those hold main, or over half of the unlinked words (of articles, where there are some), or an article on a page
+    whose articles are all marked.
+    """
+    if len(marks) == 1:
+        return
+    for base in ([b for b in blocks if b.inside and not b.chrome], [b for b in blocks if not b.chrome]):
+        whole = 0.0
+        for b in base:
+            text = "".join(b.parts)
+            n = len(text.split()) * (1 - min(1.0, b.linked / max(1, len(text))))
+            marks[b.mark].words += n
+            whole += n
+        if whole:
+            break
+    for m in reversed(marks[1:]):
+        marks[m.up].words += m.words
+        marks[m.up].holds = max(marks[m.up].holds, m.holds)
+
+    def spread() -> list[float]:
+        most = [0.0] * len(marks)
+        for k, m in enumerate(marks[1:], 1):
+            most[k] = max(most[m.up], m.cost)
+        return most
+
+    for m in marks:
+        if m.holds == 2 or m.words > whole / 2:
+            m.cost = 0.0
+    most = spread()
+    if not any(b.inside and not b.chrome and most[b.mark] < NAMED for b in blocks):
+        for m in marks:
+            if m.holds:
+                m.cost = 0.0
+        most = spread()
+    for b in blocks:
+        b.named = most[b.mark]
+
+
 def blocks_of(page: str) -> list[Block]:
-    """Text blocks in page order. Open elements are a stack of (name, box, chrome, inside article, hidden)."""
+    """Text blocks in page order. Open elements are a stack of (name, box, chrome, inside article, hidden, mark)."""
     out: list[Block] = []
-    stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
+    stack: list[tuple[str, int, bool, bool, bool, int]] = [("", 0, False, False, False, 0)]
+    marks = [Mark(0, 0.0)]
     now: Block | None = None
     links, boxes, at, n = 0, 0, 0, len(page)
 
@@ -90,8 +160,8 @@ def blocks_of(page: str) -> list[Block]:
         if now is None:
             if chunk.isspace():
                 return
-            name, box, chrome, inside, _ = stack[-1]
-            now = Block(box, chrome, inside, any(s[0] in HEADING for s in stack[-2:]))
+            name, box, chrome, inside, _, mark = stack[-1]
+            now = Block(box, chrome, inside, any(s[0] in HEADING for s in stack[-2:]), mark)
             out.append(now)
         now.parts.append(chunk)
         if links:
@@ -135,14 +205,22 @@ def blocks_of(page: str) -> list[Block]:
                 stack.pop()
         elif name not in HIDDEN:
             continue
-        _, box, chrome, inside, hidden = stack[-1]
+        _, box, chrome, inside, hidden, mark = stack[-1]
         attrs = m[3] or ""
-        inside = inside or name in ("article", "main")
+        cost = _named(attrs, inside or name in ("article", "main")) if attrs else 0.0
+        opens = name == "main" or name == "article" and not (mark and cost >= NAMED)  # an article of class comment among comments is none
+        inside = inside or opens
         chrome = chrome or _is_chrome(name, attrs, inside)
+        if opens:
+            marks[mark].holds = max(marks[mark].holds, 1 + (name == "main"))
+        if cost and name not in UNNAMED:
+            marks.append(Mark(mark, cost))
+            mark = len(marks) - 1
         if name in BLOCK and name not in HEADING and name not in ("p", "li", "dt", "dd", "tr", "td", "th", "pre"):
             boxes += 1
             box = boxes
-        stack.append((name, box, chrome, inside, hidden or name in HIDDEN))
+        stack.append((name, box, chrome, inside, hidden or name in HIDDEN, mark))
+    _settle(out, marks)
     return out
 
 
@@ -158,8 +236,7 @@ def costs(block: Block, text: str) -> tuple[float, float]:
         good += 0.3
     if block.linked:
         bad += 4.0 * min(1.0, block.linked / max(1, len(text))) * (1.0 if n < 30 else 0.5)
-    if block.chrome:
-        bad += 12.0
+    bad += 12.0 if block.chrome else block.named
     if text[0] in "©" or "©" in text[:40] and n < 20:
         bad += 2.0
     return good, bad

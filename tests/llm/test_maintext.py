@@ -21,6 +21,28 @@ def test_article_only():
         "Third <x> paragraph has enough words to be kept as text."])
 
 
+def test_class_words_are_evidence():
+    one = "The first paragraph of this page says a number of things, and it says them at some length."
+    two = "The second paragraph goes on from there, with as many words and with no links at all in it."
+    both, body = f"{one}\n\n{two}", f"<p>{one}</p><p>{two}</p>"
+    for page in [f"<body class='has-sidebar'>{body}</body>", f"<body class='sidebar comments'>{body}</body>",
+                 f"<article class='post no-comments'>{body}</article>", f"<article id='comments'>{body}</article>",
+                 f"<div class='content with-sidebar'>{body}</div>", f"<div class='sidebar'><main>{body}</main></div>",
+                 f"<div class='widget'>{body}</div>", f"<div class='widget'><article>{body}</article></div>",
+                 f"<div class='form-group'><p>{one}</p></div><div class='social-policy'><p>{two}</p></div>",
+                 f"<div class='tags-politics'><p>{one}</p></div><div><p>{two}</p></div>"]:
+        assert M.main_text(page) == both, page
+    for name in ("entry-header", "header"):
+        assert M.main_text(f"<article><header class='{name}'><h1>A title</h1></header>{body}</article>") == f"A title\n\n{both}"
+    chrome = "<p>I am a reader and I write a long comment, with many words. It goes on and on and on and on.</p>" * 4
+    for name in ("comments", "comment-list", "sidebar", "related", "site-footer"):
+        assert M.main_text(f"<article>{body}</article><div class='{name}'>{chrome}</div>") == both, name
+        assert M.main_text(f"<div>{body * 3}</div><div class='{name}'>{chrome}</div>") == "\n\n".join([both] * 3), name
+    assert M.main_text(f"<article>{body}</article><div id='comments'><article class='comment'>{chrome}</article></div>") == both
+    assert M.main_text(f"<article>{body * 3}</article><div class='related'><article>{chrome}</article></div>") == "\n\n".join([both] * 3)
+    assert M.main_text(f"<article>{body}<div class='ad'>Buy this now, it is very cheap.</div></article>") == both
+
+
 def test_odd_pages():
     assert M.main_text(None) == M.main_text("") == M.main_text("<p> </p>") == M.main_text("<script>x") == ""
     long = " ".join(f"word{k}" for k in range(50_000))
