@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlattice.llm import budget, factorise, jaccard, linerules, maintext, multiindex, pieces, private, shards, spans
+from airlattice.llm import budget, factorise, jaccard, linedup, linerules, maintext, multiindex, pieces, private, shards, spans
 from airlattice.llm.common import ship_package, table
 
 #: Public vocabulary files; a path that every executor can open.
@@ -82,3 +82,28 @@ def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     return multiindex.nearest(table(spark, folder, "embeddings"))
+
+
+@query
+def op11_line_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = linedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "line_dedup.n_lines", "line_dedup.n_dropped", F.sha2(F.encode("line_dedup.text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+ORACLES["op11_line_runs"] = """
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+    FROM documents),
+keyed AS (
+    SELECT doc_id, line, pos, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines),
+firsts AS (
+    SELECT key, min(doc_id) AS first_id FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+judged AS (
+    SELECT k.doc_id, k.line, k.pos, coalesce(k.doc_id > f.first_id, false) AS dropped FROM keyed k LEFT JOIN firsts f ON k.key = f.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
