@@ -53,8 +53,10 @@ def hashed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     ``keep`` names further columns of a line's document.
     """
     bare = F.btrim("line", F.lit(BLANKS))
-    lines = docs.select(col(doc_id).cast("long").alias("id"), *_row(doc_id, text), *[c.alias(name) for name, c in keep.items()],
-                        F.posexplode(F.split(_text(text), "\n", -1)).alias("pos", "line"))
+    # The hashes of the text come before the lines, else they would be made anew for every line.
+    whole = docs.select(col(doc_id).cast("long").alias("id"), *_row(doc_id, text), *[c.alias(name) for name, c in keep.items()],
+                        F.split(_text(text), "\n", -1).alias("lines"))
+    lines = whole.select("id", "ra", "rb", *keep, F.posexplode("lines").alias("pos", "line"))
     key = line_key(bare)
     return lines.where(F.char_length(bare) >= least).select(
         "id", "ra", "rb", "pos", F.xxhash64(key).alias("a"), F.xxhash64(F.lit(3), key).alias("b"), *keep)
@@ -140,11 +142,10 @@ def batch_number(docs: DataFrame, doc_id: str, batches: int) -> Column:
 
 
 def without_lines(text: Column, dropped: Column) -> Column:
-    """The text without its lines at the ``dropped`` positions, which increase: what lies between them, joined again."""
+    """The text without its lines at the ``dropped`` positions, in time that grows with the lines of the text."""
     def kept(lines: Column) -> Column:
-        starts = F.concat(F.array(F.lit(0)), F.transform(dropped, lambda p: p + 1))
-        ends = F.concat(dropped, F.array(F.size(lines)))
-        return F.array_join(F.flatten(F.zip_with(starts, ends, lambda s, e: F.slice(lines, s + 1, e - s))), "\n")
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), dropped)
+        return F.array_join(F.transform(places, lambda p: lines[p]), "\n")
 
     return F.element_at(F.transform(F.array(F.split(text, "\n", -1)), kept), 1)
 
@@ -164,7 +165,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lea
     runs, drops = LineRuns(spark, fanout), new_folder(spark, "line-drops")
     for k in range(batches):
         gone = runs.add(stored.where(F.col("batch") == k).drop("batch"))
-        gone.groupBy("ra", "rb").agg(F.sort_array(F.collect_set("pos")).alias("gone")).write.mode("append").parquet(drops)
+        gone.groupBy("ra", "rb").agg(F.collect_set("pos").alias("gone")).write.mode("append").parquet(drops)
         runs.compact()
     runs.close()
     a, b, gone, out = fresh(docs, "ra", "rb", "gone", "line_dedup")
