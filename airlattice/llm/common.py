@@ -72,6 +72,14 @@ def stored(df: DataFrame, what: str = "stored") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files behind a frame that ``stored`` returned, once nothing reads it any more."""
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for file in df.inputFiles()[:1]:
+        folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

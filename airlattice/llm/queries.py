@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlattice.llm import budget, factorise, jaccard, linedup, linerules, maintext, multiindex, pieces, private, shards, spans
+from airlattice.llm import budget, factorise, jaccard, linedup, linerules, maintext, multiindex, pieces, prefixtrie, private, shards, spans
 from airlattice.llm.common import ship_package, table
 
 #: Public vocabulary files; a path that every executor can open.
@@ -107,3 +107,44 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
+
+
+@query
+def op13_prefix_tour(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixtrie.prefix_trie(table(spark, folder, "conversations"))
+
+
+ORACLES["op13_prefix_tour"] = """
+WITH turns AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(coalesce(role, '') || chr(10) || coalesce(text, ''))) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL),
+lengths AS (SELECT c, count(*) AS n FROM turns GROUP BY c),
+convs AS (
+    SELECT l.c, l.c - l.c % 5 AS base, coalesce(b.n, 0) AS n_base, xor(list_reduce(
+               list_prepend(4294967295, list_transform(string_split(CAST(l.c AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+               lambda r, b: list_reduce(list_prepend(xor(r, b), range(8)),
+                   lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295) % 9 AS h
+    FROM lengths l LEFT JOIN lengths b ON b.c = l.c - l.c % 5),
+rebuilt AS (
+    SELECT v.c, t.pos AS d, t.role, t.text FROM convs v JOIN turns t ON t.c = v.base WHERE t.pos <= v.h
+    UNION ALL
+    SELECT v.c, t.pos - v.h + least(v.h, v.n_base), t.role, t.text FROM convs v JOIN turns t ON t.c = v.c WHERE t.pos > v.h),
+paths AS (
+    SELECT c, d, strlen(text) AS bytes, list({'r': role, 't': text}) OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING) AS k FROM rebuilt
+    UNION ALL
+    SELECT c, 0, 0, CAST([] AS STRUCT(r VARCHAR, t VARCHAR)[]) FROM convs),
+ends AS (
+    SELECT k, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS digest
+    FROM (SELECT c, k FROM paths QUALIFY row_number() OVER (PARTITION BY c ORDER BY d DESC) = 1) GROUP BY k),
+nodes AS (SELECT k, d, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(bytes) AS saved FROM paths GROUP BY k, d),
+parents AS (SELECT n.k, p.k AS pk, p.conv_id AS parent FROM nodes n JOIN nodes p ON n.d = p.d + 1 AND n.k[1:n.d - 1] = p.k),
+children AS (SELECT pk AS k, count(*) AS n FROM parents GROUP BY pk),
+subtrees AS (
+    SELECT k[1:j] AS k, sum(saved) AS saved, sum(leaf) AS leaves
+    FROM (SELECT n.k, n.saved, CASE WHEN c.n IS NULL THEN 1 ELSE 0 END AS leaf, unnest(range(n.d + 1)) AS j FROM nodes n LEFT JOIN children c ON c.k = n.k)
+    GROUP BY 1)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.parent AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children,
+       CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, coalesce(e.digest, sha256('')) AS ends_sha256
+FROM nodes n LEFT JOIN parents p ON p.k = n.k LEFT JOIN children c ON c.k = n.k JOIN subtrees s ON s.k = n.k LEFT JOIN ends e ON e.k = n.k
+"""
