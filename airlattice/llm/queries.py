@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlattice.llm import budget, factorise, jaccard, linedup, linerules, maintext, multiindex, pieces, prefixtrie, private, shards, spans
+from airlattice.llm import budget, covertree, factorise, jaccard, linedup, linerules, maintext, multiindex, pieces, prefixtrie, private, shards, spans
 from airlattice.llm.common import ship_package, table
 
 #: Public vocabulary files; a path that every executor can open.
@@ -109,6 +109,33 @@ FROM judged GROUP BY doc_id
 """
 
 
+@query
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return covertree.mine_negatives(table(spark, folder, "embeddings"))
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH rows AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS alike, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+    SELECT anchor_id, other AS positive_id, score AS positive_score FROM scores WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+
 @query
 def op13_prefix_tour(spark: SparkSession, folder: str) -> DataFrame:
     return prefixtrie.prefix_trie(table(spark, folder, "conversations"))
