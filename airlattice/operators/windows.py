@@ -1,9 +1,9 @@
 """Row-history windows and ranks that stay parallel inside one long series.
 
-A plain window over (city, metric) sorts each series in one task. Here a series is
-cut into blocks of about ``block_rows`` rows, and the rows just before a block are
-handed to it as halo rows. Only the per-slice row counts (a slice is a calendar day
-by default) are ever put in order for a whole series.
+A plain window over (city, metric) sorts each series in one task. Here a series of more than ``block_rows`` rows is cut
+into blocks of about so many, and the rows just before a block are handed to it as halo rows. Where blocks and halos
+start comes from row counts per slice (a calendar day by default). Only those starts travel: one row for each long
+series, at most ``EDGES`` starts in all, broadcast. The rows themselves are shuffled once, to block and halo.
 """
 
 from __future__ import annotations
@@ -15,60 +15,78 @@ from airlattice.functions.times import col
 from airlattice.tables import lookup
 
 BLOCK_ROWS = 1 << 18
+#: Starts of blocks that all series may have together. Blocks grow beyond ``block_rows`` where there would be more.
+EDGES = 1 << 13
 
 
-def slice_offsets(df: DataFrame, keys: list[str], slice_by: str) -> DataFrame:
-    """Rows per (keys, slice) and how many rows of the series lie in earlier slices."""
-    counts = df.groupBy(*keys, slice_by).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = (Window.partitionBy(*keys).orderBy(slice_by)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    return counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+def block_edges(df: DataFrame, keys: list[str], history: int, block_rows: int, edges: int = EDGES) -> DataFrame:
+    """(keys, starts, halos, bases) for each series with more rows than a block, from the ``_slice`` column of ``df``.
 
-
-def position_in_series(df: DataFrame, keys: list[str], order: list, slice_by: Column,
-                       name: str = "position") -> DataFrame:
-    """Zero-based rank of each row within its series.
-
-    ``slice_by`` must never decrease along ``order``: the rank is the number of rows
-    in earlier slices plus the rank within the own slice.
+    Blocks after the first begin at the slices ``starts``, with ``bases`` rows of the series before them; the last
+    ``history`` rows before a block lie in the slices from ``halos`` on. There are at most ``edges`` starts in all.
     """
-    sliced = df.withColumn("_slice", slice_by)
-    offsets = slice_offsets(sliced, keys, "_slice").drop("_n")
-    inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    ranked = sliced.withColumn("_rank", F.row_number().over(inside) - 1)
-    return (lookup(ranked, offsets, [*keys, "_slice"])
-            .withColumn(name, F.col("_before") + F.col("_rank"))
-            .drop("_slice", "_before", "_rank"))
+    counts = df.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    most = F.greatest(F.lit(max(block_rows, history, 1)), F.ceil(counts.agg(F.sum("_n")).scalar() / edges))
+    series = Window.partitionBy(*keys)
+    forward = series.orderBy("_slice")
+    long = counts.withColumn("_most", most).withColumn("_total", F.sum("_n").over(series)).filter("_total > _most")
+    sized = (long.withColumn("_before", F.sum("_n").over(forward) - F.col("_n"))
+             .withColumn("_block", F.floor(F.col("_before") / F.col("_most")))
+             .withColumn("_previous", F.lag("_slice").over(forward)))
+    # The first slice with fewer than ``history`` rows before this one, and from it one slice back.
+    near = series.orderBy("_before").rangeBetween(-(max(history, 1) - 1), 0)
+    opened = (sized.withColumn("_halo", F.first(F.coalesce("_previous", "_slice")).over(near))
+              .withColumn("_opens", F.col("_block") > F.lag("_block").over(forward)).filter("_opens"))
+    starts = F.array_sort(F.collect_list(F.struct("_slice", "_halo", "_before")))
+    return (opened.groupBy(*keys).agg(starts.alias("_starts"))
+            .select(*keys, F.col("_starts._slice").alias("_starts"), F.col("_starts._halo").alias("_halos"),
+                    F.col("_starts._before").alias("_bases")))
+
+
+def _reached(ordered: Column, value: Column, edges: int) -> Column:
+    """How many entries of an ordered array are not above ``value``, by halving steps."""
+    steps = F.array(*[F.lit(1 << k) for k in range(edges.bit_length() - 1, -1, -1)])
+
+    def step(found: Column, width: Column) -> Column:
+        inside = (found + width <= F.size(ordered)) & (F.get(ordered, found + width - 1) <= value)
+        return F.when(inside, found + width).otherwise(found)
+
+    return F.aggregate(steps, F.lit(0), step)
+
+
+def in_blocks(df: DataFrame, keys: list[str], slice_by: Column, history: int, block_rows: int = BLOCK_ROWS,
+              edges: int = EDGES) -> DataFrame:
+    """Every row with its ``_block`` and the ``_base`` rows of the series before it, and again, as ``_halo``, in each later
+    block that looks back at it."""
+    # A struct is never null and orders a null inside it first, as windows do.
+    sliced = df.withColumn("_slice", F.struct(slice_by.alias("s")))
+    found = block_edges(sliced, keys, history, block_rows, edges)
+    if keys:
+        placed = lookup(sliced, F.broadcast(found), keys, "left")
+    else:
+        one = found.select(F.struct("_starts", "_halos", "_bases").alias("_edges")).scalar()
+        placed = (sliced.withColumn("_edges", one)
+                  .select(*sliced.columns, *[F.col("_edges").getField(c).alias(c) for c in ("_starts", "_halos", "_bases")]))
+    own = F.when(F.col("_starts").isNull(), 0).otherwise(_reached(F.col("_starts"), F.col("_slice"), edges))
+    last = F.when(F.col("_starts").isNull(), 0).otherwise(_reached(F.col("_halos"), F.col("_slice"), edges)) if history else F.col("_own")
+    base = F.when(F.col("_own") > 0, F.get("_bases", F.col("_own") - 1)).otherwise(0)
+    return (placed.withColumn("_own", own).withColumn("_base", base)
+            .withColumn("_block", F.explode(F.sequence("_own", F.greatest("_own", last))))
+            .withColumn("_halo", F.col("_block") > F.col("_own"))
+            .drop("_slice", "_starts", "_halos", "_bases", "_own"))
 
 
-def block_places(df: DataFrame, keys: list[str], history: int, block_rows: int) -> DataFrame:
-    """Which blocks each slice belongs to: its own, and later ones it is halo for.
+def position_in_series(df: DataFrame, keys: list[str], order: list, slice_by: Column,
+                       name: str = "position", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Zero-based rank of each row within its series.
 
-    A slice is halo for a block that starts fewer than ``history`` rows after the
-    slice ends. Blocks are numbered by the row count before them and hold at least
-    ``history`` rows, so only the next two blocks can qualify.
+    ``slice_by`` must never decrease along ``order``: the rank is the number of rows in earlier blocks of slices plus
+    the rank within the own block.
     """
-    block_rows = max(block_rows, history)
-    forward = Window.partitionBy(*keys).orderBy("_slice")
-    later = (Window.partitionBy(*keys).orderBy(F.desc("_slice"))
-             .rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.coalesce(F.col("_own") != F.col("_previous"), F.lit(True))
-    own_start = F.struct(F.col("_before").alias("start"), F.col("_own").alias("block"))
-    slices = (slice_offsets(df, keys, "_slice")
-              .withColumn("_own", F.floor(F.col("_before") / block_rows))
-              .withColumn("_end", F.col("_before") + F.col("_n"))
-              .withColumn("_previous", F.lag("_own").over(forward))
-              .withColumn("_next", F.min(F.when(opens, own_start)).over(later))
-              .withColumn("_ahead", F.min(F.when(opens, F.struct(
-                  own_start.alias("first"), F.col("_next").alias("second")))).over(later)))
-
-    def halo_of(place):
-        near = place["start"].between(F.col("_end"), F.col("_end") + history - 1)
-        return F.when(near, place["block"])
-
-    blocks = F.array_compact(F.array(F.col("_own"), halo_of(F.col("_ahead.first")), halo_of(F.col("_ahead.second"))))
-    return (slices.select(*keys, "_slice", "_own", F.explode(blocks).alias("_block"))
-            .select(*keys, "_slice", "_block", (F.col("_block") > F.col("_own")).alias("_halo")))
+    placed = in_blocks(df, keys, slice_by, 0, block_rows)
+    inside = Window.partitionBy(*keys, "_block").orderBy(*order)
+    return (placed.withColumn(name, F.col("_base") + F.row_number().over(inside) - 1)
+            .drop("_block", "_base", "_halo"))
 
 
 def with_history(df: DataFrame, keys: list[str], order: str, history: int, columns,
@@ -78,13 +96,11 @@ def with_history(df: DataFrame, keys: list[str], order: str, history: int, colum
     ``columns`` maps a name to a function of a window specification, which is ordered
     by ``order`` and partitioned so that at least ``history`` earlier rows are seen.
     """
-    sliced = df.withColumn("_slice", F.to_date(order) if slice_by is None else slice_by)
-    places = block_places(sliced, keys, history, block_rows)
-    placed = lookup(sliced, places, [*keys, "_slice"])
+    placed = in_blocks(df, keys, F.to_date(order) if slice_by is None else slice_by, history, block_rows)
     spec = Window.partitionBy(*keys, "_block").orderBy(order)
     return (placed.withColumns({name: make(spec) for name, make in columns.items()})
             .filter(~F.col("_halo"))
-            .drop("_slice", "_block", "_halo"))
+            .drop("_block", "_halo", "_base"))
 
 
 def lag_of(value, rows: int):

@@ -37,21 +37,66 @@ def test_blocks_equal_one_window(spark, seed, block):
     assert sorted(map(str, got.select(*columns).collect())) == sorted(map(str, want.select(*columns).collect()))
 
 
+def exchanges(plan):
+    """Shuffle exchanges of a physical plan, those inside query stages included, without broadcast subplans' own rows."""
+    found, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "ShuffleExchangeExec":
+            found.append(node)
+        inner = [node.plan()] if name.endswith("QueryStageExec") else [node.children().apply(i) for i in range(node.children().size())]
+        todo += inner
+    return found
+
+
+def plan_node_output(node):
+    return node.output().mkString(",")
+
+
 def test_one_hot_series_is_cut_into_blocks(spark):
     """A series with almost all rows ends up in many window partitions of bounded size."""
     df = spark.range(20_000).select(
         F.when(F.col("id") < 19_000, "hot").otherwise(F.col("id").cast("string")).alias("k"),
         (F.lit(START) + F.make_interval(mins=F.col("id").cast("int"))).alias("timestamp"), F.col("id").alias("v"))
-    sliced = df.withColumn("_slice", F.to_date("timestamp"))
-    places = W.block_places(sliced, ["k"], 24, 2_000)
-    sizes = (W.lookup(sliced, places, ["k", "_slice"]).filter("k = 'hot'")
-             .groupBy("_block").count().agg(F.count("*"), F.max("count")).first())
+    placed = W.in_blocks(df, ["k"], F.to_date("timestamp"), 24, 2_000)
+    sizes = placed.filter("k = 'hot'").groupBy("_block").count().agg(F.count("*"), F.max("count")).first()
     assert sizes[0] >= 9 and sizes[1] <= 2_000 + 2 * 1_440
-
-
-def test_history_longer_than_block_is_refused(spark):
-    with pytest.raises(ValueError):
-        W.with_history(series(spark, 1, {"a": 3}), ["k"], "timestamp", 10, {}, block_rows=5)
+    assert placed.filter("k <> 'hot'").agg(F.max("_block"), F.count("*")).first()[:] == (0, 1_000)
+
+
+def test_history_longer_than_block_makes_longer_blocks(spark):
+    df = series(spark, 1, {"a": 60, "b": 3})
+    plain = Window.partitionBy("k").orderBy("timestamp")
+    want = {(r.k, r.timestamp, r.back) for r in df.withColumn("back", F.lag("v", 10).over(plain)).collect()}
+    got = W.with_history(df, ["k"], "timestamp", 10, {"back": W.lag_of("v", 10)}, block_rows=5)
+    assert {(r.k, r.timestamp, r.back) for r in got.collect()} == want
+
+
+def test_number_of_edges_is_bounded(spark):
+    """Blocks grow so that all series together have no more starts than asked for."""
+    df = spark.range(40_000).select((F.col("id") % 4).alias("k"), (F.col("id") / 40).cast("int").alias("day"), "id")
+    sliced = df.withColumn("_slice", F.struct("day"))
+    edges = W.block_edges(sliced, ["k"], 3, 10, edges=64)
+    assert 32 <= edges.agg(F.sum(F.size("_starts"))).first()[0] <= 64
+    few = W.position_in_series(df, ["k"], ["id"], F.col("day"), block_rows=10)
+    assert few.filter(F.col("position") != F.floor(F.col("id") / 4)).count() == 0
+
+
+def test_rows_are_shuffled_once(spark, tmp_path):
+    """On stored rows, the one exchange that carries values is that of the window; counts and starts are all else."""
+    series(spark, 5, {"a": 4_000, "b": 50}).write.parquet(f"{tmp_path}/rows")
+    stored = spark.read.parquet(f"{tmp_path}/rows")
+    for frame in (W.with_history(stored, ["k"], "timestamp", 6, {"m": W.trailing_mean("v", 7)}, block_rows=500),
+                  W.position_in_series(stored, ["k"], ["timestamp", "v"], F.to_date("timestamp"), block_rows=500)):
+        frame.collect()
+        for final in (False, True):
+            plan = frame._jdf.queryExecution().executedPlan()
+            plan = plan.executedPlan() if final else plan.initialPlan()
+            names = plan.toString()
+            # What an exchange sends is listed in its output; the value column is in one only.
+            sent = [plan_node_output(x) for x in exchanges(plan)]
+            assert sum("v#" in s for s in sent) == 1, names
 
 
 def test_null_keys_and_times_are_kept(spark):
