@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from airlattice import constants as C
 from airlattice.functions.times import ago, hour_floor
 from airlattice.functions.values import cycle, finite, slug, wind_vector
+from airlattice.operators.boosting import fit_groups, predict_groups
 from airlattice.operators.joins import join_same_hour, star, with_metric
 from airlattice.operators.scope import between
 from airlattice.operators.windows import exact_medians, lag_of, position_in_series, trailing_mean, with_history
@@ -171,26 +172,53 @@ def train(features: DataFrame, by=CITY, mode: str = "hash", **params) -> tuple[P
     return model, regression_metrics(predict(model, parts), by=["part"])
 
 
-def train_cities(features: DataFrame, cities, min_rows: int = 1, root: str | None = None, **params) -> tuple[dict, dict]:
-    """(fitted, left out): one model per named city, and the reason for each city without one.
+# What the grouped trees call the settings of the pooled ones.
+GROUPED = {"maxIter": "trees", "maxDepth": "depth", "stepSize": "step", "minInstancesPerNode": "min_child"}
 
-    A city needs ``min_rows`` rows, by default any. With ``root`` every model is saved under
-    its ``model_path``. The list comes from the caller and each fit is distributed; for very
-    many cities use one ``train`` over all of them.
+
+def fit_by(rows: DataFrame, by, **params) -> DataFrame:
+    """One model per group of ``by``, all groups in the same jobs: a table with a row per group.
+
+    Settings have the names of ``train``; a node is split from ``minSplit`` rows on, by default 10.
+    """
+    chosen = {**C.BOOSTING, **params}
+    return fit_groups(rows, list(by), FEATURES, TARGET, min_split=chosen.get("minSplit", 10),
+                      **{ours: chosen[theirs] for theirs, ours in GROUPED.items()})
+
+
+def train_cities(features: DataFrame, cities=None, min_rows: int = 1, root: str | None = None,
+                 **params) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(models, metrics per city and part, left out with a reason): one model for each city, whatever their number.
+
+    A city needs ``min_rows`` rows, by default any. Without ``cities`` all are trained. With ``root`` the models are saved
+    in one table there, each with its ``model_path``.
     """
-    cities = list(cities)
-    counted = {r["city_name"]: r["n"] for r in
-               features.filter(F.col("city_name").isin(cities)).groupBy("city_name")
-               .agg(F.count(F.lit(1)).alias("n")).collect()}
-    fitted, left_out = {}, {}
-    for city in cities:
-        if (n := counted.get(city, 0)) < min_rows:
-            left_out[city] = f"{n} rows, {min_rows} needed"
-            continue
-        fitted[city] = train(features.filter(F.col("city_name") == city), **params)
-        if root is not None:
-            save_model(fitted[city][0], model_path(root, city))
-    return fitted, left_out
+    counted = features.groupBy(*CITY).agg(F.count(F.lit(1)).alias("n"))
+    if cities is not None:
+        names = features.sparkSession.createDataFrame([(c,) for c in cities], "city_name STRING").distinct()
+        counted = lookup(names, counted, CITY, "left")
+    sized = stored(counted.select(*CITY, F.coalesce("n", F.lit(0)).cast("long").alias("n")))
+    enough = sized.filter(F.col("n") >= min_rows).select(*CITY, F.lit(True).alias("_in"))
+    parts = stored(split(lookup(features, enough, CITY).drop("_in"), "hash"))
+    models = fit_by(parts.filter("part = 'train'"), CITY, **params)
+    if root is not None:
+        with_model_path(models, root).write.mode("overwrite").parquet(city_models_path(root))
+    metrics = regression_metrics(predict_groups(models, parts, CITY, FEATURES), by=[*CITY, "part"])
+    left_out = sized.filter(F.col("n") < min_rows).select(*CITY, F.concat("n", F.lit(f" rows, {min_rows} needed")).alias("reason"))
+    return models, metrics, left_out
+
+
+def city_models_path(root: str) -> str:
+    return f"{root.rstrip('/')}/{TARGET}_models"
+
+
+def load_city_models(spark, root: str) -> DataFrame:
+    return spark.read.parquet(city_models_path(root))
+
+
+def predict_cities(models: DataFrame, features: DataFrame) -> DataFrame:
+    """Predictions of every city's own model; null for a city without one."""
+    return predict_groups(models.select(*CITY, "base", "trees"), features, CITY, FEATURES)
 
 
 def model_path(root: str, city: str) -> str:
@@ -216,48 +244,51 @@ def model_features(model: PipelineModel) -> list[str]:
 
 
 def fold_rows(df: DataFrame, train_days: int = 30, test_days: int = 7, by=CITY,
-              last_fold: bool = False) -> DataFrame:
-    """Rows with ``fold`` and ``role`` of a rolling-origin backtest, by position in the series.
+              last_fold: bool = False, calendar: bool = False) -> DataFrame:
+    """Rows with ``fold`` and ``role`` of a rolling-origin backtest.
 
-    A fold trains on ``train_days * 24`` rows and tests on the next ``test_days * 24``;
-    folds start one test length apart. As first written a fold that ends exactly at the
-    last row is left out; ``last_fold`` keeps it.
+    By default by position in the series, as first written: a fold trains on ``train_days * 24`` rows and tests on the
+    next ``test_days * 24``. With ``calendar`` by days since the earliest day of any series, so that no row of a fold's
+    train part, of whatever series, is later than a test row. Folds start one test length apart. A fold that
+    ends exactly with the last row or day is left out; ``last_fold`` keeps it.
     """
     by = list(by)
-    train_rows, test_rows = train_days * 24, test_days * 24
-    placed = position_in_series(df, by, ["timestamp"], F.to_date("timestamp"), "_p")
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
-    room = F.col("_rows") - train_rows - test_rows
-    folds = F.greatest(F.floor(room / test_rows) + 1, F.lit(0)) if last_fold else F.ceil(room / test_rows)
-    first = F.greatest(F.floor((F.col("_p") - train_rows - test_rows) / test_rows) + 1, F.lit(0))
-    final = F.least(F.floor(F.col("_p") / test_rows), folds - 1)
-    return (lookup(placed, sizes, by)
-            .withColumn("_folds", F.when(first <= final, F.sequence(first, final)))
+    if calendar:
+        train, test = train_days, test_days
+        day = F.unix_date(F.to_date("timestamp"))
+        ends = df.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()
+        placed = (df.withColumn("_ends", ends).withColumns({"_p": day - F.col("_ends.lo"), "_size": F.col("_ends.hi") - F.col("_ends.lo") + 1})
+                  .drop("_ends"))
+    else:
+        train, test = train_days * 24, test_days * 24
+        placed = position_in_series(df, by, ["timestamp"], F.to_date("timestamp"), "_p")
+        placed = lookup(placed, df.groupBy(*by).agg(F.count(F.lit(1)).alias("_size")), by)
+    room = F.col("_size") - train - test
+    folds = F.greatest(F.floor(room / test) + 1, F.lit(0)) if last_fold else F.ceil(room / test)
+    first = F.greatest(F.floor((F.col("_p") - train - test) / test) + 1, F.lit(0))
+    final = F.least(F.floor(F.col("_p") / test), folds - 1)
+    return (placed.withColumn("_folds", F.when(first <= final, F.sequence(first, final)))
             .withColumn("fold", F.explode("_folds"))
-            .withColumn("role", F.when(F.col("_p") < F.col("fold") * test_rows + train_rows, "train")
-                        .otherwise("test"))
-            .drop("_p", "_rows", "_folds"))
+            .withColumn("role", F.when(F.col("_p") < F.col("fold") * test + train, "train").otherwise("test"))
+            .drop("_p", "_size", "_folds"))
 
 
 def backtest(features: DataFrame, train_days: int = 30, test_days: int = 7, by=CITY,
              model: str = "boosting", last_fold: bool = False, **params) -> DataFrame:
     """Test rows of all folds with their prediction, and the previous value as ``last_value``.
 
-    ``boosting`` fits one model per fold on the train rows of all series: as many fits as the
-    calendar has folds, however many series there are. ``persistence`` predicts the previous
-    value and runs as one plan.
+    ``boosting`` fits a model for each series and fold on that series' own rows, ``pooled`` one for each fold on
+    the rows of all series, with folds by calendar. Either fits all its models in the same jobs. ``persistence`` predicts
+    the previous value.
     """
-    rows = fold_rows(features, train_days, test_days, by, last_fold).withColumn("last_value", F.col(f"{TARGET}_lag_1h"))
+    pooled = model == "pooled"
+    rows = fold_rows(features, train_days, test_days, by, last_fold, calendar=pooled)
+    rows = rows.withColumn("last_value", F.col(f"{TARGET}_lag_1h"))
     if model == "persistence":
         return rows.filter("role = 'test'").withColumn("prediction", F.col("last_value"))
-    rows = stored(rows)
-    folds = rows.agg(F.max("fold")).first()[0]
-    out = rows.filter("role = 'test' AND fold < 0").withColumn("prediction", F.lit(None).cast("double"))
-    for fold in range(0 if folds is None else folds + 1):
-        part = rows.filter(F.col("fold") == fold)
-        fitted = fit(part.filter("role = 'train'"), **params)
-        out = out.unionByName(predict(fitted, part.filter("role = 'test'")).select(out.columns))
-    return out
+    rows, group = stored(rows), ["fold"] if pooled else [*by, "fold"]
+    models = fit_by(rows.filter("role = 'train'"), group, **params)
+    return predict_groups(models, rows.filter("role = 'test'"), group, FEATURES)
 
 
 def backtest_metrics(scored: DataFrame, by=CITY) -> tuple[DataFrame, DataFrame]:

@@ -144,16 +144,10 @@ SELECT city_name, part, COUNT(*) AS n, TRUE AS usable FROM (SELECT city_name, {P
 UNION ALL SELECT 'NOWHERE', 'left out', 0, FALSE""")
 def trained_cities(t):
     names = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST", "NOWHERE"]
-    fitted, left_out = M.train_cities(M.build_features(frame(t)), names, maxIter=2, maxDepth=2)
-    one = t.dim_city.filter("city_id = 0")
-    out = one.filter("city_id < 0").select("city_name", F.lit("").alias("part"), F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("usable"))
-    for city, (_, metrics) in fitted.items():
-        # Two small trees: an error under 100 where values reach 500.
-        out = out.unionByName(metrics.select(F.lit(city).alias("city_name"), "part", "n", (F.col("rmse") < 100).alias("usable")))
-    for city in left_out:
-        out = out.unionByName(one.select(F.lit(city).alias("city_name"), F.lit("left out").alias("part"),
-                                         F.lit(0).cast("bigint").alias("n"), F.lit(False).alias("usable")))
-    return out
+    _, metrics, left_out = M.train_cities(M.build_features(frame(t)), names, maxIter=2, maxDepth=2)
+    # Two small trees: an error under 100 where values reach 500.
+    out = metrics.select("city_name", "part", "n", (F.col("rmse") < 100).alias("usable"))
+    return out.unionByName(left_out.select("city_name", F.lit("left out").alias("part"), F.lit(0).cast("bigint").alias("n"), F.lit(False).alias("usable")))
 
 
 @on_warehouse("S17_M9_saved_model_predicts_alike", """
@@ -169,14 +163,34 @@ def saved(t):
                     F.max(F.lit(len(M.model_features(loaded)))).alias("features"))
 
 
+def judged(scored, by):
+    fitted = M.regression_metrics(scored, by=by)
+    naive = M.regression_metrics(scored, predicted="last_value", by=by).select(*by, F.col("rmse").alias("naive"))
+    return fitted.join(naive, by).select(*by, "n", (F.col("rmse") < F.col("naive")).alias("better_than_last_value"))
+
+
 @on_warehouse("M10_backtest_boosted_trees", f"""
-WITH {FOLDS.format(source='pm')} SELECT fold, COUNT(*) AS n, TRUE AS better_than_last_value
-FROM folded WHERE role = 'test' GROUP BY 1""")
+WITH {FOLDS.format(source='pm')} SELECT city_name, fold, COUNT(*) AS n, TRUE AS better_than_last_value
+FROM folded WHERE role = 'test' GROUP BY 1, 2""")
 def boosted_backtest(t):
-    scored = M.backtest(M.build_features(frame(t)), 7, 2, maxIter=2, maxDepth=2)
-    fitted = M.regression_metrics(scored, by=["fold"])
-    naive = M.regression_metrics(scored, predicted="last_value", by=["fold"]).select("fold", F.col("rmse").alias("naive"))
-    return fitted.join(naive, "fold").select("fold", "n", (F.col("rmse") < F.col("naive")).alias("better_than_last_value"))
+    return judged(M.backtest(M.build_features(frame(t)), 7, 2, maxIter=2, maxDepth=2), ["city_name", "fold"])
+
+
+# Folds by calendar: days since the earliest day of any series.
+CALENDAR = """
+placed AS (SELECT *, date_diff('day', MIN(CAST(timestamp AS DATE)) OVER (), CAST(timestamp AS DATE)) AS p,
+                  date_diff('day', MIN(CAST(timestamp AS DATE)) OVER (), MAX(CAST(timestamp AS DATE)) OVER ()) + 1 AS days FROM pm),
+folded AS (SELECT placed.*, fold, CASE WHEN p < fold * 2 + 7 THEN 'train' ELSE 'test' END AS role
+           FROM placed, generate_series(0, 60) g(fold) WHERE fold * 2 < days - 9 AND p >= fold * 2 AND p < fold * 2 + 9)"""
+
+on_warehouse("M10_calendar_folds", f"WITH {CALENDAR} SELECT city_name, timestamp, fold, role FROM folded")(
+    lambda t: M.fold_rows(frame(t), 7, 2, calendar=True).select("city_name", "timestamp", "fold", "role"))
+
+
+@on_warehouse("M10_backtest_pooled_by_calendar", f"""
+WITH {CALENDAR} SELECT fold, COUNT(*) AS n, TRUE AS better_than_last_value FROM folded WHERE role = 'test' GROUP BY 1""")
+def pooled_backtest(t):
+    return judged(M.backtest(M.build_features(frame(t)), 7, 2, model="pooled", maxIter=2, maxDepth=2), ["fold"])
 
 
 @on_warehouse("M13_compare", """

@@ -1,11 +1,13 @@
 """Features, metrics, folds and models on formula data."""
 
 import math
+import random
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from airlattice.operators import boosting as B
 from airlattice.plans import forecast as M
 
 START = datetime(2024, 1, 1)
@@ -80,12 +82,88 @@ def test_train_save_load(spark, features, tmp_path):
         M.predict(None, features)
 
 
-def test_short_cities_are_trained_or_reported(spark, features):
+def test_short_cities_are_trained_or_reported(spark, features, tmp_path):
     few = features.limit(50).withColumn("city_name", F.lit("few"))
     both = features.unionByName(few)
-    fitted, left_out = M.train_cities(both, ["x", "few", "none"], **SMALL)
-    assert set(fitted) == {"x", "few"} and left_out == {"none": "0 rows, 1 needed"}
-    assert M.train_cities(both, ["few"], min_rows=100, **SMALL) == ({}, {"few": "50 rows, 100 needed"})
+    models, metrics, left_out = M.train_cities(both, ["x", "few", "none"], root=str(tmp_path), **SMALL)
+    assert {r["city_name"] for r in models.collect()} == {"x", "few"}
+    assert {(r["city_name"], r["part"]) for r in metrics.collect()} == {(c, p) for c in ("x", "few") for p in ("train", "validation", "test")}
+    assert [tuple(r) for r in left_out.collect()] == [("none", "0 rows, 1 needed")]
+    models, metrics, left_out = M.train_cities(both, ["few"], min_rows=100, **SMALL)
+    assert models.count() == 0 and metrics.count() == 0 and left_out.first()["reason"] == "50 rows, 100 needed"
+    loaded = M.load_city_models(spark, str(tmp_path))
+    assert {r["model_path"].rsplit("/", 1)[1] for r in loaded.collect()} == {"pm25_model_x", "pm25_model_few"}
+    assert M.predict_cities(loaded, both).filter("prediction IS NULL").count() == 0
+    assert {r["city_name"] for r in M.train_cities(both, **SMALL)[0].collect()} == {"x", "few"}
+
+
+def grow(rows, features, trees, depth, step, cuts, min_child, min_split):
+    """Plain boosting on one group; rows are (x, y); returns a predictor."""
+    base = sum(y for _, y in rows) / len(rows)
+    left = [y - base for _, y in rows]
+    forest = []
+
+    def best(at):
+        found = (1e-9, None)
+        total = sum(left[i] for i in at)
+        for f in range(features):
+            for cut in cuts[f]:
+                lo = [i for i in at if rows[i][0][f] <= cut]
+                if len(lo) < min_child or len(at) - len(lo) < min_child or len(at) < min_split:
+                    continue
+                s = sum(left[i] for i in lo)
+                gain = s * s / len(lo) + (total - s) ** 2 / (len(at) - len(lo)) - total * total / len(at)
+                if gain > found[0] + 1e-9 * abs(found[0]):
+                    found = (gain, (f, cut))
+        return found[1]
+
+    def build(at, level):
+        split = best(at) if level < depth else None
+        if split is None:
+            return sum(left[i] for i in at) / len(at)
+        f, cut = split
+        return (f, cut, build([i for i in at if rows[i][0][f] <= cut], level + 1), build([i for i in at if rows[i][0][f] > cut], level + 1))
+
+    def value(tree, x):
+        while isinstance(tree, tuple):
+            tree = tree[2] if x[tree[0]] <= tree[1] else tree[3]
+        return tree
+
+    for _ in range(trees):
+        tree = build(range(len(rows)), 0)
+        forest.append(tree)
+        left = [r - step * value(tree, x) for r, (x, _) in zip(left, rows)]
+    return lambda x: base + step * sum(value(tree, x) for tree in forest)
+
+
+def test_grouped_trees_equal_plain_boosting(spark):
+    """Few distinct values, so bins hold one value each and cuts are known; groups of all sizes, null group values too."""
+    rng = random.Random(11)
+    data = [(g, f, float(rng.randrange(5)), float(rng.randrange(7)), 3.0, None) for g, n in (("a", 200), (None, 60), ("tiny", 3)) for f in (0, 1) for _ in range(n)]
+    data = [(*r[:5], r[2] * (r[1] + 1) - (r[3] > 3) * 4 + rng.random()) for r in data] + [("a", 0, 1.0, 1.0, 3.0, None)]
+    df = spark.createDataFrame(data, "g STRING, fold INT, p DOUBLE, q DOUBLE, same DOUBLE, y DOUBLE").repartition(3)
+    by, names = ["g", "fold"], ["p", "q", "same"]
+    models = B.fit_groups(df, by, names, "y", trees=4, depth=3, step=0.3, min_child=2, min_split=10)
+    got = {(r["g"], r["fold"], r["p"], r["q"]): r["prediction"] for r in B.predict_groups(models, df, by, names).collect()}
+    for group in {r[:2] for r in data}:
+        rows = [(r[2:5], r[5]) for r in data if r[:2] == group and r[5] is not None]
+        cuts = [sorted({x[k] for x, _ in rows}) for k in range(3)]
+        plain = grow(rows, 3, 4, 3, 0.3, cuts, 2, 10)
+        for x, _ in rows:
+            assert got[(*group, x[0], x[1])] == pytest.approx(plain(x), abs=1e-6)
+    assert B.predict_groups(models, df.withColumn("g", F.lit("unknown")), by, names).filter("prediction IS NOT NULL").count() == 0
+    assert B.fit_groups(df.filter("false"), by, names, "y", trees=1, depth=1).count() == 0
+
+
+def test_no_train_row_of_any_series_is_later_than_a_test_row(spark):
+    """Series that begin at different times: positions do not line up, calendar days do."""
+    later = frame(spark, 600, "late").withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 11 DAYS"))
+    both = frame(spark, 900, "x").unionByName(later)
+    folds = M.fold_rows(both, 10, 3, calendar=True)
+    ends = folds.groupBy("fold").agg(F.max(F.when(F.col("role") == "train", F.col("timestamp"))).alias("train"),
+                                     F.min(F.when(F.col("role") == "test", F.col("timestamp"))).alias("test")).collect()
+    assert len(ends) == 9 and all(r["train"] < r["test"] for r in ends)
+    assert {r["city_name"] for r in folds.filter("role = 'test'").select("city_name").distinct().collect()} == {"x", "late"}
 
 
 @pytest.mark.parametrize("hours,last_fold,folds", [(888, False, 0), (889, False, 1), (888, True, 1), (887, True, 0), (1100, False, 2), (1056, True, 2)])
@@ -101,3 +179,5 @@ def test_backtests(features):
     assert per_fold.count() == 3 and overall.first()["n"] == 3 * 72
     boosted = M.backtest(features, 20, 3, model="boosting", maxIter=2, maxDepth=2)
     assert boosted.count() == 3 * 72 and boosted.filter("prediction IS NULL").count() == 0
+    pooled = M.backtest(features, 20, 3, model="pooled", maxIter=2, maxDepth=2)
+    assert pooled.count() == 3 * 72 and pooled.filter("prediction IS NULL").count() == 0
