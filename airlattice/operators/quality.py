@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airlattice import constants as C
-from airlattice.functions.times import hours_between, hour_floor
+from airlattice.functions.times import hours_between
 from airlattice.functions.values import in_range, metric_violation
 from airlattice.operators.windows import lag_of, with_history
 from airlattice.tables import Warehouse, lookup
 
 
+#: Parts of a day of a series while its rows are read twice; a power of two.
+SALTS = 4
+
+
 class QualityError(ValueError):
     """Raised by the gate when a report is not valid."""
 
@@ -63,12 +67,16 @@ def freshness(df: DataFrame, ts: str, as_of, max_age_hours: float = C.MAX_AGE_HO
             .withColumn("is_fresh", F.coalesce(F.col("age_hours") <= max_age_hours, F.lit(False))))
 
 
-def zscore_outliers(df: DataFrame, column: str, k: float = C.Z_LIMIT, by=()) -> DataFrame:
-    """(by, jumps): values more than ``k`` sample deviations from the mean of their group."""
+def zscore_outliers(df: DataFrame, column: str, k: float = C.Z_LIMIT, by=(), moments: DataFrame | None = None) -> DataFrame:
+    """(by, jumps): values more than ``k`` sample deviations from the mean of their group.
+
+    ``moments`` (by, _mean, _std) saves the pass that makes them, as from stored day profiles.
+    """
     keys = list(by)
     mean, deviation = F.avg(column).alias("_mean"), F.stddev_samp(column).alias("_std")
     if keys:
-        joined = lookup(df.select(*keys, column), df.groupBy(*keys).agg(mean, deviation), keys)
+        found = df.groupBy(*keys).agg(mean, deviation) if moments is None else moments.select(*keys, "_mean", "_std")
+        joined = lookup(df.select(*keys, column), found, keys)
     else:
         joined = df.select(column, df.agg(mean).scalar().alias("_mean"), df.agg(deviation).scalar().alias("_std"))
     z = F.try_divide(F.abs(F.col(column) - F.col("_mean")), F.col("_std"))
@@ -117,10 +125,19 @@ def schema_check(df: DataFrame, expected: T.StructType) -> DataFrame:
         for f in expected.fields])))
 
 
+def hour_mask(ts: str) -> Column:
+    """Aggregate: a bit for each hour of the day that has a row, 0 without any time."""
+    return F.coalesce(F.bit_or(F.call_function("shiftleft", F.lit(1), F.hour(ts))), F.lit(0))
+
+
+def hours_in(mask) -> Column:
+    return F.bit_count(mask).cast("bigint")
+
+
 def day_hours(named: DataFrame, by=("city_name", "metric_code")) -> DataFrame:
-    """Distinct hours with data per day and series."""
-    return (named.select(*by, F.to_date("timestamp").alias("date"), hour_floor("timestamp").alias("_hour"))
-            .distinct().groupBy(*by, "date").agg(F.count(F.lit(1)).alias("actual_hours")))
+    """Distinct hours with data per day and series, one row per day through the shuffle."""
+    return (named.groupBy(*by, F.to_date("timestamp").alias("date")).agg(hour_mask("timestamp").alias("_hours"))
+            .select(*by, "date", hours_in("_hours").alias("actual_hours")))
 
 
 def sparse_days(named: DataFrame, minimum: int = C.MIN_POINTS_PER_DAY, by=("city_name", "metric_code")) -> DataFrame:
@@ -228,19 +245,30 @@ def daily_quality_metrics(t: Warehouse, arrival: str | None = None, rules=None,
     keys = ["date", "city_id", "metric_id"]
     code = t.dim_metric.select("metric_id", "metric_code")
     rows = t.fact_observation.withColumn("date", F.to_date("timestamp")).join(code, "metric_id")
-    hour_keys = [*keys, "_hour"]
-    v = "value_ug_m3"
-    hourly = rows.withColumn("_hour", hour_floor("timestamp"))
-    counts = (hourly.groupBy(*hour_keys)
-              .agg(F.count_if(metric_violation("metric_code", v, rules)).alias("_bad"))
-              .groupBy(*keys).agg(F.count(F.lit(1)).alias("hours"), F.sum("_bad").alias("bad")))
-    jumps = zscore_outliers(rows, v, by=keys)
-    out = counts.join(jumps, keys)
+    v = F.col("value_ug_m3")
+    # A struct of the keys is never null, and equal where nulls stand in the same places. Several passes need the rows:
+    # moments, outliers, order of loads. What they need lies in one array, so no pass prunes columns and all read the
+    # same exchange. The salt spreads a heavy day over tasks.
+    seconds = [F.unix_micros(F.col(c).cast("timestamp")).cast("double") for c in ([loaded, "timestamp"] if loaded is not None and arrival is None else [])]
+    packed = [v.cast("double"), F.call_function("shiftleft", F.lit(1), F.hour("timestamp")).cast("double"),
+              metric_violation("metric_code", "value_ug_m3", rules).cast("double"), *seconds]
+    dealt = (rows.select(F.struct(*keys).alias("_key"), F.hash("timestamp", v).bitwiseAND(F.lit(SALTS - 1)).alias("_salt"), F.array(*packed).alias("_row"))
+             .repartition("_key", "_salt"))
+    v = F.get("_row", F.lit(0))
+    profile = dealt.groupBy("_key").agg(F.avg(v).alias("_mean"), F.stddev_samp(v).alias("_std"),
+                                        F.coalesce(F.bit_or(F.get("_row", F.lit(1)).cast("int")), F.lit(0)).alias("_hours"),
+                                        F.count_if(F.get("_row", F.lit(2)) == 1).alias("_bad"))
+    each = profile.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    z = F.try_divide(F.abs(v - F.col("_mean")), F.col("_std"))
+    out = (dealt.join(each, ["_key", "_salt"])
+           .groupBy("_key").agg(F.count_if(z > C.Z_LIMIT).alias("jumps"), hours_in(F.max("_hours")).alias("hours"), F.max("_bad").alias("bad")))
+    if seconds:
+        loads = dealt.select("_key", F.get("_row", F.lit(3)).alias("_loaded"), F.get("_row", F.lit(4)).alias("_ts"))
+        out = out.join(in_order_of_loads(loads, ["_key"], "_loaded", "_ts"), "_key")
+    out = out.select("_key.*", *[c for c in out.columns if c != "_key"])
     if arrival is not None:
-        out = out.join(monotonicity(rows, "timestamp", arrival, keys), keys)
-    elif loaded is not None:
-        out = out.join(in_order_of_loads(rows, keys, loaded), keys)
-    else:
+        out = lookup(out, monotonicity(rows, "timestamp", arrival, keys), keys)
+    elif not seconds:
         out = out.withColumn("is_monotonic", F.lit(True))
     ratio = F.col("hours") / F.lit(C.POINTS_PER_DAY)
     return out.select(*keys, ratio.alias("completeness_ratio"), (1 - ratio).alias("missing_ratio"),

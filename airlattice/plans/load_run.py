@@ -9,6 +9,7 @@ from airlattice.operators.joins import merge_observations_and_weather, star
 from airlattice.operators.quality import daily_quality_metrics, in_order_of_loads, quality_gate, quality_report
 from airlattice.operators.reshape import hourly_by_city, hourly_weather, hourly_wide, pivot_metrics
 from airlattice.operators.scope import keep_metrics, last
+from airlattice.plans.daily import refresh_profiles
 from airlattice.sources import payloads, sinks
 from airlattice.session import stored
 from airlattice.tables import Warehouse, create_tables, load_warehouse, read_table
@@ -98,6 +99,7 @@ def run_load(spark: SparkSession, root: str, observations: str, weather: str, ci
     written = {"fact_observation": sinks.append_observations(spark, root, hourly),
                "fact_weather": sinks.append_weather(spark, root, sky)}
     written["fact_data_quality_metrics"] = refresh_quality(spark, root, hourly)
+    refresh_profiles(spark, root, hourly, sky)
     recent = recent_report(spark, root, as_of)
     if gate:
         quality_gate(recent)

@@ -9,7 +9,7 @@ from airlattice.constants import METRIC_CODES
 from airlattice.functions.times import ago, day_series
 from airlattice.functions.values import metric_violation, percent
 from airlattice.operators.joins import star
-from airlattice.operators.quality import day_hours
+from airlattice.operators.quality import day_hours, hours_in
 from airlattice.operators.scope import last, scope
 from airlattice.operators.stats import CORRELATED, correlation_matrix
 from airlattice.plans import views as V
@@ -26,6 +26,7 @@ def within(t: Warehouse, start=None, end=None, inclusive_midnight: bool = False,
 
     ``days`` widens the limits to whole days, as a limit on a date column means.
     """
+    whole = days or (not inclusive_midnight and all(x is None or len(str(x)) <= 10 for x in (start, end)))
     if days:
         start, end = [None if x is None else str(x)[:10] for x in (start, end)]
         inclusive_midnight = False
@@ -33,7 +34,9 @@ def within(t: Warehouse, start=None, end=None, inclusive_midnight: bool = False,
     def limited(fact):
         return scope(fact, start=start, end=end, inclusive_midnight=inclusive_midnight)
 
-    return Warehouse(t.dim_city, t.dim_metric, limited(t.fact_observation), limited(t.fact_weather))
+    # Profiles hold whole days: they serve limits on days, other limits go to the facts.
+    kept = {name: scope(df, start=start, end=end, on="date") for name, df in (("daily", t.daily), ("joint", t.joint)) if whole and df is not None}
+    return Warehouse(t.dim_city, t.dim_metric, limited(t.fact_observation), limited(t.fact_weather), **kept)
 
 
 def _limits(where: dict) -> tuple[dict, dict]:
@@ -82,10 +85,15 @@ def risk_counts(t: Warehouse, n: int | None = None, **where) -> DataFrame:
 def completeness_range(t: Warehouse, start, end, cities=None, metrics=None,
                        include_empty: bool = False) -> DataFrame:
     """Distinct hours with data against all hours of the days from ``start`` to ``end``."""
-    named = scope(V.observations(within(t, start, end, days=True)), cities, metrics)
+    kept = within(t, start, end, days=True)
+    if kept.daily is None:
+        hours = day_hours(scope(V.observations(kept), cities, metrics))
+    else:
+        merged = scope(V.profiles(kept), cities, metrics).groupBy(*PAIR, "date").agg(F.bit_or("hours").alias("_hours"))
+        hours = merged.select(*PAIR, "date", hours_in("_hours").alias("actual_hours"))
     days = F.size(day_series(F.lit(str(start)), F.lit(str(end))))
     expected = (days * 24).cast("bigint")
-    per_series = (day_hours(named).groupBy(*PAIR)
+    per_series = (hours.groupBy(*PAIR)
                   .agg(F.count(F.lit(1)).alias("days_with_data"), F.sum("actual_hours").alias("total_points")))
     if include_empty:
         names = t.dim_city.select("city_name").distinct()
@@ -118,10 +126,19 @@ def range_violations(t: Warehouse, rules=None, **where) -> DataFrame:
 
 
 def station_metadata(t: Warehouse, approximate: bool = False, **where) -> DataFrame:
-    """Mean station count, number of locations and rows per series."""
-    places = F.approx_count_distinct("location_id") if approximate else F.count_distinct("location_id")
+    """Mean station count, number of locations and rows per series.
+
+    ``approximate`` counts locations by sketches, within 2 % of the exact count in two of three cases; from stored
+    profiles it merges those of the days and reads no facts.
+    """
     limits, names = _limits(where)
-    return (scope(V.observations(within(t, **limits)), **names).groupBy(*PAIR)
+    kept = within(t, **limits)
+    if approximate and kept.daily is not None:
+        return (scope(V.profiles(kept), **names).groupBy(*PAIR)
+                .agg(F.try_divide(F.sum("stations"), F.sum("stations_n")).alias("avg_stations"),
+                     F.hll_sketch_estimate(F.hll_union_agg("places")).alias("unique_locations"), F.sum("rows").alias("total_records")))
+    places = F.hll_sketch_estimate(F.hll_sketch_agg("location_id")) if approximate else F.count_distinct("location_id")
+    return (scope(V.observations(kept), **names).groupBy(*PAIR)
             .agg(F.avg("station_count").alias("avg_stations"), places.alias("unique_locations"),
                  F.count(F.lit(1)).alias("total_records")))
 
@@ -129,7 +146,7 @@ def station_metadata(t: Warehouse, approximate: bool = False, **where) -> DataFr
 def period_statistics(t: Warehouse, weather: str = "fanout", **where) -> DataFrame:
     """Value and weather statistics of each series over the period, scoped before any join."""
     limits, names = _limits(where)
-    totals = V.day_totals(within(t, **limits).fact_observation, ["metric_id"])
+    totals = V.value_totals(within(t, **limits))
     named = scope(star(totals, t.dim_city, t.dim_metric), **names)
     sky = within(t, days=True, **limits).fact_weather
     return (V.weighted_summary(named, sky, PAIR, weather)
@@ -171,10 +188,15 @@ def table_status(t: Warehouse, as_of) -> DataFrame:
 def weather_correlations(t: Warehouse, cols=None, **where) -> DataFrame:
     """Correlation matrix per metric over every row in scope.
 
+    From stored profiles, where whole days are asked for and there are any, it reads no facts.
     Both sides carry the time the rows are joined on, so limiting them first keeps the result.
     """
     limits, names = _limits(where)
-    rows = scope(V.v_observations_weather(within(t, **limits)), **names)
+    kept = within(t, **limits)
+    if kept.joint is not None and cols is None:
+        from airlattice.plans import daily
+        return daily.correlations(kept.but(joint=scope(kept.joint, **names)))
+    rows = scope(V.v_observations_weather(kept), **names)
     return correlation_matrix(rows, cols or CORRELATED)
 
 

@@ -49,6 +49,19 @@ def day_totals(fact: DataFrame, by: list[str]) -> DataFrame:
                  F.min(v).alias("v_min"), F.max(v).alias("v_max")))
 
 
+def value_totals(t: Warehouse) -> DataFrame:
+    """``day_totals`` by metric, from the stored profile where there is one."""
+    if t.daily is None:
+        return day_totals(t.fact_observation, ["metric_id"])
+    return t.daily.select("city_id", "metric_id", "date", F.col("rows").alias("n"), F.col("n").alias("v_n"), F.col("sum").alias("v_sum"),
+                          F.col("min").alias("v_min"), F.col("max").alias("v_max"))
+
+
+def profiles(t: Warehouse) -> DataFrame:
+    """Stored profile rows with names of city and metric."""
+    return star(t.daily, t.dim_city, t.dim_metric)
+
+
 def weighted_summary(totals: DataFrame, weather: DataFrame, by: list, mode: str, *extra) -> DataFrame:
     """Value and weather statistics of day totals joined with the day's weather.
 
@@ -80,7 +93,7 @@ def weighted_summary(totals: DataFrame, weather: DataFrame, by: list, mode: str,
 
 
 def v_daily_aggregates(t: Warehouse, weather: str = "fanout") -> DataFrame:
-    totals = star(day_totals(t.fact_observation, ["metric_id"]), t.dim_city, t.dim_metric)
+    totals = star(value_totals(t), t.dim_city, t.dim_metric)
     return weighted_summary(totals, t.fact_weather,
                             ["date", "city_name", "country", "metric_code"], weather)
 
@@ -130,14 +143,18 @@ def exceedance_summary(named: DataFrame) -> DataFrame:
 
 
 def v_days_with_exceedances(t: Warehouse) -> DataFrame:
-    return exceedance_summary(observations(t))
+    if t.daily is None:
+        return exceedance_summary(observations(t))
+    return (profiles(t).groupBy("date", *SERIES)
+            .agg(F.sum("over").alias("exceedance_hours"), F.max("max").alias("max_value"),
+                 F.try_divide(F.sum("sum"), F.sum("n")).alias("avg_value"), (F.sum("over") > 0).alias("has_exceedance")))
 
 
 def v_data_completeness(t: Warehouse) -> DataFrame:
     share = percent("actual_data_points", F.lit(C.POINTS_PER_DAY))
-    return (observations(t).groupBy(*SERIES, F.to_date("timestamp").alias("date"))
-            .agg(F.count(F.lit(1)).alias("actual_data_points"))
-            .select(*SERIES, "date", "actual_data_points",
+    counted = (observations(t).groupBy(*SERIES, F.to_date("timestamp").alias("date")).agg(F.count(F.lit(1)).alias("actual_data_points"))
+               if t.daily is None else profiles(t).groupBy(*SERIES, "date").agg(F.sum("rows").alias("actual_data_points")))
+    return (counted.select(*SERIES, "date", "actual_data_points",
                     F.lit(C.POINTS_PER_DAY).alias("expected_data_points_per_day"),
                     share.alias("completeness_percent"),
                     (F.lit(100).cast("decimal(5,2)") - share).alias("missing_percent")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -61,12 +61,18 @@ PARTITION_COLUMN = {
 
 @dataclass(frozen=True)
 class Warehouse:
-    """The tables of the star schema, each as a lazy frame."""
+    """The tables of the star schema, each as a lazy frame, and the day profiles of the facts where there are any."""
 
     dim_city: DataFrame
     dim_metric: DataFrame
     fact_observation: DataFrame
     fact_weather: DataFrame
+    daily: DataFrame | None = None
+    joint: DataFrame | None = None
+
+    def but(self, **tables) -> Warehouse:
+        """The same tables with some of them replaced."""
+        return Warehouse(**{**{f.name: getattr(self, f.name) for f in fields(Warehouse) if f.name not in tables}, **tables})
 
 
 def default_metrics(spark: SparkSession) -> DataFrame:

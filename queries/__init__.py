@@ -1,7 +1,7 @@
 """Registered queries and the SQL each is checked against."""
 
-from queries import forecasting, payload, quality, relational, reporting, stations, streams
+from queries import daily, forecasting, payload, quality, relational, reporting, stations, streams
 from queries.base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "forecasting", "payload", "quality", "relational", "reporting", "stations",
+__all__ = ["ORACLES", "QUERIES", "daily", "forecasting", "payload", "quality", "relational", "reporting", "stations",
            "streams"]
