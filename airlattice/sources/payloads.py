@@ -21,6 +21,9 @@ PLACE = ("id: STRING, locationId: STRING, name: STRING, locationName: STRING, la
          "geometry: STRUCT<type: STRING, coordinates: ARRAY<STRING>>")
 OBSERVATION = (f"STRUCT<location: STRUCT<{PLACE}>, {PLACE}, parameter: STRING, value: STRING, unit: STRING, "
                "datetime: STRING, date: STRING, dateUTC: STRING, _broken: STRING>")
+UNKNOWN_CITY = "unknown city"
+#: Why a record is not usable, in the order in which the reasons are looked for.
+PROBLEMS = ("unreadable record", "no time", "unreadable time", "unreadable value", UNKNOWN_CITY)
 STATION = ("id BIGINT, name STRING, coordinates STRUCT<latitude: DOUBLE, longitude: DOUBLE>, "
            "sensors ARRAY<STRUCT<id: BIGINT, parameter: STRUCT<id: BIGINT, name: STRING, units: STRING>>>")
 
@@ -106,10 +109,10 @@ def classify_observations(records: DataFrame) -> DataFrame:
         (F.col("r").isNull() | F.col("r._broken").isNotNull()).alias("_unreadable"))
     # A generator again: later filters and projections read each field, not its expression.
     flat = _opened(records, OBSERVATION).select(*rest, F.inline(F.array(fields)))
-    problem = (F.when(F.col("_unreadable"), "unreadable record")
-               .when(F.col("_time").isNull(), "no time")
-               .when(F.col("timestamp").isNull(), "unreadable time")
-               .when(F.col("value").isNull(), "unreadable value"))
+    problem = (F.when(F.col("_unreadable"), PROBLEMS[0])
+               .when(F.col("_time").isNull(), PROBLEMS[1])
+               .when(F.col("timestamp").isNull(), PROBLEMS[2])
+               .when(F.col("value").isNull(), PROBLEMS[3]))
     return flat.withColumn("problem", problem).drop("_time", "_unreadable")
 
 
@@ -120,36 +123,44 @@ def city_places(cities: DataFrame) -> DataFrame:
     return cities.groupBy(F.lower("city_name").alias("_name")).agg(F.min_by(F.struct(*fields), first).alias("_place"))
 
 
+def judged(records: DataFrame, cities: DataFrame | None = None) -> DataFrame:
+    """``classify_observations`` with, where ``cities`` are given, their ``_place``; a record of another city is a problem too."""
+    rows = classify_observations(records)
+    if cities is None:
+        return rows
+    return (rows.withColumn("_name", F.lower("city")).join(city_places(cities), "_name", "left").drop("_name")
+            .withColumn("problem", F.coalesce("problem", F.when(F.col("_place").isNull(), UNKNOWN_CITY))))
+
+
 def rejected(records: DataFrame, cities: DataFrame | None = None) -> DataFrame:
     """(problem, records) for records that are not usable; with ``cities`` also those of unknown ones."""
-    rows = classify_observations(records)
-    if cities is not None:
-        known = cities.select(F.lower("city_name").alias("_name"), F.lit(True).alias("_known")).distinct()
-        rows = rows.withColumn("_name", F.lower("city")).join(known, "_name", "left").withColumn(
-            "problem", F.coalesce("problem", F.when(F.col("_known").isNull(), "unknown city")))
-    return (rows.filter(F.col("problem").isNotNull())
+    return (judged(records, cities).filter(F.col("problem").isNotNull())
             .groupBy("problem").agg(F.count(F.lit(1)).alias("records")))
 
 
-def parse_observations(records: DataFrame, cities: DataFrame | None = None) -> DataFrame:
+def parse_observations(records: DataFrame, cities: DataFrame | None = None, observed: str | None = None) -> DataFrame:
     """Usable records as the long frame, values in micrograms per cubic metre.
 
     With ``cities`` (and a ``city`` column on the records) the name is matched in any letter
     case and replaced by the stored one, missing coordinates fall back to the city's, and its
-    id, country and local wall clock are added. ``rejected`` counts records of unknown cities.
+    id, country and local wall clock are added. ``rejected`` counts records of unknown cities. ``observed`` names
+    metrics that count records and problems while the frame is used, in a stream as well.
     """
-    long = (classify_observations(records).filter(F.col("problem").isNull()).drop("problem")
+    rows = judged(records, cities)
+    if observed is not None:
+        rows = rows.observe(observed, F.count(F.lit(1)).alias("records"), *[
+            F.count_if(F.col("problem") == p).alias(p.replace(" ", "_")) for p in PROBLEMS])
+    long = (rows.filter(F.col("problem").isNull()).drop("problem")
             .withColumn("value_ug_m3", to_ug_m3("value", "unit"))
             .withColumn("unit_known", known_unit("unit")))
     if cities is None:
         return long
-    joined = long.withColumn("_name", F.lower("city")).join(city_places(cities), "_name")
     added = {"city": F.col("_place.city_name"), "country": F.col("_place.country"),
              "latitude": F.coalesce("latitude", "_place.latitude"), "longitude": F.coalesce("longitude", "_place.longitude"),
              "local_time": F.from_utc_timestamp("timestamp", F.col("_place.timezone"))}
     if "city_id" in cities.columns:
         added["city_id"] = F.col("_place.city_id")
-    return joined.withColumns(added).drop("_name", "_place")
+    return long.withColumns(added).drop("_place")
 
 
 def read_observations(spark: SparkSession, path: str, cities: DataFrame | None = None,

@@ -113,6 +113,38 @@ def quality_after_two_batches(spark, folder):
             .join(stored_names, "stored_id").join(names, "city").select("date", "city_id", "metric_id", "data_points_actual"))
 
 
+# Rows from the tenth day on arrive first; those of the first five days come a batch later, far beyond the lateness.
+OF_CITIES = "FROM station_events JOIN region ON r_regionkey = city_id WHERE event_type <> 'signup'"
+BROKEN, EARLY, LATER = "r_name = 'EUROPE' AND user_id % 10 = 0", "ts < TIMESTAMP '2024-01-06'", "ts >= TIMESTAMP '2024-01-11'"
+
+
+@query("ST1_ST2_losses_counted", f"""
+SELECT 'records' AS problem, COUNT(*) FILTER ({LATER}) * 2 + COUNT(*) FILTER ({EARLY}) AS records {OF_CITIES}
+UNION ALL SELECT 'unreadable record', COUNT(*) FILTER ({LATER}) * 2 + COUNT(*) FILTER ({EARLY}) {OF_CITIES} AND {BROKEN}
+UNION ALL SELECT 'no time', 0 UNION ALL SELECT 'unreadable time', 0 UNION ALL SELECT 'unreadable value', 0
+UNION ALL SELECT 'unknown city', COUNT(*) FILTER ({LATER}) * 2 + COUNT(*) FILTER ({EARLY}) {OF_CITIES} AND r_name = 'ASIA'
+UNION ALL SELECT 'late', COUNT(*) FILTER ({EARLY}) {OF_CITIES} AND r_name <> 'ASIA' AND NOT ({BROKEN})
+UNION ALL SELECT 'repeats', COUNT(*) FILTER ({LATER}) {OF_CITIES} AND r_name <> 'ASIA' AND NOT ({BROKEN})""")
+def losses_counted(spark, folder):
+    """Every record twice, one city unknown, some lines broken, then days that are too late."""
+    root = scratch(spark)
+    path = land(spark, folder, root)
+    known = stored_cities(spark, folder).filter("city_name <> 'ASIA'")
+    lines = spark.read.text(path)
+    broken = (F.col("city") == "EUROPE") & (F.get_json_object("value", "$.location.id") % 10 == 0)
+    day = F.get_json_object("value", "$.date.utc")
+    mixed = lines.select("city", day.alias("day"), F.when(broken, F.concat(F.lit("{"), "value")).otherwise(F.col("value")).alias("value"))
+    for copies, part in ((2, F.col("day") >= "2024-01-11"), (1, F.col("day") < "2024-01-06")):
+        some = mixed.filter(part).drop("day").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("copy")
+        some.write.mode("append").partitionBy("city").text(f"{root}/mixed")
+        counter = ST.LossCounter(spark, root)
+        spark.streams.addListener(counter)
+        rows = ST.ingest_stream(spark, f"{root}/mixed", known)
+        ST.stream_to_files(rows, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+        counter.finish()
+    return ST.losses(spark, root)
+
+
 @query("A20_load_with_losses", """
 SELECT 'unknown city' AS problem, COUNT(*) AS records FROM station_events JOIN region ON r_regionkey = city_id
 WHERE event_type <> 'signup' AND r_name = 'ASIA'

@@ -67,3 +67,29 @@ def test_load_run(spark, landed, tmp_path):
     merged = merged_hours(payloads.read_observations(spark, landed, default_cities(spark)),
                           payloads.read_weather(spark, str(tmp_path / "sky")))
     assert merged.count() == 61 and merged.filter("pm25 IS NOT NULL AND temperature_c IS NOT NULL").count() == 48
+
+
+def test_losses_are_counted_by_batch(spark, landed, tmp_path):
+    """One broken line, 50 repeats, then rows of an unknown city and late ones in a second batch; a rerun adds nothing."""
+    root = str(tmp_path / "store")
+    load_cities(spark, root, default_cities(spark))
+
+    def once():
+        counter = ST.LossCounter(spark, root)
+        spark.streams.addListener(counter)
+        run(spark, landed, root, str(tmp_path / "c"))
+        counter.finish()
+        return {r["problem"]: r["records"] for r in ST.losses(spark, root).collect()}
+
+    assert once() == {"records": 2 * 96 + 52, "unreadable record": 1, "no time": 0, "unreadable time": 0, "unreadable value": 0,
+                      "unknown city": 0, "late": 0, "repeats": 50}
+    late = json.dumps({"location": {"id": 9}, "parameter": "pm25", "value": 1, "unit": "µg/m³", "date": {"utc": START.isoformat() + "Z"}})
+    (tmp_path / "obs" / "city=Berlin" / "c.json").write_text(late + "\n" + late.replace("9", "8", 1) + "\n" + '{"parameter": "pm25"}')
+    (tmp_path / "obs" / "city=Atlantis").mkdir()
+    (tmp_path / "obs" / "city=Atlantis" / "d.json").write_text(late)
+    second = once()
+    assert (second["records"], second["late"], second["no time"], second["unknown city"], second["repeats"]) == (248, 2, 1, 1, 50)
+    batches = spark.read.parquet(f"{root}/{ST.LOSSES}")
+    batches.write.mode("append").parquet(f"{root}/again")
+    spark.read.parquet(f"{root}/again").write.mode("append").parquet(f"{root}/{ST.LOSSES}")
+    assert {r["problem"]: r["records"] for r in ST.losses(spark, root).collect()} == second
