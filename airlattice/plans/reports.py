@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airlattice.constants import METRIC_CODES
@@ -18,7 +18,7 @@ from airlattice.tables import Warehouse
 PAIR = ["city_name", "metric_code"]
 # Views whose rows look back at earlier rows: a time limit may only follow them.
 TIMED = {"v_observations", "v_weather", "v_observations_weather"}
-LOOKS_BACK = {"v_moving_averages", "v_lags"}
+LOOKS_BACK = {"v_moving_averages": 6, "v_lags": 3}
 
 
 def within(t: Warehouse, start=None, end=None, inclusive_midnight: bool = False, days: bool = False) -> Warehouse:
@@ -39,6 +39,33 @@ def within(t: Warehouse, start=None, end=None, inclusive_midnight: bool = False,
     return Warehouse(t.dim_city, t.dim_metric, limited(t.fact_observation), limited(t.fact_weather), **kept)
 
 
+def reaching_back(t: Warehouse, history: int, start=None, end=None, cities=None, metrics=None, **_) -> Warehouse:
+    """The tables with facts limited to the days that rows of the range, looking back ``history`` rows, can need.
+
+    The row counts of the stored day profiles tell the earliest such day: of each series that has rows in the range, the
+    day of the ``history``-th row before it. Times are widened to whole days. Without profiles nothing is limited.
+    """
+    if t.daily is None or (start is None and end is None):
+        return t
+    first, last = [None if x is None else F.to_date(F.lit(str(x)[:10])) for x in (start, end)]
+    fact = t.fact_observation
+    day = F.col("event_date") if "event_date" in fact.columns else F.to_date("timestamp")
+    if last is not None:
+        fact = fact.filter((day <= last) | day.isNull())
+    if first is not None:
+        counts = scope(V.profiles(t), cities, metrics).groupBy(*PAIR, "date").agg(F.sum("rows").alias("n"))
+        inside = F.col("date") >= first if last is None else F.col("date").between(first, last)
+        asked = counts.filter(inside).select(*PAIR).distinct()
+        nearer = Window.partitionBy(*PAIR).orderBy(F.desc_nulls_last("date")).rowsBetween(Window.unboundedPreceding, -1)
+        before = counts.filter((F.col("date") < first) | F.col("date").isNull())
+        needed = (before.join(asked, PAIR, "left_semi").withColumn("_nearer", F.coalesce(F.sum("n").over(nearer), F.lit(0)))
+                  .filter(F.col("_nearer") < history))
+        lower = needed.agg(F.coalesce(F.min("date"), first)).scalar()
+        # Rows without a time come before all others in a series; they lie in a folder of their own, which is kept.
+        fact = fact.filter((day >= lower) | day.isNull())
+    return t.but(fact_observation=fact)
+
+
 def _limits(where: dict) -> tuple[dict, dict]:
     """(time limits, name filters) of a scope."""
     names = {k: v for k, v in where.items() if k in ("cities", "metrics")}
@@ -56,7 +83,7 @@ def browse(t: Warehouse, view: str, n: int | None = None, **where) -> DataFrame:
     """The rows of a view in scope, newest first in a total order; with ``n`` only that many."""
     limits, names = _limits(where)
     if view in LOOKS_BACK:
-        df = V.VIEWS[view](t)
+        df = V.VIEWS[view](reaching_back(t, LOOKS_BACK[view], **where))
     else:
         df, where = V.VIEWS[view](within(t, days=view not in TIMED, **limits)), names
     on = "timestamp" if "timestamp" in df.columns else "date"

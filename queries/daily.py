@@ -67,3 +67,12 @@ def locations(spark, folder):
 
 
 ORACLES["A7_locations_by_merged_sketches"] = f"SELECT city_name, metric_code, avg_stations, total_records, TRUE AS close FROM ({ORACLES['A7_station_metadata']})"
+
+
+# The rows before the range that the first rows of each series look back at are found by the row counts of the days.
+for view, whole in (("v_moving_averages", "T2_browse_moving_averages"), ("v_lags", "T2_browse_lags")):
+    @query(f"T2_pruned_browse_of_{view}")
+    def pruned(spark, folder, view=view):
+        return reports.browse(daily.with_profiles(event_warehouse(spark, folder)), view, **WHERE)
+
+    ORACLES[f"T2_pruned_browse_of_{view}"] = f"SELECT * FROM ({ORACLES[whole]}) WHERE {reporting.IN_TIME}"

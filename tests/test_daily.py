@@ -114,3 +114,28 @@ def test_only_touched_days_are_replaced(spark, tiny, tmp_path):
     assert files and of_first(t.daily) == files
     assert rounded(views.v_data_completeness(emptied(t))) == rounded(views.v_data_completeness(t.but(daily=None)))
     assert rounded(reports.weather_correlations(emptied(t))) == rounded(reports.weather_correlations(t.but(joint=None)))
+
+
+def test_views_that_look_back_read_only_the_days_they_need(spark, tiny, tmp_path):
+    """A dense series, one with a long gap just before the range, one that ended long before, and rows without a time."""
+    root, start = str(tmp_path), datetime(2024, 3, 1)
+    create_tables(spark, root)
+    rows = [(start + timedelta(hours=h), 1, 1, float(h)) for h in range(24 * 20)]
+    rows += [(start + timedelta(days=d), 2, 1, float(d)) for d in (0, 1, 2, 3, 5, 7, 9, 18, 19)] + [(start, 1, 2, 5.0), (None, 1, 1, 1.0)]
+    fact = spark.createDataFrame(rows, "timestamp TIMESTAMP, city_id INT, metric_id INT, value_ug_m3 DOUBLE").selectExpr(
+        "*", "value_ug_m3 AS value", "1 AS station_count", "'a' AS location_id")
+    tiny.dim_city.write.mode("append").parquet(f"{root}/dim_city")
+    write_table(fact, root, "fact_observation")
+    daily.refresh_profiles(spark, root, fact)
+    t = daily.load_profiled(spark, root)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    for view, first_day, limits in (("v_moving_averages", "2024-03-02", {"start": "2024-03-18", "end": "2024-03-19"}),
+                                    ("v_lags", "2024-03-06", {"start": "2024-03-18", "end": "2024-03-19 05:00:00"}),
+                                    ("v_lags", "2024-03-17", {"start": "2024-03-18", "cities": ["Here"]}),
+                                    ("v_lags", None, {"end": "2024-03-02"}), ("v_lags", "2024-05-01", {"start": "2024-05-01"})):
+        got, want = reports.browse(t, view, **limits), reports.browse(t.but(daily=None), view, **limits)
+        assert rounded(got) == rounded(want)
+        scans = [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x and "fact_observation" in x]
+        assert scans and all("PartitionFilters: []" not in x and "event_date" in x for x in scans)
+        read = reports.reaching_back(t, reports.LOOKS_BACK[view], **limits).fact_observation
+        assert first_day is None or str(read.agg(F.min("event_date")).first()[0]) in (first_day, "None")
