@@ -71,18 +71,15 @@ def k_means(x: np.ndarray, k: int, rounds: int = 12, seed: int = 7) -> np.ndarra
 
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(id, v): vectors of doubles without null, zero, or non-finite components, one row per id.
+    """(row, id, v): vectors of doubles without null, zero, or non-finite components.
 
-    Rows without id take no part; of several rows with one id the smallest vector counts. Where lengths differ
-    only those of the most frequent length (of equally frequent ones the greater) take part.
+    Rows without id take no part. Rows that share an id are rows of their own, told apart by ``row``; store the frame
+    before it is read twice.
     """
     v = col(vector).cast(T.ArrayType(T.DoubleType()))
-    df = vectors.select(col(vec_id).cast("long").alias("id"), v.alias("v")).where(
+    return vectors.select(F.monotonically_increasing_id().alias("row"), col(vec_id).cast("long").alias("id"), v.alias("v")).where(
         "id IS NOT NULL AND v IS NOT NULL AND size(v) > 0 AND NOT exists(v, x -> x IS NULL OR isnan(x) OR abs(x) = double('Infinity'))"
         " AND exists(v, x -> x <> 0)")
-    df = df.groupBy("id").agg(F.min("v").alias("v"))
-    lengths = df.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), F.desc("n")).limit(2).collect()
-    return df if len(lengths) < 2 else df.where(F.size("v") == lengths[0].n)
 
 
 def fit_codebook(vectors: DataFrame, centroids: int | None = None, sample: int = 20_000) -> Codebook | None:
@@ -95,7 +92,7 @@ def fit_codebook(vectors: DataFrame, centroids: int | None = None, sample: int =
     if not n:
         return None
     k = centroids or int(min(1024, max(4, round((n / 3) ** 0.5))))
-    x = np.array([r.v for r in vectors.orderBy(F.xxhash64("id"), "id").limit(sample).collect()], float)
+    x = np.array([r.v for r in vectors.orderBy(F.xxhash64("id"), "id", "row").limit(sample).collect()], float)
     book = Codebook(np.zeros((0, 0)), np.zeros((0, 0)), float(norm) ** 0.5)
     first, second = book.halves(x)
     book.first, book.second = k_means(first, k), k_means(second, k, seed=11)
@@ -137,25 +134,25 @@ def pack(sizes: list[int], most: int = BLOCK) -> tuple[list[int], list[int]]:
 
 def _nearest(top: int, width: int):
     """The ``top`` best of each query among a block's vectors in the query's cells; cells are numbers below ``width``."""
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    schema = pa.schema([("query_row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
-    def best(ids: np.ndarray, x: np.ndarray, cells: np.ndarray, queries: list) -> pa.RecordBatch:
+    def best(ids: np.ndarray, rows: np.ndarray, x: np.ndarray, cells: np.ndarray, queries: list) -> pa.RecordBatch:
         scores = np.zeros((len(queries), len(ids)))
-        q = np.array([r[1] for r in queries])
+        q = np.array([r[2] for r in queries])
         # Component by component, so that equal vectors get equal sums wherever they stand.
         for k in range(len(x)):
             scores += q[:, k, None] * x[k]
         mine, found = np.zeros(width, bool), []
-        for (query, _, visited), row in zip(queries, scores):
+        for (query, own, _, visited), scored in zip(queries, scores):
             mine[visited] = True
-            where = np.flatnonzero(mine[cells] & (ids != query))
+            where = np.flatnonzero(mine[cells] & (rows != own))
             mine[visited] = False
-            got = row[where]
+            got = scored[where]
             if len(where) > top:
                 near = got >= np.partition(got, len(got) - top)[len(got) - top]
                 where, got = where[near], got[near]
             order = np.lexsort((ids[where], -got))[:top]
-            found.append((np.full(len(order), query), ids[where[order]], got[order]))
+            found.append((np.full(len(order), own), np.full(len(order), query), ids[where[order]], got[order]))
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], schema=schema)
 
     def lists(column: pa.Array) -> list[np.ndarray]:
@@ -169,19 +166,19 @@ def _nearest(top: int, width: int):
             nonlocal ready
             if queries and vecs:
                 if ready is None:
-                    ready = (np.array([r[0] for r in vecs], np.int64), np.array([r[1] for r in vecs]).T.copy(),
-                             np.array([r[2][0] for r in vecs]))
+                    ready = (np.array([r[0] for r in vecs], np.int64), np.array([r[1] for r in vecs], np.int64),
+                             np.array([r[2] for r in vecs]).T.copy(), np.array([r[3][0] for r in vecs]))
                 yield best(*ready, queries)
             queries.clear()
 
         for batch in batches:
-            blocks, parts, asks, ids = (batch.column(k).to_pylist() for k in range(4))
-            for key, ask, vid, v, cells in zip(zip(blocks, parts), asks, ids, lists(batch.column(4)), lists(batch.column(5))):
+            blocks, parts, asks, ids, rows = (batch.column(k).to_pylist() for k in range(5))
+            for key, ask, vid, row, v, cells in zip(zip(blocks, parts), asks, ids, rows, lists(batch.column(5)), lists(batch.column(6))):
                 if key != now:
                     yield from flush()
                     now, ready = key, None
                     vecs.clear()
-                (queries if ask else vecs).append((vid, v, cells))
+                (queries if ask else vecs).append((vid, row, v, cells))
                 if len(queries) >= QUERIES:
                     yield from flush()
         yield from flush()
@@ -193,13 +190,24 @@ def nearest(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding
             share: float = SHARE, at_least: int = 4000, centroids: int | None = None, sample: int = 20_000) -> DataFrame:
     """query_id, rank, vec_id, score: the ``top`` nearest found of each query, ids divisible by ``every``.
 
-    All vectors are indexed. A query's cells hold ``share`` of them and ``at_least`` so many, or all; its own id is
+    All vectors are indexed. A query's cells hold ``share`` of them and ``at_least`` so many, or all; only its own row is
     no candidate. Ties go to the smaller vec_id. ``usable`` says which vectors take part; without any there are no rows.
+    Vectors of different lengths have no inner product: those of each length are searched by themselves.
     """
     good = stored(usable(vectors, vec_id, vector), "vectors")
+    found = vectors.sparkSession.createDataFrame([], FOUND)
+    for r in good.select(F.size("v").alias("n")).distinct().orderBy("n").collect():
+        found = found.unionByName(_of_one_length(good.where(F.size("v") == r.n), every, top, share, at_least, centroids, sample))
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
+
+
+FOUND = "query_row long, query_id long, vec_id long, score double"
+
+
+def _of_one_length(good: DataFrame, every: int, top: int, share: float, at_least: int, centroids: int | None, sample: int) -> DataFrame:
+    """The best of each query in each block."""
     book = fit_codebook(good, centroids, sample)
-    if book is None:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     first, second, norm = book.first, book.second, book.norm
 
     @F.pandas_udf(row_type("i int, j int"))
@@ -207,7 +215,7 @@ def nearest(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding
         a, b = Codebook(first, second, norm).halves(np.stack(vs.to_numpy()).astype(float))
         return pd.DataFrame({"i": _squares(a, first).argmin(1).astype(np.int32), "j": _squares(b, second).argmin(1).astype(np.int32)})
 
-    placed = stored(good.withColumn("cell", cell("v")).select("id", "v", "cell.i", "cell.j"), "cells")
+    placed = stored(good.withColumn("cell", cell("v")).select("row", "id", "v", "cell.i", "cell.j"), "cells")
     # At most 1024 x 1024 counts, whatever the number of vectors.
     counts = np.zeros((len(first), len(second)), np.int64)
     for r in placed.groupBy("i", "j").agg(F.count("*").alias("n")).collect():
@@ -230,12 +238,10 @@ def nearest(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding
         return pd.Series(out, dtype=object)
 
     entries = placed.withColumn("block", number(block, F.col("i"))).select(
-        "block", F.pmod(F.xxhash64("id"), number(parts, F.col("block")).cast("long")).cast("int").alias("part"),
-        F.lit(False).alias("ask"), "id", "v", F.array(F.col("i") * n_second + F.col("j")).alias("cells"))
+        "block", F.pmod(F.xxhash64("row"), number(parts, F.col("block")).cast("long")).cast("int").alias("part"),
+        F.lit(False).alias("ask"), "id", "row", "v", F.array(F.col("i") * n_second + F.col("j")).alias("cells"))
     queries = good.where(F.col("id") % every == 0).withColumn("c", F.explode(visit("v"))) \
         .withColumn("part", F.explode(F.sequence(F.lit(0), number(parts, F.col("c.block")) - 1))) \
-        .select("c.block", "part", F.lit(True).alias("ask"), "id", "v", "c.cells")
+        .select("c.block", "part", F.lit(True).alias("ask"), "id", "row", "v", "c.cells")
     meet = entries.unionByName(queries).repartition("block", "part").sortWithinPartitions("block", "part", "ask")
-    found = meet.mapInArrow(_nearest(top, first.shape[0] * n_second), row_type("query_id long, vec_id long, score double"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
+    return meet.mapInArrow(_nearest(top, first.shape[0] * n_second), row_type(FOUND))
