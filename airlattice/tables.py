@@ -59,6 +59,12 @@ PARTITION_COLUMN = {
 }
 
 
+# Rows of a file are ordered by series, so a row group of this size holds few series and its minima and maxima tell
+# which; a Bloom filter answers for the stations, which have no order.
+ROW_GROUP_BYTES = 32 << 20
+BLOOM_COLUMN = {"fact_observation": "location_id"}
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """The tables of the star schema, each as a lazy frame, and the day profiles of the facts where there are any."""
@@ -110,9 +116,11 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(LAYOUTS[name]).parquet(table_path(root, name))
 
 
-def write_table(df: DataFrame, root: str, name: str, mode: str = "append") -> int:
+def write_table(df: DataFrame, root: str, name: str, mode: str = "append", row_group_bytes: int = ROW_GROUP_BYTES) -> int:
     """Store rows by day, clustered by series inside each file; returns their number.
 
+    A limit on series or stations then reads the row groups that can hold them.
+
     Mode ``replace`` overwrites just the days that the rows bring.
 
     The rebalance step lets adaptive execution cut a heavy day into several tasks and
@@ -129,7 +137,9 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "append") -> in
     if day:
         order = [c for c in (day, "city_id", "metric_id", "timestamp") if c in out.columns]
         out = out.hint("rebalance", day).sortWithinPartitions(*order)
-    writer = out.observe(seen, F.count(F.lit(1)).alias("rows")).write
+    writer = out.observe(seen, F.count(F.lit(1)).alias("rows")).write.option("parquet.block.size", row_group_bytes)
+    if name in BLOOM_COLUMN:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{BLOOM_COLUMN[name]}", "true")
     if mode == "replace":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
