@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -37,6 +38,32 @@ def run_once(spark, folder: str, name: str) -> float:
     return time.perf_counter() - began
 
 
+def stored_layout(spark, folder: str) -> dict[str, float]:
+    """Seconds over facts stored by day with their profiles: pruning, clustering and merged profiles, not the event log."""
+    from airlattice.plans import daily, reports, views
+    from airlattice.sources.eventlog import event_warehouse
+    from airlattice.tables import create_tables, write_table
+    root, t = tempfile.mkdtemp(prefix="bench-"), event_warehouse(spark, folder)
+    create_tables(spark, root)
+    write_table(t.dim_city, root, "dim_city")
+    for name in ("fact_observation", "fact_weather"):
+        write_table(getattr(t, name), root, name)
+    daily.refresh_profiles(spark, root, t.fact_observation, t.fact_weather)
+    s = daily.load_profiled(spark, root)
+    week = {"start": "2024-01-20", "end": "2024-01-26"}
+    runs = {"P1": lambda: views.v_observations(s), "W1": lambda: views.v_moving_averages(s), "W2": lambda: views.v_lags(s),
+            "T2_lags_week": lambda: reports.browse(s, "v_lags", **week), "T1_week": lambda: reports.trends(s, **week),
+            "A1": lambda: views.v_daily_aggregates(s), "A3": lambda: views.v_data_completeness(s), "A8": lambda: reports.period_statistics(s, **week),
+            "A17": lambda: reports.weather_correlations(s), "A19": lambda: daily.trends(s, ["temperature_c", "wind_speed_ms"])}
+    out = {}
+    for name, make in runs.items():
+        for _ in range(2):
+            began = time.perf_counter()
+            make().write.format("noop").mode("overwrite").save()
+            out[name] = round(time.perf_counter() - began, 3)
+    return out
+
+
 def duckdb_seconds(folder: str) -> dict[str, float]:
     import duckdb
     con = duckdb.connect()
@@ -55,7 +82,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 4))
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = build_session("bench", f"local[{cpus}]", **{
-        "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g", "spark.ui.enabled": "false",
+        "spark.sql.shuffle.partitions": cpus, "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"), "spark.driver.memory": "12g", "spark.ui.enabled": "false",
         "spark.sql.dataFrameQueryContext.enabled": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
@@ -64,6 +91,7 @@ def main() -> None:
         seconds[name] = round(statistics.median(run_once(spark, folder, name) for _ in range(runs)), 3)
     result = {"metric": "total_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",
               "queries": seconds, "sf": folder.rsplit("sf", 1)[-1]}
+    result["stored_layout"] = stored_layout(spark, folder)
     if os.environ.get("BENCH_DUCKDB") == "1":
         result["duckdb"] = duckdb_seconds(folder)
     print(json.dumps(result))

@@ -85,16 +85,16 @@ def test_train_save_load(spark, features, tmp_path):
 def test_short_cities_are_trained_or_reported(spark, features, tmp_path):
     few = features.limit(50).withColumn("city_name", F.lit("few"))
     both = features.unionByName(few)
-    models, metrics, left_out = M.train_cities(both, ["x", "few", "none"], root=str(tmp_path), **SMALL)
+    models, metrics, left_out = M.train_cities(both, ["x", "few", "none"], root=str(tmp_path), maxIter=2, maxDepth=2)
     assert {r["city_name"] for r in models.collect()} == {"x", "few"}
     assert {(r["city_name"], r["part"]) for r in metrics.collect()} == {(c, p) for c in ("x", "few") for p in ("train", "validation", "test")}
     assert [tuple(r) for r in left_out.collect()] == [("none", "0 rows, 1 needed")]
-    models, metrics, left_out = M.train_cities(both, ["few"], min_rows=100, **SMALL)
+    models, metrics, left_out = M.train_cities(both, ["few"], min_rows=100, maxIter=1, maxDepth=1)
     assert models.count() == 0 and metrics.count() == 0 and left_out.first()["reason"] == "50 rows, 100 needed"
     loaded = M.load_city_models(spark, str(tmp_path))
     assert {r["model_path"].rsplit("/", 1)[1] for r in loaded.collect()} == {"pm25_model_x", "pm25_model_few"}
     assert M.predict_cities(loaded, both).filter("prediction IS NULL").count() == 0
-    assert {r["city_name"] for r in M.train_cities(both, **SMALL)[0].collect()} == {"x", "few"}
+    assert {r["city_name"] for r in M.train_cities(both, maxIter=1, maxDepth=1)[0].collect()} == {"x", "few"}
 
 
 def grow(rows, features, trees, depth, step, cuts, min_child, min_split):
