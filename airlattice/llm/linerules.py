@@ -7,6 +7,7 @@ labels every line of every document, and the words in content lines decide wheth
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -184,10 +185,17 @@ def rule_udf(weights: np.ndarray, trans: np.ndarray, min_share: float):
     return judge_all
 
 
-def train_field(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_docs: int = 1000) -> tuple[np.ndarray, np.ndarray]:
+def drawn_lines(key: str, n: int, chains: int) -> np.ndarray:
+    """Places of the lines of ``chains`` runs of CHAIN lines, drawn by hash from all runs of a document of ``n`` lines."""
+    runs = sorted(range(-(-n // CHAIN)), key=lambda k: (zlib.crc32(f"{key}/{k}".encode()), k))[:chains]
+    return np.array([k for run in sorted(runs) for k in range(run * CHAIN, min(n, (run + 1) * CHAIN))], np.int64)
+
+
+def train_field(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_docs: int = 1000,
+                sample_chains: int = 4) -> tuple[np.ndarray, np.ndarray]:
     """Fit on the ``sample_docs`` documents with the smallest hashed ids: the bound of what reaches the driver.
 
-    At most CHAIN * 4 lines of a sampled document are used for training.
+    Of each at most ``sample_chains`` runs of CHAIN lines are used, drawn by hash from the whole text.
     """
     ids = docs.select(col(doc_id).alias("i")).where("i IS NOT NULL").distinct() \
         .orderBy(F.xxhash64("i"), "i").limit(sample_docs)
@@ -195,12 +203,13 @@ def train_field(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sam
         .groupBy("i").agg(F.max("t").alias("t"))
 
     @F.pandas_udf(row_type("x binary, y binary"))
-    def lines(texts: pd.Series) -> pd.DataFrame:
+    def lines(keys: pd.Series, texts: pd.Series) -> pd.DataFrame:
         made = [line_table(t) for t in texts]
-        return pd.DataFrame({"x": [x[:CHAIN * 4].astype(np.uint8).tobytes() for x, _, _, _ in made],
-                             "y": [y[:CHAIN * 4].tobytes() for _, _, y, _ in made]})
+        drawn = [drawn_lines(key, len(x), sample_chains) for key, (x, _, _, _) in zip(keys, made)]
+        return pd.DataFrame({"x": [x[at].astype(np.uint8).tobytes() for at, (x, _, _, _) in zip(drawn, made)],
+                             "y": [y[at].tobytes() for at, (_, _, y, _) in zip(drawn, made)]})
 
-    rows = picked.select("i", lines("t").alias("l")).select("i", "l.x", "l.y").orderBy("i").collect()
+    rows = picked.select("i", lines(F.col("i").cast("string"), "t").alias("l")).select("i", "l.x", "l.y").orderBy("i").collect()
     return fit_field([(np.frombuffer(r.x, np.uint8).reshape(-1, N_FEATURES).astype(float), np.frombuffer(r.y, np.int8)) for r in rows])
 
 

@@ -1,5 +1,6 @@
 """Base counts by their definition, and Viterbi against all labellings."""
 
+from collections import Counter
 import itertools
 import random
 import re
@@ -66,3 +67,30 @@ def test_verdicts(frame):
     verdict = {r.doc_id: r.rules.kept for r in L.judge_lines(frame(pairs)).collect()}
     assert all(verdict[k] == bool(k % 2) for k in verdict)
     assert L.judge_lines(frame([])).count() == 0
+
+
+def test_training_lines_come_from_the_whole_text():
+    """Runs are whole, in order, and drawn from the end of a text as from its start."""
+    places = [L.drawn_lines(str(k), 1010, 4) for k in range(200)]
+    assert all(len(p) <= 128 and (np.diff(p) > 0).all() and len(p) >= 3 * 32 for p in places)
+    runs = np.concatenate([np.unique(p // 32) for p in places])
+    assert set(runs) == set(range(32)) and abs(np.mean(runs) - 15.5) < 1.5
+    assert L.drawn_lines("x", 70, 4).tolist() == list(range(70)) and L.drawn_lines("x", 0, 4).tolist() == []
+
+
+def test_query_contract(shipped):
+    from airlattice.llm import queries
+    got = queries.QUERIES["op7_line_rules"](shipped, "/root/testdata/sf0.001")
+    assert got.dtypes[:7] == [("doc_id", "bigint"), ("n_words", "bigint"), ("word_chars", "bigint"), ("n_symbols", "bigint"), ("n_dup_lines", "bigint"),
+                              ("n_repeat_words", "bigint"), ("base_failed", "boolean")]
+    rows = {r.doc_id: r for r in got.collect()}
+    docs = shipped.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    assert len(rows) == len(docs)
+    for d in docs:
+        words, r = re.findall(r"[^\x20\x09-\x0D]+", d.text or ""), rows[d.doc_id]
+        windows = Counter(zip(words, words[1:], words[2:]))
+        held = {k + j for k in range(len(words) - 2) if windows[tuple(words[k:k + 3])] > 1 for j in range(3)}
+        lines = [x for x in (d.text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (
+            len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", d.text or "")), len(lines) - len(set(lines)), len(held))
+        assert r.base_failed == (len(words) < 50 or 100 * len(held) > 50 * len(words)) and not (r.base_failed and r.kept)
