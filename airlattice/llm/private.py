@@ -10,7 +10,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -44,8 +44,10 @@ DIGIT_OF = {word: str(n) for n, group in enumerate(DIGIT_WORDS) for word in grou
 
 STRANGE = re.compile("[" + "".join(LOOKALIKES) + INVISIBLE
                      + "․。‐-―①-⑨Ⓐ-⓪﹒﹫！-～｡\U0001d400-\U0001d7ff]")
-AT = re.compile(r"(?i)[ \t]*[\[({<][ \t]*(?:at|@)[ \t]*[\])}>][ \t]*")
-DOT = re.compile(r"(?i)[ \t]*[\[({<][ \t]*(?:dot|\.)[ \t]*[\])}>][ \t]*")
+# Blanks before a bracket are taken from the start of their run alone, so a long run is passed once.
+_before, _after = r"(?i)(?:(?<![ \t])[ \t]++)?[\[({<][ \t]*+", r"[ \t]*+[\])}>][ \t]*+"
+AT = re.compile(rf"{_before}(?:at|@){_after}")
+DOT = re.compile(rf"{_before}(?:dot|\.){_after}")
 #: Plain words count only as the whole "name at host dot domain", the last word a usual top-level domain. Fixed values.
 TOP_LEVEL = frozenset("com org net edu gov info biz io co ai app dev me eu uk de fr es it nl ch at be pl us ca au in jp cn br ru".split())
 SPOKEN = re.compile(r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+([ \t]+at[ \t]+)[A-Za-z0-9-]+((?:[ \t]+dot[ \t]+[A-Za-z0-9-]+)+)")
@@ -185,14 +187,21 @@ def all_spans(text: str, base: list[Span]) -> list[Span]:
             now = chain[-1].text
     if not chain:
         return base
-    added = []
+    added, taken = [], []
+    for _, start, end in base:  # ordered by start; what overlaps or touches is one stretch
+        if taken and start <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], end)
+        else:
+            taken.append([start, end])
+    starts = [start for start, _ in taken]
     for kind, start, end in base_spans(now):
         a, b, changed = start, end, False
         for step in reversed(chain):
             n = bisect_right(step.starts, b - 1) - 1
             changed |= n >= 0 and (step.starts[n] >= a or step.ends[n] > a)
             a, b = step.start(a), step.end(b)
-        if changed and not any(a < e and s < b for _, s, e in base):
+        last = bisect_left(starts, b) - 1  # the last stretch that starts before the span ends
+        if changed and not (last >= 0 and taken[last][1] > a):
             added.append((kind, a, b))
     return sorted(base + added, key=lambda s: (s[1], ORDER[s[0]]))
 

@@ -35,7 +35,9 @@ def test_base_spans_equal_the_plain_patterns():
 
 
 def test_long_runs_are_linear():
-    for text in ("a" * 300_000, "1" * 300_000, "1." * 100_000, "@a" * 100_000, "+1" + " " * 200_000, "a@b" * 60_000, "one " * 50_000):
+    for text in ("a" * 300_000, "1" * 300_000, "1." * 100_000, "@a" * 100_000, "+1" + " " * 200_000, "a@b" * 60_000, "one " * 50_000,
+                 "a (at) b" + " " * 300_000 + "c [dot] d" + "\t" * 300_000, "(" + " " * 300_000 + "at)", "x at y" + " " * 300_000 + "dot com",
+                 " ".join(f"u{k} (at) h{k} [dot] com v{k}@h.de" for k in range(20_000))):
         P.all_spans(text, P.base_spans(text))
 
 
