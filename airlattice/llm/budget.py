@@ -8,6 +8,8 @@ taken follows from a seeded hash, by counting hash ranges, so no length is ever
 
 from __future__ import annotations
 
+from math import isqrt
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,23 +47,36 @@ def fill(budget: int, lengths: list[int], counts: list[int]) -> list[int]:
     """How many documents of each length make the largest sum up to ``budget``: exact bounded knapsack.
 
     Reachable sums are the bits of an integer; a count splits into powers of two. The lengths are in
-    descending order, the walk back uses as few of a part as it can.
+    descending order, the walk back uses as few of a part as it can. It needs the sums before each part: one in
+    sqrt(parts) is kept, those between are made again, so memory is that of 2 sqrt(parts) integers of ``budget`` bits.
+    Parts after the one that reaches ``budget`` itself are not needed.
     """
     full = (1 << (budget + 1)) - 1
-    reach, steps = 1, []
+    parts = []
     for k, (length, count) in enumerate(zip(lengths, counts, strict=True)):
         count, part = min(count, budget // length if length else 0), 1
         while count > 0:
             part = min(part, count)
-            before, reach = reach, (reach | reach << part * length) & full
-            steps.append((k, part, before))
+            parts.append((k, part))
             count -= part
             part *= 2
+    gap = max(1, isqrt(len(parts)))
+    reach, kept, used = 1, [], 0
+    while used < len(parts) and reach.bit_length() <= budget:
+        if used % gap == 0:
+            kept.append(reach)
+        k, part = parts[used]
+        reach = (reach | reach << part * lengths[k]) & full
+        used += 1
     at, take = reach.bit_length() - 1, [0] * len(lengths)
-    for k, part, before in reversed(steps):
-        if not before >> at & 1:
-            at -= part * lengths[k]
-            take[k] += part
+    for n in range(len(kept) - 1, -1, -1):
+        block, before = parts[n * gap:min((n + 1) * gap, used)], [kept[n]]
+        for k, part in block[:-1]:
+            before.append((before[-1] | before[-1] << part * lengths[k]) & full)
+        for (k, part), sums in zip(reversed(block), reversed(before)):
+            if not sums >> at & 1:
+                at -= part * lengths[k]
+                take[k] += part
     return take
 
 

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import tracemalloc
 from collections import defaultdict
 
 import pytest
@@ -21,6 +22,20 @@ def test_fill_is_the_best_subset():
         assert sum(n * t for n, t in zip(lengths, take)) == max(s for s in sums if s <= budget)
 
 
+def test_one_very_long_document_needs_little_memory():
+    """Thousands of lengths beside one of a million words; all even, so the odd budget is never met and no part is left out."""
+    rng = random.Random(2)
+    lengths = sorted({2 * rng.randrange(1, 50_000) for _ in range(3000)} | {1_000_000}, reverse=True)
+    counts = [rng.randrange(1, 4) for _ in lengths]
+    budget = sum(n * c for n, c in zip(lengths, counts)) // 3 | 1
+    tracemalloc.start()
+    take = B.choose(budget, lengths, counts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(n * t for n, t in zip(lengths, take)) == budget - 1
+    assert all(0 <= t <= c for t, c in zip(take, counts)) and peak < 300e6
+
+
 def test_choose_keeps_bounds_beyond_the_table():
     rng = random.Random(2)
     for _ in range(100):
