@@ -254,10 +254,11 @@ def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     # N-gram sets only of classes that meet another one, from one document of the class each.
     needed = place.select("id").distinct().join(hashed.select("id", "weight", "bands"), "id")
     carrier = signed.join(classes.select("key", "id", "first"), "key").where(of == F.col("first")) \
-        .join(needed.select("id"), "id", "left_semi").groupBy("id").agg(F.min("doc_id").alias("carrier"), F.first("key").alias("key"))
-    texts = docs.select(col(doc_id).cast("long").alias("carrier"), col(text).alias("t"))
+        .join(needed.select("id"), "id", "left_semi").groupBy("id").agg(F.min("row").alias("carrier"), F.first("key").alias("key"))
+    # By the key of id and text: rows without an id, or with one id, would else meet every class of theirs.
+    texts = docs.select(_id_and_text(doc_id, text).alias("carrier"), col(text).alias("t"))
     # Compared only when the join is done: as a join condition the sets of all texts would be made for it.
-    sets = texts.join(carrier, texts.carrier.eqNullSafe(carrier.carrier)).select("id", "key", gram_set("t").alias("s")) \
+    sets = texts.join(carrier, "carrier").select("id", "key", gram_set("t").alias("s")) \
         .groupBy("id").agg(F.first(F.when(F.col("s.key") == F.col("key"), F.col("s.grams")), ignorenulls=True).alias("grams"))
     full = stored(sets.join(needed, "id"), "sets")
 

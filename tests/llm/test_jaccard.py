@@ -1,6 +1,7 @@
 """The join against all pairs of n-gram sets."""
 
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -73,6 +74,20 @@ def test_repeated_and_null_ids(frame):
     assert joined(frame([])) == []
 
 
+def test_many_near_copies_without_ids_or_with_one(frame):
+    """Each class gets its set from its own text: no text meets the classes of other rows with the same id."""
+    rng = random.Random(9)
+    texts = near_copies(rng, 1, 500)
+    took = {}
+    for ids in (lambda k: k, lambda k: None, lambda k: 7):
+        pairs = [(ids(k), t) for k, t in enumerate(texts)]
+        began = time.time()
+        got = joined(frame(pairs))
+        took[ids(1)] = time.time() - began
+        assert sum(got.values() if isinstance(got, dict) else [len(got)]) == 500
+    assert max(took[None], took[7]) < 3 * took[1] + 5
+
+
 def test_one_of_each_group_stays(frame):
     rng = random.Random(6)
     texts = near_copies(rng, 4, 6) + ["alone in the world of words", "", None]
