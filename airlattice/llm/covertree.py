@@ -83,9 +83,10 @@ def net(x: np.ndarray, first: int, most: int, within: float) -> tuple[list[int],
 
 
 def build(ids: np.ndarray, rows: np.ndarray, labels: np.ndarray, x: np.ndarray, norm: float) -> dict:
-    """A tree as arrays: pivots, radii, children of inner nodes, row numbers of leaves. ``x`` are whole numbers as doubles.
+    """A tree as arrays: pivots, radii, children of inner nodes, stretches of points of leaves. ``x`` are whole numbers as doubles.
 
-    Leaves keep their points in the order of ids, nulls (masked) last, which is the order of ties.
+    Points come in the order of ids, nulls last, which is the order of ties, and are kept as ``place``. They are stored
+    leaf by leaf, so a leaf is a slice.
     """
     up = lift(x, norm)
     pivots, radii, below, leaves = [], [], [], []
@@ -107,16 +108,20 @@ def build(ids: np.ndarray, rows: np.ndarray, labels: np.ndarray, x: np.ndarray,
             leaves[node] = np.sort(points)
         else:
             todo += [(points[own == k], int(points[p]), node) for k, p in enumerate(picked)]
-    return {"ids": ids, "rows": rows, "labels": labels, "x": x, "pivots": up[pivots], "radii": np.array(radii), "below": below, "leaves": leaves}
+    held = [leaf for leaf in leaves if leaf is not None]
+    order, ends = np.concatenate(held), np.cumsum([0] + [len(leaf) for leaf in held]).tolist()
+    spans = iter(zip(ends, ends[1:]))
+    return {"ids": ids[order], "rows": rows[order], "labels": labels[order], "x": x[order], "place": order, "pivots": up[pivots],
+            "radii": np.array(radii), "below": below, "leaves": [None if leaf is None else next(spans) for leaf in leaves], "most": float(np.abs(x).max(initial=0))}
 
 
-def products(x: np.ndarray, a: np.ndarray):
-    """Exact inner products of whole numbers: doubles where none can round, else Python integers."""
-    most = max(float(np.abs(x).max(initial=0)), 1.0) * max(float(np.abs(a).max(initial=0)), 1.0) * max(x.shape[1], 1)
+def product_of(tree: dict, a: np.ndarray):
+    """A function of rows of the tree to their exact inner products: doubles where none can round, else Python integers."""
+    most = max(tree["most"], 1.0) * max(float(np.abs(a).max(initial=0)), 1.0) * max(len(a), 1)
     if most < 2.0**53:
-        return (x @ a).astype(np.int64)
+        return lambda x: x @ a
     whole = [int(v) for v in a]
-    return np.array([min(max(sum(int(u) * v for u, v in zip(r, whole)), LONG.min), LONG.max) for r in x], object)
+    return lambda x: np.array([min(max(sum(int(u) * v for u, v in zip(r, whole)), LONG.min), LONG.max) for r in x], object)
 
 
 def bounds(square: float, near: np.ndarray, radii: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -126,14 +131,14 @@ def bounds(square: float, near: np.ndarray, radii: np.ndarray) -> tuple[np.ndarr
     return np.where(np.isfinite(lower), lower, -np.inf), np.where(np.isfinite(upper), upper, np.inf)
 
 
-def best_first(tree: dict, ask: dict, top: int, norm: float, near: np.ndarray) -> list[list[tuple[int, int]]]:
-    """(score, place) of the ``top`` best points of each window of the anchor; ``near``: its distances to the pivots.
+def best_first(tree: dict, ask: dict, top: int, norm: float, near: np.ndarray) -> list[list[tuple[int, int, int]]]:
+    """(score, place, point) of the ``top`` best points of each window of the anchor; ``near``: its distances to the pivots.
 
     ``ask``: row, label, v, same (wanted labels are the anchor's, or all others), windows (lowest, highest score).
     """
-    a, windows = ask["v"], ask["windows"]
+    a, windows, product = ask["v"], ask["windows"], product_of(tree, ask["v"])
     lower, upper = bounds(float(a @ a) + norm, near, tree["radii"])
-    found: list[list[tuple[int, int]]] = [[] for _ in windows]
+    found: list[list[tuple[int, int, int]]] = [[] for _ in windows]
     span = [(float(lo), float(hi)) for lo, hi in windows]
     heap = [(-upper[0], 0)]
     while heap:
@@ -145,18 +150,18 @@ def best_first(tree: dict, ask: dict, top: int, norm: float, near: np.ndarray) -
             for child in tree["below"][node]:
                 heapq.heappush(heap, (-upper[child], child))
             continue
-        places = tree["leaves"][node]
-        fits = (tree["labels"][places] == ask["label"]) == ask["same"]
-        places = places[fits & (tree["rows"][places] != ask["row"])]
-        if not len(places):
+        at, end = tree["leaves"][node]
+        scores = product(tree["x"][at:end])
+        fits = ((tree["labels"][at:end] == ask["label"]) == ask["same"]) & (tree["rows"][at:end] != ask["row"])
+        floors = [max(windows[w][0], found[w][-1][0]) if len(found[w]) == top else windows[w][0] for w in ahead]
+        hits = np.flatnonzero(fits & (scores >= min(floors)) & (scores <= max(windows[w][1] for w in ahead)))
+        if not len(hits):
             continue
-        scores = products(tree["x"][places], a)
-        for w in ahead:
-            lo, hi = windows[w]
-            inside = np.flatnonzero((scores >= lo) & (scores <= hi))
-            if len(inside):
-                got = sorted([*found[w], *((scores[k], places[k]) for k in inside)], key=lambda f: (-f[0], f[1]))[:top]
-                found[w] = got
+        new = [(int(scores[k]), int(tree["place"][at + k]), at + int(k)) for k in hits]
+        for w, lo in zip(ahead, floors):
+            more = [f for f in new if lo <= f[0] <= windows[w][1]]
+            if more:
+                found[w] = sorted(found[w] + more, key=lambda f: (-f[0], f[1]))[:top]
     return found
 
 
@@ -176,8 +181,8 @@ def _plant(norm: float):
             rows, ids, labels, vs = zip(*held)
             x = np.array(vs, float).reshape(len(vs), now[0])
             tree = build(np.array(ids, object), np.array(rows, np.int64), np.array(labels, np.int64), x, norm)
-            small = x.astype(np.float32)
-            tree["x"] = small if np.array_equal(small, x) else x
+            small = tree["x"].astype(np.float32)
+            tree["x"] = small if np.array_equal(small, tree["x"]) else tree["x"]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((*now, pickle.dumps(tree)), schema)], schema=schema)
 
         for batch in batches:
@@ -207,7 +212,7 @@ def _descend(same: bool, top: int, norm: float, asks_at_once: int = 256):
             near, out = distances(np.concatenate([a, np.zeros((len(a), 1))], 1), tree["pivots"]), []
             for ask, d in zip(asks, near):
                 for w, got in zip(ask["numbers"], best_first(tree, ask, top, norm, d)):
-                    out += [(ask["row"], w, tree["ids"][place], int(score)) for score, place in got]
+                    out += [(ask["row"], w, tree["ids"][point], score) for score, _, point in got]
             asks.clear()
             columns = zip(*out) if out else [[]] * 4
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)

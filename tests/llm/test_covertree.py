@@ -79,12 +79,12 @@ def test_tree_covers_all_points_within_its_radii(seed):
 
     def points(node):
         leaf = tree["leaves"][node]
-        return leaf if leaf is not None else np.concatenate([points(c) for c in tree["below"][node]])
+        return tree["place"][slice(*leaf)] if leaf is not None else np.concatenate([points(c) for c in tree["below"][node]])
 
     for node in range(len(tree["radii"])):
         assert (np.linalg.norm(up[points(node)] - tree["pivots"][node], axis=1) <= tree["radii"][node] + 1e-3).all()
         if tree["leaves"][node] is not None:
-            seen += tree["leaves"][node].tolist()
+            seen += points(node).tolist()
     assert sorted(seen) == list(range(1500))
 
 
