@@ -265,8 +265,11 @@ def write_shards(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text:
         total += -(-r.n // length)
     stride = length * tokens_of(tokenizer).kind.itemsize
     cut = slim.mapInArrow(_cut(tokenizer, first, total, length, key, shard_slots), row_type(SEQUENCE))
-    by_shard = cut.repartition("shard").sortWithinPartitions("shard", "slot")
-    return stored(by_shard.mapInArrow(_write(folder, stride, shard_slots), row_type(WRITTEN)), "shard-index")
+    # Ranges of whole shards, as even as can be: slots are a permutation, so their ranges are known without a sample.
+    shards = -(-total // shard_slots)
+    ranges = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), shards))
+    in_order = cut.repartitionById(ranges, F.floor(F.col("shard").cast("long") * ranges / max(1, shards)).cast("int")).sortWithinPartitions("slot")
+    return stored(in_order.mapInArrow(_write(folder, stride, shard_slots), row_type(WRITTEN)), "shard-index")
 
 
 def read_slots(folder: str, start: int, stop: int, length: int = LENGTH, shard_slots: int = SHARD_SLOTS,
