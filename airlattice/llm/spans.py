@@ -115,9 +115,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    least_words: int = WORDS, out: str = "deduplicated") -> DataFrame:
     """The frame with one more column, a struct: n_sentences, n_removed and the text that remains.
 
-    The first holder of a run is the document with the smallest doc_id (null first), and in it the first place.
-    Rows equal in doc_id and text are one document: they keep and lose the same sentences. Rows with one doc_id and
-    different texts all count as first holders of what they share. Null text stays null, with no sentences; texts
+    The first holder of a run is the document with the smallest doc_id (null first), of several texts with that
+    doc_id, or without any, the one with the smallest hash, and in it the first place. Rows equal in doc_id and text are
+    one document: they keep and lose the same sentences. Null text stays null, with no sentences; texts
     shorter than a run stay whole. ``out`` gets a number where the frame has such a column.
     """
     name, doc, body, covered = fresh(docs, out, "doc_key", "body_key", "covered_spans")
@@ -127,8 +127,14 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         _find_runs(least, least_words), row_type("doc long, body long, a long, b int, start int, end int, again boolean"))
     found = stored(found, "runs")
     # One row per document and run; what a document repeats itself needs no partner.
-    firsts = found.where("NOT again").groupBy("a", "b").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("high > low")
-    shared = found.where("NOT again").join(firsts, ["a", "b"]).where("doc > low")
+    firsts = found.where("NOT again").groupBy("a", "b").agg(
+        F.min("doc").alias("low"), F.max("doc").alias("high"), F.min("body").alias("low_body"), F.max("body").alias("high_body"))
+    firsts = firsts.where("high > low OR high_body > low_body").select("a", "b", "low")
+    shared = stored(found.where("NOT again").join(firsts, ["a", "b"]).select("a", "b", "doc", "body", "start", "end", "low"), "shared")
+    # Several texts with the lowest doc_id: only then their hashes decide.
+    heads = shared.where("doc = low").groupBy("a", "b").agg(F.min("body").alias("first_body"), F.max("body").alias("last_body")) \
+        .where("last_body > first_body").select("a", "b", "first_body")
+    shared = shared.join(heads, ["a", "b"], "left").where("doc > low OR body > first_body")
     spans = shared.select("doc", "body", "start", "end").unionByName(found.where("again").select("doc", "body", "start", "end"))
     spans = spans.groupBy("doc", "body").agg(F.collect_set(F.struct("start", "end")).alias(covered)) \
         .withColumnRenamed("doc", f"{doc}_r").withColumnRenamed("body", f"{body}_r")

@@ -69,3 +69,18 @@ def test_repeated_rows_and_empty(frame):
     rows = S.remove_repeats(frame([(1, text), (1, text), (2, text), (None, text)])).collect()
     assert {(r.doc_id, r.deduplicated.n_removed) for r in rows} == {(None, 0), (1, 2), (2, 2)}
     assert S.remove_repeats(frame([])).count() == 0
+
+
+def test_texts_without_ids_or_with_one_id_lose_what_they_share(frame):
+    """Of several texts with the smallest doc_id one keeps a passage; the others, and later ids, lose it."""
+    rng = random.Random(5)
+    passage = "The first sentence of a passage of some length is here. And so is the second one, with a few more words in it."
+    for ids, later in (((None, None, None), 4), ((3, 3, 3), 9)):
+        pairs = [(i, f"{prose(rng, 3)} {passage} {prose(rng, 3)}") for i in ids] + [(later, passage)]
+        rows = S.remove_repeats(frame(pairs + pairs[:1])).collect()
+        gone = sorted(r.deduplicated.n_removed for r in rows if r.doc_id == ids[0])
+        copies = [r.deduplicated.n_removed for r in rows if r.text == pairs[0][1]]
+        assert len(copies) == 2 and len(set(copies)) == 1
+        assert sorted({(r.text, r.deduplicated.n_removed) for r in rows if r.doc_id == ids[0]}, key=lambda x: x[1])[0][1] == 0
+        assert len({r.text for r in rows if r.doc_id == ids[0] and not r.deduplicated.n_removed}) == 1 and set(gone) == {0, 2}
+        assert [r.deduplicated.n_removed for r in rows if r.doc_id == later] == [2]
