@@ -72,13 +72,13 @@ def build_features(df: DataFrame, by=CITY, leak_free: bool = False, **layout) ->
     As first written the trailing means contain the current target; ``leak_free`` ends
     them one row earlier and drops rows without a previous value instead of imputing.
 
-    Several passes read the input (row counts, rows), so it is stored in the shared folder.
+    The input is read for row counts, then for rows; the rows with their lags are stored once, for the medians.
     """
     by = list(by)
     for name in C.BASE_FEATURES:
         if name not in df.columns:
             df = df.withColumn(name, F.lit(0.0))
-    base = stored(df.filter(F.col(TARGET).isNotNull()))
+    base = df.filter(F.col(TARGET).isNotNull())
     made = {f"{TARGET}_lag_{k}h": lag_of(TARGET, k) for k in C.LAGS}
     for n in C.MEANS:
         made[f"{TARGET}_ma_{n}h"] = (

@@ -53,7 +53,7 @@ def drop_hours(t: Warehouse, city: str, metric: str, hours, as_of, interval: str
     """The observation fact without the given hours of the day in one recent series."""
     named = (t.fact_observation
              .join(t.dim_city.select("city_id", "city_name"), "city_id", "left")
-             .join(F.broadcast(t.dim_metric.select("metric_id", "metric_code")), "metric_id", "left"))
+             .join(t.dim_metric.select("metric_id", "metric_code"), "metric_id", "left"))
     hit = ((F.col("city_name") == city) & (F.col("metric_code") == metric)
            & (F.col("timestamp") >= ago(as_of, interval)) & F.hour("timestamp").isin(list(hours)))
     return named.filter(~F.coalesce(hit, F.lit(False))).select(*t.fact_observation.columns)
