@@ -10,8 +10,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from uuid import uuid4
@@ -28,94 +26,36 @@ from airlattice.llm.common import col, new_folder, row_type, stored
 
 #: The published pre-tokenisation pattern of the 50k byte-level vocabulary. Fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-LENGTH, SHARD_SLOTS, ROUNDS, REMEMBERED = 1024, 8192, 8, 500_000
-#: A blank between two characters that are no white space: the pattern always starts a token there.
-SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
-SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
-ASCII_SPACES = [c for c in SPACES if c.isascii()]
-#: Marks that never share a token with letters before them.
-MARKS = frozenset(".,;:!?")
-
-
-def plain_blanks(text: str) -> bool:
-    """Is every blank alone between two characters that are no white space?"""
-    if text[0].isspace() or text[-1].isspace():
-        return False
-    spaces = ASCII_SPACES if text.isascii() else SPACES
-    return not any(c in text and (c + " " in text or " " + c in text) for c in spaces if c != " ") and "  " not in text
-
-
-def cut_words(text: str) -> list[str]:
-    """Words with the blank before them, cut only where the pattern starts a token."""
-    if plain_blanks(text) and "\0" not in text:
-        return text.replace(" ", "\0 ").split("\0")
-    first, *rest = SAFE_CUT.split(text)
-    return [first, *map(" ".__add__, rest)]
+#: The same alternatives in the same order, those before the lookahead as one group, which the library matches at once.
+AHEAD = r"|\s+(?!\S)|\s+"
+GROUPED = f"(?:{PATTERN.removesuffix(AHEAD)}){AHEAD}"
+LENGTH, SHARD_SLOTS, ROUNDS = 1024, 8192, 8
+#: The end token's name. Only its id is written after a text; a text that holds the name keeps it as plain characters.
+END = "<|endoftext|>"
 
 
 class Tokens:
-    """Ids of texts as bytes of one integer type; words are remembered up to a bound."""
+    """Ids of texts as bytes of one integer type. The library takes whole texts: no step of Python's for a word."""
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.end = max(ranks.values()) + 1
         self.kind = np.dtype("<u2" if self.end < 1 << 16 else "<u4")
-        self.encoding = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.code = "H" if self.kind.itemsize == 2 else "I"
-        self.memory: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
-        self.sizes: dict[str, int] = {}
-        self.sizes_before: dict[str, int] = {}
-
-    def word(self, text: str) -> bytes:
-        """Ids of a word with the blank before it. Words of the last two generations of the memory are known."""
-        got = self.before.get(text)
-        if got is None:
-            letters = text[1:] if text[0] == " " else text
-            if letters.isalpha():
-                got = array(self.code, self.encoding._core_bpe.encode_single_piece(text.encode())).tobytes()
-            elif letters and letters[-1] in MARKS and letters[:-1].isalpha():
-                got = (self.memory.get(text[:-1]) or self.word(text[:-1])) + (self.memory.get(text[-1]) or self.word(text[-1]))
-            else:
-                got = array(self.code, self.encoding.encode_ordinary(text)).tobytes()
-        if len(text) <= 40:
-            if len(self.memory) >= REMEMBERED:
-                self.before, self.memory = self.memory, {}
-            self.memory[text] = got
-        return got
+        self.encoding = tiktoken.Encoding("words", pat_str=GROUPED, mergeable_ranks=ranks, special_tokens={END: self.end})
+
+    def ids(self, text: str) -> np.ndarray:
+        return self.encoding.encode_to_numpy(text, disallowed_special=())
 
     def encode(self, text: str | None) -> bytes:
         """Ids of the text and the end token; null and empty texts give nothing."""
         if not text:
             return b""
-        known, word = self.memory.get, self.word
-        ids = [known(x) or word(x) for x in cut_words(text)]
-        ids.append(self.end.to_bytes(self.kind.itemsize, "little"))
-        return b"".join(ids)
+        return self.ids(text).astype(self.kind).tobytes() + self.end.to_bytes(self.kind.itemsize, "little")
 
     def count(self, text: str | None) -> int:
-        """How many ids ``encode`` gives. Only the words' numbers of ids are remembered."""
-        if not text:
-            return 0
-        known, sizes = self.sizes.get, self.count_word
-        return sum([known(x) or sizes(x) for x in cut_words(text)]) + 1
-
-    def count_word(self, text: str) -> int:
-        n = self.sizes_before.get(text)
-        if n is None:
-            letters = text[1:] if text[0] == " " else text
-            if letters.isalpha():
-                n = len(self.encoding._core_bpe.encode_single_piece(text.encode()))
-            elif letters and letters[-1] in MARKS and letters[:-1].isalpha():
-                n = (self.sizes.get(text[:-1]) or self.count_word(text[:-1])) + 1
-            else:
-                n = len(self.encoding.encode_ordinary(text))
-        if len(text) <= 40:
-            if len(self.sizes) >= REMEMBERED:
-                self.sizes_before, self.sizes = self.sizes, {}
-            self.sizes[text] = n
-        return n
+        """How many ids ``encode`` gives."""
+        return self.ids(text).size + 1 if text else 0
 
 
 @lru_cache(maxsize=2)
@@ -166,7 +106,6 @@ def _cut(path: str, first: dict[int, int], total: int, length: int, key: int, sh
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, packer = tokens_of(path), zstandard.ZstdCompressor(level=1)
-        tokens.sizes, tokens.sizes_before = {}, {}  # the counts are made; the ids need the memory
         size, number = tokens.kind.itemsize, None
         stride, tail, docs = length * size, b"", []
 

@@ -1,7 +1,11 @@
 """Permutation, shards and an exact round trip of the tokens."""
 
+import random
+import sys
+
 import numpy as np
 import pytest
+import tiktoken
 
 from airlattice.llm import shards as S
 from airlattice.llm.common import stored
@@ -63,3 +67,41 @@ def test_a_single_blank(frame):
         want = t.encoding.encode_ordinary(text) + [t.end]
         assert np.frombuffer(t.encode(text), t.kind).tolist() == want and t.count(text) == len(want)
     assert [r.n_tokens for r in S.write_shards(stored(frame([(1, " "), (2, ""), (3, None)])), BYTE_PAIRS).collect()] == [2]
+
+
+def test_the_library_takes_whole_texts():
+    t = S.Tokens(BYTE_PAIRS)
+    text, calls = " ".join(f"w{chr(97 + k % 26)}{k * k:x}" for k in range(5000)), 0
+
+    def called(frame, event, what):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    before = sys.getprofile()
+    sys.setprofile(called)
+    try:
+        ids, n = t.encode(text), t.count(text)
+    finally:
+        sys.setprofile(before)
+    assert np.frombuffer(ids, t.kind).tolist() == t.encoding.encode_ordinary(text) + [t.end] and n == len(ids) // 2
+    assert calls < 200  # none for each of the 5,000 words
+
+
+def test_the_end_token_is_never_read_from_a_text():
+    t = S.Tokens(BYTE_PAIRS)
+    for text in ["<|endoftext|>", "a<|endoftext|>b", "é <|endoftext|><|endoftext|>"]:
+        got = np.frombuffer(t.encode(text), t.kind).tolist()
+        assert got.count(t.end) == 1 and got[-1] == t.end and t.count(text) == len(got)
+        assert t.encoding.decode(got[:-1]) == text
+
+
+def test_the_grouped_pattern_equals_the_published_one():
+    t = S.Tokens(BYTE_PAIRS)
+    published = tiktoken.Encoding("published", pat_str=S.PATTERN, mergeable_ranks=t.encoding._mergeable_ranks, special_tokens={})
+    parts = ["a", "É", "word", "日", "'s", "'", "'ll", "1", "½", ".", "!?", "_", " ", "  ", "\n", "\t", "\r\n", "\x1c", "\0",
+             "\xa0", "\u2003", "\u3000", "\u0301", "\u200d", "😀", "<|endoftext|>"]
+    dice = random.Random(3)
+    for _ in range(3000):
+        text = "".join(dice.choices(parts, k=dice.randint(1, 12)))
+        want = published.encode_ordinary(text) + [t.end]
+        assert np.frombuffer(t.encode(text), t.kind).tolist() == want and t.count(text) == len(want)
