@@ -4,6 +4,7 @@ import heapq
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from airlattice.llm import multiindex as M
@@ -83,11 +84,80 @@ def test_traversal_order(enough):
     assert heapq.nsmallest(1, order)[0][1:] == order[0][1:]
 
 
+@pytest.mark.parametrize("kind", ["random", "ties", "few"])
+def test_staircase_is_the_traversal(kind):
+    """A few numbers for each query say which cells the heap visits, wherever it sets out."""
+    rng = np.random.default_rng(6)
+    for n, m in ((1, 1), (1, 40), (40, 1), (30, 50)):
+        d1, d2 = (rng.integers(0, 6, k) / 10 if kind == "ties" else rng.random(k) for k in (n, m))
+        counts = rng.integers(0, 4, (n, m)) * (rng.random((n, m)) < (0.1 if kind == "few" else 1))
+        for enough in (1, 2, counts.sum() // 2 + 1, counts.sum(), counts.sum() + 1):
+            rank, reach = M.staircase(d1, d2, counts, enough)
+            visited = np.argwhere((rank < reach[:, None]) & (counts > 0)).tolist()
+            assert visited == sorted(map(list, M.traverse(d1, d2, counts, enough)))
+            behind, held = M.leap(d1, d2, counts, enough)
+            assert held < max(1, enough) and held == counts[rank < behind[:, None]].sum()
+
+
+def test_a_query_is_sent_in_few_bytes(shipped, monkeypatch):
+    """What goes to the blocks for a query does not grow with its cells, here some 2,000 (of 40,000) that hold the vectors."""
+    def sizes(*_):
+        def run(batches):
+            for batch in batches:
+                asked = batch.filter(batch.column("ask"))
+                if len(asked):
+                    n = sum(c.nbytes for c in asked.columns) / len(asked)
+                    yield pa.RecordBatch.from_pydict({"query_row": [asked.column("row")[0].as_py()], "query_id": [20], "vec_id": [20], "score": [n]})
+        return run
+
+    monkeypatch.setattr(M, "_nearest", sizes)
+    rng = np.random.default_rng(7)
+    rows = [(k, v.tolist()) for k, v in enumerate(rng.normal(size=(2000, 16)).astype("f4"))]
+    got = M.nearest(vectors(shipped, rows), centroids=200).collect()
+    assert got and max(r.score for r in got) < 1000
+
+
+def test_scores_closer_than_single_precision(shipped):
+    """Candidates are found in single precision, but ranks and scores are those of doubles, of whatever size."""
+    rng = np.random.default_rng(9)
+    rows = [(k, (1 + 1e-11 * rng.normal(size=6)).tolist()) for k in range(300)]
+    for scale in (1.0, 1e100, 1e-100, 1e-160):
+        scaled = [(k, [scale * c for c in v]) for k, v in rows]
+        df = shipped.createDataFrame(scaled, "vec_id LONG, embedding ARRAY<DOUBLE>").repartition(4)
+        assert found(df, share=1.0, every=100) == brute(scaled, every=100)
+
+
+def test_blocks_of_all_shapes(shipped, monkeypatch):
+    """Rows and columns of cells in bands, parts of hot cells, several batches of queries: all vectors meet all queries once."""
+    monkeypatch.setattr(M, "LEAST", 20)
+    rng = np.random.default_rng(10)
+    rows = [(k, rng.normal(size=5).astype("f4").tolist()) for k in range(900)] + [(900 + k, [1.0, 2.0, 3.0, 4.0, 5.0]) for k in range(300)]
+    for block, pairs in ((50, 100), (500, 10_000)):
+        monkeypatch.setattr(M, "BLOCK", block)
+        monkeypatch.setattr(M, "PAIRS", pairs)
+        assert found(vectors(shipped, rows), share=1.0) == brute(rows)
+
+
+def test_sample_of_one_id(shipped):
+    """Rows that share an id share its hash, so the sample may lie above the bound that most ids go by."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(2500, 4))
+    for i in (1, 2, 3, 4, 5):
+        rows = M.usable(shipped.createDataFrame([(i, v.tolist()) for v in x], "vec_id LONG, embedding ARRAY<DOUBLE>"))
+        book = M.fit_codebook(rows, sample=50)
+        assert book.first.shape == (29, 2) and book.second.shape == (29, 3) and np.isfinite(book.first).all()
+
+
 def test_packing():
     block, parts = M.pack([10, 30, 100, 5, 5], most=40)
     assert block == [0, 0, 1, 2, 2] and parts == [1, 3, 1]
 
 
+def test_bands():
+    assert M._bands(np.array([0, 0, 10, 30, 0, 20, 5, 0]), 20) == [0, 6, 8]
+    assert M._bands(np.array([3]), 40) == [0, 1]
+
+
 def test_repeated_ids_are_rows_of_their_own(shipped):
     """Rows that share an id, alike or not, are all candidates; a query leaves out only its own row."""
     rows = [(k, [float(k), 1.0]) for k in range(1, 30)] + [(40, [50.0, 50.0]), (40, [1.0, -1.0]), (7, [7.0, 1.0]), (7, [7.0, 1.0]), (20, [20.0, 1.0])]
